@@ -1 +1,177 @@
 """Registered source, incremental-load and run-log queries (S, A16-A19)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tillroll.operators import runlog as rl
+from tillroll.plans.oracle import k1, with_warehouse
+from tillroll.plans.registry import register, warehouse
+from tillroll.sources import incremental as inc
+
+# Fixed values of the registered scenarios.
+SAMPLE_N = 1000
+SAMPLE_FRACTION = 0.1
+LOADED_DOWS = (1, 2, 3, 4, 5)  # the target already holds the weekday orders
+RUN_STAGES = ("error", "purchase", "view")
+RUN_STATUSES = ("SUCCESS",)
+
+
+def _target(w):
+    return w.raw.orders.where(F.col("order_dow").isin(list(LOADED_DOWS)))
+
+
+def _watermark(w):
+    return inc.read_watermark(w.log).select("watermark").scalar()
+
+
+_TARGET_SQL = f"b_target AS (SELECT * FROM b_orders WHERE order_dow IN {LOADED_DOWS})"
+_WM_SQL = "(SELECT coalesce(max(watermark_order_id), 0) FROM etl_log WHERE status = 'SUCCESS')"
+_NEW_ROWS_SQL = f"""b_new AS (
+  SELECT s.* FROM b_orders s
+  WHERE CAST(s.order_id AS BIGINT) > {_WM_SQL}
+    AND NOT EXISTS (SELECT 1 FROM b_target t WHERE CAST(t.order_id AS BIGINT) = CAST(s.order_id AS BIGINT))
+)"""
+
+
+@register("s1_scan_lines", with_warehouse("SELECT * FROM b_prior"))
+def s1(spark, sf):
+    return warehouse(spark, sf).raw.order_products_prior
+
+
+@register(
+    "s2_sample_rows",
+    with_warehouse(
+        f"SELECT * FROM b_prior ORDER BY order_id, add_to_cart_order, product_id LIMIT {SAMPLE_N}"
+    ),
+)
+def s2(spark, sf):
+    return inc.sample_rows(
+        warehouse(spark, sf).raw.order_products_prior,
+        SAMPLE_N,
+        ["order_id", "add_to_cart_order", "product_id"],
+    )
+
+
+@register(
+    "s3_key_consistent_sample",
+    with_warehouse(
+        f"""
+SELECT l.* FROM (SELECT * FROM b_prior UNION ALL SELECT * FROM b_train) l
+WHERE {k1("CAST(l.order_id AS VARCHAR)")} % {inc.SAMPLE_BUCKETS} < {int(SAMPLE_FRACTION * inc.SAMPLE_BUCKETS)}
+  AND l.order_id IN (SELECT order_id FROM b_orders
+                     WHERE {k1("CAST(order_id AS VARCHAR)")} % {inc.SAMPLE_BUCKETS} < {int(SAMPLE_FRACTION * inc.SAMPLE_BUCKETS)})"""
+    ),
+)
+def s3(spark, sf):
+    raw = warehouse(spark, sf).raw
+    lines = raw.order_products_prior.unionByName(raw.order_products_train)
+    _, s_lines, _ = inc.key_consistent_sample(raw.orders, lines, raw.products, SAMPLE_FRACTION)
+    return s_lines
+
+
+@register("s4_branch_seed", with_warehouse("SELECT * FROM b_branches"))
+def s4(spark, sf):
+    return warehouse(spark, sf).raw.branches
+
+
+@register("s5_incremental_append", with_warehouse("SELECT * FROM b_new", _TARGET_SQL + ",\n" + _NEW_ROWS_SQL))
+def s5(spark, sf):
+    w = warehouse(spark, sf)
+    return inc.incremental_rows(w.raw.orders, _target(w), _watermark(w))
+
+
+@register("s6_snapshot", with_warehouse("SELECT * FROM b_products"))
+def s6(spark, sf):
+    return inc.snapshot(warehouse(spark, sf).raw.products)
+
+
+@register("s7_watermark", with_warehouse(f"SELECT CAST({_WM_SQL} AS BIGINT) AS watermark"))
+def s7(spark, sf):
+    return inc.read_watermark(warehouse(spark, sf).log)
+
+
+@register(
+    "s9_load_counters",
+    with_warehouse(
+        f"""
+SELECT CAST(count(*) FILTER (WHERE CAST(order_id AS BIGINT) > {_WM_SQL}) AS BIGINT) AS rows_loaded,
+       CAST(coalesce(max(CAST(order_id AS BIGINT)), 0) AS BIGINT) AS watermark
+FROM (SELECT * FROM b_target UNION ALL SELECT * FROM b_new)""",
+        _TARGET_SQL + ",\n" + _NEW_ROWS_SQL,
+    ),
+)
+def s9(spark, sf):
+    w = warehouse(spark, sf)
+    target = _target(w)
+    wm = _watermark(w)
+    after = target.unionByName(inc.incremental_rows(w.raw.orders, target, wm))
+    return inc.load_counters(after, wm)
+
+
+@register("s8_run_log_append")
+def s8(spark, sf):
+    """The log with this run's row appended (rows-only: it carries now())."""
+    from tillroll.sources.runlog import log_row, new_run_id
+
+    w = warehouse(spark, sf)
+    row = log_row(spark, new_run_id(), "bronze", "SUCCESS", 0, 0, "OK")
+    return w.log.unionByName(row)
+
+
+_RECENT = f"""recent AS (
+  SELECT * FROM etl_log ORDER BY started_at DESC NULLS LAST, watermark_order_id DESC NULLS LAST, run_id
+  LIMIT {rl.RECENT_RUNS}
+)"""
+
+
+@register("a16_recent_runs", with_warehouse("SELECT * FROM recent", _RECENT))
+def a16(spark, sf):
+    return rl.recent_runs(warehouse(spark, sf).log)
+
+
+@register(
+    "a17_run_kpis",
+    with_warehouse(
+        """
+SELECT count(*) AS total_runs, count(*) FILTER (WHERE status = 'SUCCESS') AS success_runs,
+       count(*) FILTER (WHERE status = 'FAILED') AS failed_runs,
+       round(CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE status = 'SUCCESS') * 100.0 / count(*)
+                  ELSE 0.0 END, 6)::DOUBLE AS success_rate_pct
+FROM recent""",
+        _RECENT,
+    ),
+)
+def a17(spark, sf):
+    return rl.run_kpis(rl.recent_runs(warehouse(spark, sf).log))
+
+
+@register(
+    "a18_timeline",
+    with_warehouse(
+        """
+SELECT run_id, stage, started_at, coalesce(finished_at, started_at) AS finished_at, status,
+       rows_loaded, watermark_order_id, message
+FROM recent WHERE started_at IS NOT NULL ORDER BY started_at, run_id""",
+        _RECENT,
+    ),
+)
+def a18(spark, sf):
+    return rl.run_timeline(rl.recent_runs(warehouse(spark, sf).log))
+
+
+@register(
+    "a19_run_filter",
+    with_warehouse(
+        "SELECT * FROM recent WHERE stage IN ("
+        + ", ".join(f"'{s}'" for s in RUN_STAGES)
+        + ") AND status IN ("
+        + ", ".join(f"'{s}'" for s in RUN_STATUSES)
+        + ")",
+        _RECENT,
+    ),
+)
+def a19(spark, sf):
+    return rl.filter_runs(rl.recent_runs(warehouse(spark, sf).log), RUN_STAGES, RUN_STATUSES)
+
+
