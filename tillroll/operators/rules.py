@@ -254,6 +254,14 @@ def compare_thresholds(
         _positive("support value", s)
     sets = frequent_itemsets(baskets, min(support_values), max_len)
     rules = association_rules(sets, min_confidence).where(F.col("lift") >= F.lit(min_lift))
+    return threshold_table(rules, support_values, min_confidence, min_lift)
+
+
+def threshold_table(
+    rules: DataFrame, support_values: Sequence[float], min_confidence: float, min_lift: float
+) -> DataFrame:
+    """One conditional-aggregate pass over the rules mined at the lowest
+    threshold -> one row per threshold."""
     aggs = []
     for i, t in enumerate(support_values):
         hit = F.col("support") >= F.lit(t)
@@ -262,7 +270,6 @@ def compare_thresholds(
             F.max(F.when(hit, F.col("lift"))).alias(f"mx{i}"),
             F.avg(F.when(hit, F.col("lift"))).alias(f"av{i}"),
         ]
-    wide = rules.agg(*aggs)
     rows = F.array(
         *[
             F.struct(
@@ -276,7 +283,7 @@ def compare_thresholds(
             for i, t in enumerate(support_values)
         ]
     )
-    return wide.select(F.inline(rows))
+    return rules.agg(*aggs).select(F.inline(rows))
 
 
 def _finite(c: str) -> Column:

@@ -53,3 +53,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.exists(hpath)
+
+
+def csv_sources(spark: SparkSession, raw_dir: str, seed_path: str):
+    """S1 + S4: the six raw CSV sources and the branch seed as ``RawSources``."""
+    from tillroll import schemas as S
+    from tillroll.sources.adapter import RawSources
+
+    def rd(name: str, schema: T.StructType) -> DataFrame:
+        return read_csv_source(spark, f"{raw_dir.rstrip('/')}/{name}.csv", schema)
+
+    return RawSources(
+        orders=rd("orders", S.BRONZE_ORDERS),
+        order_products_prior=rd("order_products__prior", S.BRONZE_ORDER_PRODUCTS),
+        order_products_train=rd("order_products__train", S.BRONZE_ORDER_PRODUCTS),
+        products=rd("products", S.BRONZE_PRODUCTS),
+        aisles=rd("aisles", S.BRONZE_AISLES),
+        departments=rd("departments", S.BRONZE_DEPARTMENTS),
+        branches=read_seed(spark, seed_path, S.BRANCH_SEED),
+    )
