@@ -119,34 +119,36 @@ def summarize_baskets(
     value) rows."""
     cleaned = clean_items(items, item_col, order_col)
     sizes = cleaned.groupBy(order_col).agg(F.countDistinct(item_col).alias("size"))
-    size_stats = sizes.agg(
+    # Two independent one-row aggregates, each unpivoted to long rows and
+    # unioned -- no scalar subqueries re-running the size aggregation.
+    size_rows = sizes.agg(
         F.count(F.lit(1)).alias("basket_count"),
         F.round(F.avg("size"), SUMMARY_SCALE).alias("avg_basket_size"),
         F.round(F.median("size"), SUMMARY_SCALE).alias("median_basket_size"),
         F.max("size").alias("max_basket_size"),
+    ).select(
+        F.inline(
+            _long_rows(
+                "overall",
+                [(m, F.col(m)) for m in ("basket_count", "avg_basket_size", "median_basket_size", "max_basket_size")],
+            )
+        )
     )
     line_aggs = [
         F.count(F.lit(1)).alias("order_product_rows"),
         F.countDistinct(item_col).alias("unique_products"),
     ]
-    has_reordered = "reordered" in cleaned.columns
-    if has_reordered:
+    line_metrics = ["order_product_rows", "unique_products"]
+    if "reordered" in cleaned.columns:
         reordered = F.coalesce(F.col("reordered").cast("boolean"), F.lit(False))
         line_aggs.append(
             F.round(F.avg(F.when(reordered, 1.0).otherwise(0.0)), SUMMARY_SCALE).alias("reordered_rate")
         )
-    line_stats = cleaned.agg(*line_aggs)
-    metrics = [
-        ("order_product_rows", F.col("order_product_rows")),
-        ("basket_count", size_stats.select("basket_count").scalar()),
-        ("unique_products", F.col("unique_products")),
-        ("avg_basket_size", size_stats.select("avg_basket_size").scalar()),
-        ("median_basket_size", size_stats.select("median_basket_size").scalar()),
-        ("max_basket_size", size_stats.select("max_basket_size").scalar()),
-    ]
-    if has_reordered:
-        metrics.append(("reordered_rate", F.col("reordered_rate")))
-    overall = line_stats.select(F.inline(_long_rows("overall", metrics)))
+        line_metrics.append("reordered_rate")
+    line_rows = cleaned.agg(*line_aggs).select(
+        F.inline(_long_rows("overall", [(m, F.col(m)) for m in line_metrics]))
+    )
+    overall = line_rows.unionByName(size_rows)
     out = overall.unionByName(top_counts(cleaned, item_col, "top_product", top_n))
     if "department_name" in cleaned.columns:
         out = out.unionByName(top_counts(cleaned, "department_name", "top_department", top_n))

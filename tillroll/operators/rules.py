@@ -62,13 +62,21 @@ def frequent_itemsets(
         raise ValueError("min_support must be <= 1")
     if max_len is not None and max_len < 1:
         raise ValueError("max_len must be > 0")
+    spark = baskets.sparkSession
     if checkpoint:
-        ensure_checkpoint_dir(baskets.sparkSession)
+        ensure_checkpoint_dir(spark)
         baskets = baskets.select("items").checkpoint(eager=True)
     n = baskets.count()
+    if n == 0:
+        raise ValueError(
+            "Need at least one basket with two or more products to mine association rules."
+        )
     fp = FPGrowth(itemsCol="items", minSupport=min_support * (1 - SUPPORT_MARGIN), minConfidence=1.0)
-    if num_partitions:
-        fp.setNumPartitions(num_partitions)
+    # Item groups are spread over at least the cluster's default parallelism
+    # (AQE may have coalesced a small basket table into very few partitions).
+    fp.setNumPartitions(
+        num_partitions or max(spark.sparkContext.defaultParallelism, baskets.rdd.getNumPartitions())
+    )
     found = fp.fit(baskets.select("items")).freqItemsets
     sets = found.select(
         F.array_sort("items").alias("items"),

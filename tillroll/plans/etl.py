@@ -21,6 +21,7 @@ incremental load, and ``etl_log/`` (append-only).
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +59,23 @@ def _write(df: DataFrame, paths: WarehousePaths, name: str) -> None:
     df.write.mode("overwrite").parquet(paths.table(name))
 
 
+def _write_all(tables: dict[str, DataFrame], paths: WarehousePaths) -> None:
+    """Write independent tables as concurrent Spark jobs.
+
+    Each write is its own job; submitting them together lets the scheduler
+    fill idle executor slots with the tasks of the other tables instead of
+    running small jobs one after another.  The first failure is re-raised.
+    """
+    if len(tables) == 1:
+        (name, df), = tables.items()
+        _write(df, paths, name)
+        return
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        futures = [pool.submit(_write, df, paths, name) for name, df in tables.items()]
+        for f in futures:
+            f.result()
+
+
 def read_bronze_orders(spark: SparkSession, paths: WarehousePaths) -> DataFrame:
     path = paths.table("bronze_orders")
     if not _exists(spark, path):
@@ -67,6 +85,8 @@ def read_bronze_orders(spark: SparkSession, paths: WarehousePaths) -> DataFrame:
 
 def current_watermark(spark: SparkSession, paths: WarehousePaths) -> int:
     """S7 as a number (a one-row aggregate; the value filters the scans)."""
+    if not _exists(spark, paths.log):
+        return 0
     return int(inc.read_watermark(read_log(spark, paths.log)).first()["watermark"])
 
 
@@ -94,10 +114,9 @@ def run_bronze(
     target = read_bronze_orders(spark, paths)
     fresh = inc.incremental_rows(orders, target, watermark)
     # Own folder per run: a retry of this run overwrites only its own rows.
-    fresh.write.mode("overwrite").parquet(f"{paths.table('bronze_orders')}/load_id={run_id}")
-
-    for name, (df, _) in sources.items():
-        _write(inc.snapshot(df), paths, name)
+    writes = {f"bronze_orders/load_id={run_id}": fresh}
+    writes.update({name: inc.snapshot(df) for name, (df, _) in sources.items()})
+    _write_all(writes, paths)
 
     counters = inc.load_counters(read_bronze_orders(spark, paths), watermark).first()
     return int(counters["rows_loaded"]), int(counters["watermark"])
@@ -105,16 +124,17 @@ def run_bronze(
 
 def run_silver(spark: SparkSession, paths: WarehousePaths) -> int:
     bronze = read_bronze_orders(spark, paths)
-    _write(silver_ops.stg_orders(bronze), paths, "stg_orders")
-    _write(
-        silver_ops.stg_order_products(
-            _read(spark, paths, "bronze_order_products_prior"),
-            _read(spark, paths, "bronze_order_products_train"),
-        ),
+    _write_all(
+        {
+            "stg_orders": silver_ops.stg_orders(bronze),
+            "stg_order_products": silver_ops.stg_order_products(
+                _read(spark, paths, "bronze_order_products_prior"),
+                _read(spark, paths, "bronze_order_products_train"),
+            ),
+            "stg_products": silver_ops.stg_products(_read(spark, paths, "bronze_products")),
+        },
         paths,
-        "stg_order_products",
     )
-    _write(silver_ops.stg_products(_read(spark, paths, "bronze_products")), paths, "stg_products")
     _write(silver_ops.stg_users(_read(spark, paths, "stg_orders")), paths, "stg_users")
     return _read(spark, paths, "stg_order_products").count()
 
@@ -128,14 +148,17 @@ def run_gold(
     gold_min: int = gold_ops.GOLD_MIN_ORDERS,
 ) -> int:
     rd = lambda name: _read(spark, paths, name)
-    _write(gold_ops.dim_date(rd("stg_orders")), paths, "dim_date")
-    _write(
-        gold_ops.dim_product(rd("stg_products"), rd("bronze_aisles"), rd("bronze_departments"), organic_pattern),
+    _write_all(
+        {
+            "dim_date": gold_ops.dim_date(rd("stg_orders")),
+            "dim_product": gold_ops.dim_product(
+                rd("stg_products"), rd("bronze_aisles"), rd("bronze_departments"), organic_pattern
+            ),
+            "dim_customer": gold_ops.dim_customer(rd("stg_users"), platinum_min, gold_min),
+            "dim_branch": gold_ops.dim_branch(branch_seed),
+        },
         paths,
-        "dim_product",
     )
-    _write(gold_ops.dim_customer(rd("stg_users"), platinum_min, gold_min), paths, "dim_customer")
-    _write(gold_ops.dim_branch(branch_seed), paths, "dim_branch")
     _write(
         gold_ops.fact_order_line(
             rd("stg_order_products"), rd("stg_orders"), rd("dim_date"), rd("dim_product"),

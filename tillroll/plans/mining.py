@@ -55,8 +55,6 @@ def run_mining(fact_order_line: DataFrame, dim_product: DataFrame, params: Minin
     params.validate()
     items = bk.order_items(fact_order_line, dim_product)
     baskets = bk.baskets(items, item_col=params.item_col)
-    if baskets.isEmpty():
-        raise ValueError("Need at least one basket with two or more products to mine association rules.")
     floor = min([params.min_support, *params.thresholds])
     sets = rl.frequent_itemsets(baskets, floor, params.max_len)
     all_rules = rl.association_rules(sets, params.min_confidence).where(F.col("lift") >= F.lit(params.min_lift))
