@@ -13,6 +13,7 @@ SYNTHETIC_EPOCH = dt.date(2024, 1, 1)
 # Rows of one key are split into order-number buckets of this width before
 # the running sum, so a hot key is spread over many window tasks.
 RUNNING_SUM_BUCKET = 4096
+NULL_BUCKET = -(2**63)
 
 
 def _round_to_int(c: Column) -> Column:
@@ -53,7 +54,11 @@ def running_sum(
     2. exclusive prefix of bucket totals per key (one row per bucket);
     3. RANGE running sum inside each (key, bucket) window plus the offset.
     """
-    bucket = F.floor(F.col(order_col) / F.lit(bucket_width))
+    # Rows with a null order value get a sentinel bucket below every real one:
+    # they are the first peer group of a plain window, and a non-null bucket
+    # keeps the final join a plain equi-join on the window's partitioning
+    # (so the large side is not shuffled again).
+    bucket = F.coalesce(F.floor(F.col(order_col) / F.lit(bucket_width)), F.lit(NULL_BUCKET))
     with_bucket = df.withColumn("_rs_bucket", bucket)
     totals = with_bucket.groupBy(key, "_rs_bucket").agg(F.sum(value_col).alias("_rs_total"))
     before = Window.partitionBy(key).orderBy("_rs_bucket").rowsBetween(
@@ -68,11 +73,9 @@ def running_sum(
         Window.unboundedPreceding, Window.currentRow
     )
     partial = with_bucket.withColumn("_rs_in", F.sum(value_col).over(inside))
-    # Null-safe on the bucket: rows with a null order value form their own
-    # (first) bucket, as they form the first peer group in a plain window.
     joined = partial.join(
         offsets,
-        (F.col(key) == F.col("_rs_key")) & F.col("_rs_bucket").eqNullSafe(F.col("_rs_obucket")),
+        (F.col(key) == F.col("_rs_key")) & (F.col("_rs_bucket") == F.col("_rs_obucket")),
     )
     return joined.withColumn(out_col, F.col("_rs_in") + F.col("_rs_off")).drop(
         "_rs_bucket", "_rs_in", "_rs_off", "_rs_key", "_rs_obucket"
