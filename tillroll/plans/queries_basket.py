@@ -65,7 +65,7 @@ def m2(spark, sf):
 @register(
     "m3_baskets",
     _w(
-        "SELECT o AS order_id_nk, string_agg(item, ', ' ORDER BY item) AS items_text, count(*) AS n_items FROM m_bk GROUP BY o",
+        "SELECT o AS order_id_nk, string_agg(item, ', ' ORDER BY item) AS items_text, CAST(count(*) AS INTEGER) AS n_items FROM m_bk GROUP BY o",
         om.item_ctes(BRAND),
     ),
 )
