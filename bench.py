@@ -32,11 +32,14 @@ FILTER = marts.Filters(dows=("Monday", "Saturday", "Sunday"), departments=("ECON
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    conf = {"spark.driver.memory": "16g"}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):  # per-stage timings for profiling
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
     spark = get_spark(
         "tillroll-bench",
         master=f"local[{cpus}]",
         shuffle_partitions=int(cpus) * 2,
-        extra_conf={"spark.driver.memory": "16g"},
+        extra_conf=conf,
     )
     work = tempfile.mkdtemp(prefix="tillroll-bench-")
     paths = WarehousePaths(f"{work}/warehouse")
@@ -44,6 +47,7 @@ def main() -> None:
     times: dict[str, float] = {}
 
     def timed(name, fn):
+        spark.sparkContext.setJobGroup(name, name)
         t0 = time.perf_counter()
         out = fn()
         times[name] = round(time.perf_counter() - t0, 3)
