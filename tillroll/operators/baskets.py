@@ -86,17 +86,24 @@ def _long_rows(section: str, metric_values: Sequence[tuple[str, Column]]) -> Col
 
 
 def top_counts(
-    items: DataFrame, column: str, section: str, top_n: int = DEFAULT_TOP_N
+    items: DataFrame,
+    column: str,
+    section: str,
+    top_n: int = DEFAULT_TOP_N,
+    weight: str | None = None,
 ) -> DataFrame:
     """M6: line counts per value of ``column`` (null/blank removed, stripped),
-    most frequent first (ties by label), first ``top_n`` as long rows."""
+    most frequent first (ties by label), first ``top_n`` as long rows.
+    ``weight`` names a pre-aggregated line-count column to sum instead of
+    counting rows."""
     label = strip_ws(F.col(column).cast("string"))
+    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
     return (
         items.where(F.col(column).isNotNull())
-        .select(label.alias("label"))
+        .select(label.alias("label"), *([weight] if weight else []))
         .where(F.col("label") != "")
         .groupBy("label")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(n.alias("_n"))
         .orderBy(F.desc("_n"), F.asc("label"))
         .limit(top_n)
         .select(
@@ -134,24 +141,33 @@ def summarize_baskets(
             )
         )
     )
+    # All line-level metrics come from one pre-aggregate per (item,
+    # department, aisle): every branch below reads the same (reused)
+    # shuffle instead of re-scanning the lines.
+    dims = [c for c in ("department_name", "aisle_name") if c in cleaned.columns and c != item_col]
+    has_reordered = "reordered" in cleaned.columns
+    pre_aggs = [F.count(F.lit(1)).alias("_lines")]
+    if has_reordered:
+        reordered = F.coalesce(F.col("reordered").cast("boolean"), F.lit(False))
+        pre_aggs.append(F.sum(F.when(reordered, 1).otherwise(0)).alias("_reordered"))
+    pre = cleaned.groupBy(item_col, *dims).agg(*pre_aggs)
     line_aggs = [
-        F.count(F.lit(1)).alias("order_product_rows"),
+        F.coalesce(F.sum("_lines"), F.lit(0)).alias("order_product_rows"),
         F.countDistinct(item_col).alias("unique_products"),
     ]
     line_metrics = ["order_product_rows", "unique_products"]
-    if "reordered" in cleaned.columns:
-        reordered = F.coalesce(F.col("reordered").cast("boolean"), F.lit(False))
+    if has_reordered:
         line_aggs.append(
-            F.round(F.avg(F.when(reordered, 1.0).otherwise(0.0)), SUMMARY_SCALE).alias("reordered_rate")
+            F.round(F.sum("_reordered") / F.sum("_lines"), SUMMARY_SCALE).alias("reordered_rate")
         )
         line_metrics.append("reordered_rate")
-    line_rows = cleaned.agg(*line_aggs).select(
+    line_rows = pre.agg(*line_aggs).select(
         F.inline(_long_rows("overall", [(m, F.col(m)) for m in line_metrics]))
     )
-    overall = line_rows.unionByName(size_rows)
-    out = overall.unionByName(top_counts(cleaned, item_col, "top_product", top_n))
+    out = line_rows.unionByName(size_rows)
+    out = out.unionByName(top_counts(pre, item_col, "top_product", top_n, weight="_lines"))
     if "department_name" in cleaned.columns:
-        out = out.unionByName(top_counts(cleaned, "department_name", "top_department", top_n))
+        out = out.unionByName(top_counts(pre, "department_name", "top_department", top_n, weight="_lines"))
     if "aisle_name" in cleaned.columns:
-        out = out.unionByName(top_counts(cleaned, "aisle_name", "top_aisle", top_n))
+        out = out.unionByName(top_counts(pre, "aisle_name", "top_aisle", top_n, weight="_lines"))
     return out

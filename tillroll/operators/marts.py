@@ -102,9 +102,11 @@ def orders_by_weekday(star_df: DataFrame, filters: Filters = NO_FILTER) -> DataF
         .groupBy("day_of_week")
         .agg(F.countDistinct("order_id_nk").alias("orders"))
     )
-    week = F.broadcast(weekday_frame(star_df.sparkSession))
+    # The aggregated side has at most one row per weekday (a proven bound),
+    # so it is the broadcast build side of the outer join.
+    week = weekday_frame(star_df.sparkSession)
     return (
-        week.join(counts, "day_of_week", "left")
+        week.join(F.broadcast(counts), "day_of_week", "left")
         .select("day_of_week", F.coalesce("orders", F.lit(0)).cast("long").alias("orders"), "day_index")
         .orderBy("day_index")
         .drop("day_index")
@@ -202,17 +204,16 @@ def department_aisle_rollup(star_df: DataFrame, filters: Filters = NO_FILTER) ->
 
 
 def tier_distribution(dim_customer: DataFrame) -> DataFrame:
-    """Customers and average orders per tier, with each tier's share.
-    The share window runs over the (at most 3) aggregated rows."""
-    from pyspark.sql import Window
-
+    """Customers and average orders per tier, with each tier's share of
+    all customers (the total is a scalar subquery)."""
+    total = dim_customer.select(F.count(F.lit(1))).scalar()
     per_tier = dim_customer.groupBy("membership_tier").agg(
         F.count(F.lit(1)).alias("customers"),
         _r(F.avg("total_orders")).alias("avg_orders"),
     )
-    return per_tier.withColumn(
-        "share", _r(F.col("customers") / F.sum("customers").over(Window.partitionBy()))
-    ).orderBy(F.desc("customers"), "membership_tier")
+    return per_tier.withColumn("share", _r(F.col("customers") / total)).orderBy(
+        F.desc("customers"), "membership_tier"
+    )
 
 
 HISTOGRAM_BINS = 20

@@ -166,9 +166,10 @@ def distribution_profile(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
             )
         )
     )
-    tiers = F.broadcast(spark.createDataFrame([(t,) for t in TIERS], "label string"))
-    per_tier = dim_customer.groupBy(F.col("membership_tier").alias("label")).agg(
-        F.count(F.lit(1)).alias("value")
+    tiers = spark.createDataFrame([(t,) for t in TIERS], "label string")
+    # One row per tier value (a 3-way CASE): the broadcast build side.
+    per_tier = F.broadcast(
+        dim_customer.groupBy(F.col("membership_tier").alias("label")).agg(F.count(F.lit(1)).alias("value"))
     )
     tier_rows = tiers.join(per_tier, "label", "left").select(
         F.lit("customers_per_tier").alias("metric"), "label", F.coalesce("value", F.lit(0)).alias("value")
