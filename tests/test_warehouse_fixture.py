@@ -106,3 +106,19 @@ def test_duplicate_staged_orders_double_total_items(spark):
     stg = spark.createDataFrame([(1, 3), (1, 4)], "order_id long, days_since_prior_order int")
     r = gold.fact_order_summary(fact, stg).first()
     assert (r.total_items, r.total_distinct_items, r.days_since_prior) == (4, 2, 4)
+
+
+def test_derived_dimension_keys_equal_the_joins(spark):
+    from pyspark.sql import functions as F
+
+    from tests.fixtures import raw_f1
+    from tillroll.operators import gold
+
+    raw = raw_f1(spark)
+    s = build_silver(raw)
+    g = build_gold(raw, s)
+    args = (s.stg_order_products, s.stg_orders, g.dim_date, g.dim_product, g.dim_customer, g.dim_branch)
+    joined = gold.fact_order_line(*args, derived_dims=False)
+    derived = gold.fact_order_line(*args, derived_dims=True)
+    assert joined.exceptAll(derived).count() == 0 and derived.exceptAll(joined).count() == 0
+    assert joined.count() == 4

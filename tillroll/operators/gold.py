@@ -113,25 +113,38 @@ def fact_order_line(
     dim_customer: DataFrame,
     dim_branch: DataFrame,
     branch_id: str = DEFAULT_BRANCH_ID,
+    derived_dims: bool = False,
 ) -> DataFrame:
     """One row per staged line that finds its order, date, product,
     customer and the default branch (any miss drops the line).
 
-    The order-level dimensions (date, customer) are attached to the orders
-    first -- a quarter of the line count -- so the line table is shuffled
-    once, on order id.  The constant branch member is an equi-join on a
-    literal key against the (seed-sized) branch table.
+    The order-level keys (date, customer) are attached to the orders first
+    -- a quarter of the line count -- so the line table is shuffled once, on
+    order id.  With ``derived_dims=True`` (the warehouse build, where
+    ``dim_date`` and ``dim_customer`` are built from these same staged
+    orders and so hold exactly one row per order date / user) those two
+    keys are computed from the natural keys instead of joined: the same
+    rows, without a join against a user-sized dimension.  The constant
+    branch member is an equi-join on a literal key against the (seed-sized)
+    branch table.
     """
     orders = stg_orders.select(
         F.col("order_id").alias("_o_id"),
         F.col("user_id").cast("string").alias("_user_nk"),
         F.col("synthetic_order_date").alias("_o_date"),
     )
-    dates = dim_date.select(F.col("full_date").alias("_o_date"), "date_key")
-    customers = dim_customer.select(F.col("user_id_nk").alias("_user_nk"), "customer_key")
-    enriched = orders.join(dates, "_o_date").join(customers, "_user_nk").select(
-        "_o_id", "date_key", "customer_key"
-    )
+    if derived_dims:
+        enriched = orders.where(F.col("_o_date").isNotNull() & F.col("_user_nk").isNotNull()).select(
+            "_o_id",
+            surrogate_key(F.col("_o_date").cast("string")).alias("date_key"),
+            surrogate_key("_user_nk").alias("customer_key"),
+        )
+    else:
+        dates = dim_date.select(F.col("full_date").alias("_o_date"), "date_key")
+        customers = dim_customer.select(F.col("user_id_nk").alias("_user_nk"), "customer_key")
+        enriched = orders.join(dates, "_o_date").join(customers, "_user_nk").select(
+            "_o_id", "date_key", "customer_key"
+        )
     products = dim_product.select(F.col("product_id_nk").alias("_p_nk"), "product_key")
     branch = F.broadcast(
         dim_branch.where(F.col("branch_id_nk") == branch_id).select(

@@ -163,6 +163,7 @@ def run_gold(
         gold_ops.fact_order_line(
             rd("stg_order_products"), rd("stg_orders"), rd("dim_date"), rd("dim_product"),
             rd("dim_customer"), rd("dim_branch"),
+            derived_dims=True,  # both dims were just rebuilt from stg_orders
         ),
         paths,
         "fact_order_line",

@@ -51,8 +51,11 @@ def build_gold(
     d_product = gold.dim_product(s.stg_products, raw.aisles, raw.departments, organic_pattern)
     d_customer = gold.dim_customer(s.stg_users, platinum_min, gold_min)
     d_branch = gold.dim_branch(raw.branches)
+    # dim_date / dim_customer are built from s.stg_orders just above, so the
+    # fact can compute their keys directly (see gold.fact_order_line).
     f_line = gold.fact_order_line(
-        s.stg_order_products, s.stg_orders, d_date, d_product, d_customer, d_branch
+        s.stg_order_products, s.stg_orders, d_date, d_product, d_customer, d_branch,
+        derived_dims=True,
     )
     return Gold(
         dim_date=d_date,
