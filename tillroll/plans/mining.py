@@ -49,6 +49,7 @@ class MiningResult:
     rules: DataFrame
     bundles: DataFrame
     thresholds: DataFrame
+    top_n: int | None = rl.DEFAULT_TOP_N
 
 
 def run_mining(fact_order_line: DataFrame, dim_product: DataFrame, params: MiningParams = MiningParams()) -> MiningResult:
@@ -65,15 +66,19 @@ def run_mining(fact_order_line: DataFrame, dim_product: DataFrame, params: Minin
         rules=rl.rules_table(ranked),
         bundles=rl.bundle_recommendations(ranked),
         thresholds=thresholds,
+        top_n=params.top_n,
     )
 
 
 def write_mining(result: MiningResult, out_dir: str, rule_table_path: str | None = None) -> None:
     """S11 (+ S12): the four result files, and the rule table if asked."""
     base = out_dir.rstrip("/")
-    write_result_csv(result.summary, f"{base}/basket_summary")
-    write_result_csv(result.rules, f"{base}/association_rules")
-    write_result_csv(result.bundles, f"{base}/bundle_recommendations")
-    write_result_csv(result.thresholds, f"{base}/threshold_comparison")
+    # The summary (7 + 3 top-N lists) and the threshold table (one row per
+    # threshold) are bounded; rules and bundles are bounded only by top_n.
+    bounded = result.top_n is not None
+    write_result_csv(result.summary, f"{base}/basket_summary", single_file=True)
+    write_result_csv(result.rules, f"{base}/association_rules", single_file=bounded)
+    write_result_csv(result.bundles, f"{base}/bundle_recommendations", single_file=bounded)
+    write_result_csv(result.thresholds, f"{base}/threshold_comparison", single_file=True)
     if rule_table_path:
         write_table(result.rules, rule_table_path)

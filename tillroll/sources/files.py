@@ -27,9 +27,10 @@ def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return read_csv_source(spark, path, schema)
 
 
-def write_result_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
-    """Header CSV result.  Mining results are small (bounded by top-N or
-    by the number of rules), so they are written as one file by default."""
+def write_result_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """Header CSV result.  ``single_file`` is for results with a known
+    small bound (a top-N list, one row per threshold); anything else is
+    written by all its partitions."""
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
 

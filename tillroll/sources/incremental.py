@@ -13,7 +13,11 @@ SAMPLE_BUCKETS = 1_000_000
 
 def sample_rows(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
     """The first ``n`` rows of a source by ``order_by`` (a deterministic
-    version of "first n rows of the file").  ``n`` must be > 0."""
+    version of "first n rows of the file").  ``n`` must be > 0.
+
+    A sampling feature for light runs: Spark plans it as a top-n (each task
+    keeps its n best rows), so it is meant for small n.
+    """
     if n is None or int(n) <= 0:
         raise ValueError("sample_rows must be > 0")
     return df.orderBy(*order_by).limit(int(n))
