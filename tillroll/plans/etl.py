@@ -21,7 +21,6 @@ incremental load, and ``etl_log/`` (append-only).
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +30,7 @@ from tillroll import schemas as S
 from tillroll.operators import gold as gold_ops
 from tillroll.operators import quality as q
 from tillroll.operators import silver as silver_ops
+from tillroll.plans.jobs import run_concurrently
 from tillroll.sources import incremental as inc
 from tillroll.sources.adapter import RawSources
 from tillroll.sources.files import _exists
@@ -60,20 +60,8 @@ def _write(df: DataFrame, paths: WarehousePaths, name: str) -> None:
 
 
 def _write_all(tables: dict[str, DataFrame], paths: WarehousePaths) -> None:
-    """Write independent tables as concurrent Spark jobs.
-
-    Each write is its own job; submitting them together lets the scheduler
-    fill idle executor slots with the tasks of the other tables instead of
-    running small jobs one after another.  The first failure is re-raised.
-    """
-    if len(tables) == 1:
-        (name, df), = tables.items()
-        _write(df, paths, name)
-        return
-    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-        futures = [pool.submit(_write, df, paths, name) for name, df in tables.items()]
-        for f in futures:
-            f.result()
+    """Write independent tables as concurrent Spark jobs."""
+    run_concurrently({name: (lambda df=df, name=name: _write(df, paths, name)) for name, df in tables.items()})
 
 
 def read_bronze_orders(spark: SparkSession, paths: WarehousePaths) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators import baskets as bk
 from tillroll.operators import rules as rl
+from tillroll.plans.jobs import run_concurrently
 from tillroll.sources.files import write_result_csv, write_table
 
 
@@ -76,9 +77,54 @@ def write_mining(result: MiningResult, out_dir: str, rule_table_path: str | None
     # The summary (7 + 3 top-N lists) and the threshold table (one row per
     # threshold) are bounded; rules and bundles are bounded only by top_n.
     bounded = result.top_n is not None
-    write_result_csv(result.summary, f"{base}/basket_summary", single_file=True)
-    write_result_csv(result.rules, f"{base}/association_rules", single_file=bounded)
-    write_result_csv(result.bundles, f"{base}/bundle_recommendations", single_file=bounded)
-    write_result_csv(result.thresholds, f"{base}/threshold_comparison", single_file=True)
+    writes = {
+        "summary": lambda: write_result_csv(result.summary, f"{base}/basket_summary", single_file=True),
+        "rules": lambda: write_result_csv(result.rules, f"{base}/association_rules", single_file=bounded),
+        "bundles": lambda: write_result_csv(
+            result.bundles, f"{base}/bundle_recommendations", single_file=bounded
+        ),
+        "thresholds": lambda: write_result_csv(
+            result.thresholds, f"{base}/threshold_comparison", single_file=True
+        ),
+    }
     if rule_table_path:
-        write_table(result.rules, rule_table_path)
+        writes["rule_table"] = lambda: write_table(result.rules, rule_table_path)
+    run_concurrently(writes)
+
+
+def run_mining_job(
+    fact_order_line: DataFrame,
+    dim_product: DataFrame,
+    out_dir: str,
+    params: MiningParams = MiningParams(),
+    rule_table_path: str | None = None,
+) -> None:
+    """Mine and write every result.  The basket summary does not depend on
+    the itemsets, so its write runs while FP-growth mines."""
+    params.validate()
+    base = out_dir.rstrip("/")
+
+    def summary() -> None:
+        items = bk.order_items(fact_order_line, dim_product)
+        top_n = params.top_n or bk.DEFAULT_TOP_N
+        write_result_csv(
+            bk.summarize_baskets(items, top_n=top_n), f"{base}/basket_summary", single_file=True
+        )
+
+    def rules() -> None:
+        result = run_mining(fact_order_line, dim_product, params)
+        bounded = params.top_n is not None
+        writes = {
+            "rules": lambda: write_result_csv(result.rules, f"{base}/association_rules", single_file=bounded),
+            "bundles": lambda: write_result_csv(
+                result.bundles, f"{base}/bundle_recommendations", single_file=bounded
+            ),
+            "thresholds": lambda: write_result_csv(
+                result.thresholds, f"{base}/threshold_comparison", single_file=True
+            ),
+        }
+        if rule_table_path:
+            writes["rule_table"] = lambda: write_table(result.rules, rule_table_path)
+        run_concurrently(writes)
+
+    run_concurrently({"summary": summary, "rules": rules})

@@ -16,6 +16,8 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files of DataFrames that went out of scope are removed.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # RDD-based library shuffles (FP-growth moves FP-trees) use Kryo.
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     "spark.ui.enabled": "false",
