@@ -65,3 +65,18 @@ def test_sample_rows_limits_each_source(spark, scratch):
     run_stage(spark, csv_sources(spark, raw_dir, seed), paths, "bronze", sample_rows=1)
     assert read_bronze_orders(spark, paths).count() == 1
     assert spark.read.parquet(paths.table("bronze_products")).count() == 1
+
+
+def test_retried_load_rewrites_its_own_folder(spark, scratch):
+    from tillroll.plans.etl import run_bronze
+
+    raw_dir, seed = write_f1_csv(scratch)
+    raw = csv_sources(spark, raw_dir, seed)
+    paths = WarehousePaths(str(scratch / "wh"))
+    run_bronze(spark, raw, paths, "run-a")  # wrote its folder, then "failed" before logging
+    rows, wm = run_bronze(spark, raw, paths, "run-a")  # the retry under the same load id
+    ids = sorted(r.order_id for r in read_bronze_orders(spark, paths).collect())
+    assert ids == [1, 2, 3] and (rows, wm) == (3, 3)
+    # a new run sees run-a's rows as already loaded
+    run_bronze(spark, raw, paths, "run-b")
+    assert read_bronze_orders(spark, paths).count() == 3

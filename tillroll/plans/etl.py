@@ -64,11 +64,26 @@ def _write_all(tables: dict[str, DataFrame], paths: WarehousePaths) -> None:
     run_concurrently({name: (lambda df=df, name=name: _write(df, paths, name)) for name, df in tables.items()})
 
 
-def read_bronze_orders(spark: SparkSession, paths: WarehousePaths) -> DataFrame:
+LOAD_ID = "load_id"
+
+
+def read_bronze_orders(
+    spark: SparkSession, paths: WarehousePaths, exclude_load: str | None = None
+) -> DataFrame:
+    """All loaded orders; ``exclude_load`` leaves out one load's folder
+    (a partition filter, so that folder is not even listed for reading).
+
+    A load compares itself only with the *other* loads: if a run or a
+    stream batch is retried under the same load id, its earlier partial
+    output must not hide the rows it is about to rewrite.
+    """
     path = paths.table("bronze_orders")
     if not _exists(spark, path):
         return spark.createDataFrame([], S.BRONZE_ORDERS)
-    return spark.read.schema(S.BRONZE_ORDERS).parquet(path)
+    df = spark.read.schema(S.BRONZE_ORDERS_BY_LOAD).parquet(path)
+    if exclude_load is not None:
+        df = df.where(F.col(LOAD_ID) != exclude_load)
+    return df.drop(LOAD_ID)
 
 
 def current_watermark(spark: SparkSession, paths: WarehousePaths) -> int:
@@ -99,10 +114,10 @@ def run_bronze(
         sources = {k: (inc.sample_rows(df, sample_rows, keys), keys) for k, (df, keys) in sources.items()}
 
     watermark = current_watermark(spark, paths)
-    target = read_bronze_orders(spark, paths)
+    target = read_bronze_orders(spark, paths, exclude_load=run_id)
     fresh = inc.incremental_rows(orders, target, watermark)
     # Own folder per run: a retry of this run overwrites only its own rows.
-    writes = {f"bronze_orders/load_id={run_id}": fresh}
+    writes = {f"bronze_orders/{LOAD_ID}={run_id}": fresh}
     writes.update({name: inc.snapshot(df) for name, (df, _) in sources.items()})
     _write_all(writes, paths)
 

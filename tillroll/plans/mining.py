@@ -56,6 +56,8 @@ class MiningResult:
 def run_mining(fact_order_line: DataFrame, dim_product: DataFrame, params: MiningParams = MiningParams()) -> MiningResult:
     params.validate()
     items = bk.order_items(fact_order_line, dim_product)
+    if bk.clean_items(items, params.item_col).isEmpty():  # reads at most one row
+        raise ValueError("No order-product rows available for basket summary.")
     baskets = bk.baskets(items, item_col=params.item_col)
     floor = min([params.min_support, *params.thresholds])
     sets = rl.frequent_itemsets(baskets, floor, params.max_len)

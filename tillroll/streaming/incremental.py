@@ -35,7 +35,10 @@ def _load_batch(spark: SparkSession, paths: WarehousePaths, query_id: str):
         started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         run_id = f"stream-{query_id}-{batch_id}"
         watermark = current_watermark(spark, paths)
-        fresh = inc.incremental_rows(batch, read_bronze_orders(spark, paths), watermark)
+        # Compare with the other loads only: a replayed batch must rewrite
+        # the rows its failed attempt already put in its own folder.
+        target = read_bronze_orders(spark, paths, exclude_load=run_id)
+        fresh = inc.incremental_rows(batch, target, watermark)
         out = f"{paths.table('bronze_orders')}/load_id={run_id}"
         fresh.write.mode("overwrite").parquet(out)
         counters = inc.load_counters(read_bronze_orders(spark, paths), watermark).first()
