@@ -175,6 +175,28 @@ def run_gold(
     return rd("fact_order_line").count()
 
 
+WAREHOUSE_TABLES = (
+    list(S.BRONZE_TABLES) + list(S.SILVER_CONTRACT) + list(S.GOLD_CONTRACT) + ["etl_log"]
+)
+
+
+def register_views(spark: SparkSession, paths: WarehousePaths) -> list[str]:
+    """Expose every written table as a temporary view of the same name, so
+    the warehouse can be queried with ``spark.sql`` (views are lazy: each
+    query reads the Parquet files with pruning and pushdown)."""
+    names = []
+    for name in WAREHOUSE_TABLES:
+        if name == "bronze_orders":
+            df = read_bronze_orders(spark, paths)
+        elif _exists(spark, paths.table(name)):
+            df = _read(spark, paths, name)
+        else:
+            continue
+        df.createOrReplaceTempView(name)
+        names.append(name)
+    return names
+
+
 class QualityGateError(RuntimeError):
     pass
 
