@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: separator of composite natural keys.
 KEY_SEPARATOR = "|"
 
 

@@ -19,6 +19,7 @@ from tillroll.functions.text import itemset_text, strip_ws
 
 ORDER_COL = "order_id_nk"
 ITEM_COL = "product_name"
+# Summary rounding and the default top-N of the count lists.
 SUMMARY_SCALE = 4
 DEFAULT_TOP_N = 10
 

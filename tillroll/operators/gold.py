@@ -16,7 +16,8 @@ from tillroll.functions.dates import day_name, is_weekend
 from tillroll.functions.keys import composite_key, surrogate_key
 from tillroll.schemas import DEFAULT_BRANCH_ID
 
-# Membership tier thresholds on total orders.
+# Membership tier thresholds on total orders, and the
+# product-name pattern that marks an organic product.
 PLATINUM_MIN_ORDERS = 40
 GOLD_MIN_ORDERS = 15
 ORGANIC_PATTERN = "organic"

@@ -216,6 +216,7 @@ def tier_distribution(dim_customer: DataFrame) -> DataFrame:
     )
 
 
+# Fixed value: bins of the total-orders histogram.
 HISTOGRAM_BINS = 20
 
 

@@ -28,12 +28,15 @@ METRIC_SCALE = 6
 SUPPORT_MARGIN = 1e-9
 MAX_RULE_ITEMSET_SIZE = 30  # 2^k - 2 subsets per itemset must fit a LONG mask
 
-# The reference's mining defaults.
+# The reference's mining defaults and output texts.
 DEFAULT_MIN_SUPPORT = 0.005
 DEFAULT_MIN_CONFIDENCE = 0.1
 DEFAULT_MIN_LIFT = 1.0
 DEFAULT_TOP_N = 50
 DEFAULT_THRESHOLDS = (0.005, 0.01, 0.02)
+RULE_ARROW = " => "
+RULE_SENTENCE = "Recommend %s when a basket contains %s (confidence=%.2f%%, lift=%.2f)."
+BUNDLE_SENTENCE = ("Bundle ", " with ", " for cross-sell.")
 
 
 def _positive(name: str, value: float | None) -> None:
@@ -168,9 +171,9 @@ def rule_text(rules: DataFrame) -> DataFrame:
     c = itemset_text(F.col("consequent"))
     return rules.withColumn("antecedents", a).withColumn("consequents", c).select(
         "*",
-        F.concat(F.col("antecedents"), F.lit(" => "), F.col("consequents")).alias("rule_text"),
+        F.concat(F.col("antecedents"), F.lit(RULE_ARROW), F.col("consequents")).alias("rule_text"),
         F.format_string(
-            "Recommend %s when a basket contains %s (confidence=%.2f%%, lift=%.2f).",
+            RULE_SENTENCE,
             F.col("consequents"),
             F.col("antecedents"),
             F.round(F.col("confidence") * 100, 2),
@@ -236,8 +239,8 @@ def bundle_recommendations(ranked: DataFrame, text_rule: bool = True) -> DataFra
         F.round("confidence", METRIC_SCALE).alias("confidence"),
         F.round("lift", METRIC_SCALE).alias("lift"),
         F.concat(
-            F.lit("Bundle "), F.col("antecedents"), F.lit(" with "), F.col("consequents"),
-            F.lit(" for cross-sell."),
+            F.lit(BUNDLE_SENTENCE[0]), F.col("antecedents"), F.lit(BUNDLE_SENTENCE[1]),
+            F.col("consequents"), F.lit(BUNDLE_SENTENCE[2]),
         ).alias("recommendation"),
     )
 

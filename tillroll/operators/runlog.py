@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.filters import in_filters
 
+# Fixed value: how many of the latest runs the run-log views show.
 RECENT_RUNS = 200
 
 

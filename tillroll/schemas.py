@@ -139,4 +139,5 @@ SILVER_CONTRACT = {
     "stg_users": ["user_id", "total_orders"],
 }
 
+# Fixed value: natural key of the branch every order line is attributed to.
 DEFAULT_BRANCH_ID = "DEFAULT_BRANCH"

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.schemas import ETL_LOG
 
+# Fixed value: failure messages are cut to this many characters.
 MESSAGE_LIMIT = 500
 
 
