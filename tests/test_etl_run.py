@@ -104,3 +104,42 @@ def test_register_views_for_sql(spark, scratch):
         """
     ).collect()
     assert [(r.department_name, r.lines) for r in rows] == [("Produce", 3), ("Dairy Eggs", 1)]
+
+
+def test_bucketed_layout_same_rows_no_shuffle_in_line_join(spark, scratch):
+    import uuid
+
+    from tillroll.operators import gold
+    from tillroll.plans.etl import _read
+
+    raw_dir, seed = write_f1_csv(scratch)
+    raw = csv_sources(spark, raw_dir, seed)
+    db = "tillroll_t_" + uuid.uuid4().hex[:8]
+    plain = WarehousePaths(str(scratch / "plain"))
+    bucketed = WarehousePaths(str(scratch / "bucketed"), bucket_count=8, database=db)
+    run_stage(spark, raw, plain, "all")
+    run_stage(spark, raw, bucketed, "all")
+    assert spark.catalog.tableExists(f"{db}.fact_order_line")
+    for name in ("stg_orders", "stg_order_products", "fact_order_line", "fact_order_summary"):
+        a, b = _read(spark, plain, name), _read(spark, bucketed, name)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+    rd = lambda n: _read(spark, bucketed, n)
+    fact = gold.fact_order_line(
+        rd("stg_order_products"), rd("stg_orders"), rd("dim_date"), rd("dim_product"),
+        rd("dim_customer"), rd("dim_branch"), derived_dims=True,
+    )
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        import contextlib
+        import io
+
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            fact.explain("simple")
+        plan = buf.getvalue()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert not any("order_id" in line for line in exchanges), exchanges
