@@ -122,3 +122,21 @@ def test_derived_dimension_keys_equal_the_joins(spark):
     derived = gold.fact_order_line(*args, derived_dims=True)
     assert joined.exceptAll(derived).count() == 0 and derived.exceptAll(joined).count() == 0
     assert joined.count() == 4
+
+
+@pytest.mark.parametrize("members, expected", [(0, 0), (1, 4), (2, 8)])
+def test_default_branch_members_behave_like_the_inner_join(spark, members, expected):
+    from tests.fixtures import raw_f1
+    from tillroll import schemas as S
+    from tillroll.operators import gold
+
+    raw = raw_f1(spark)
+    s = build_silver(raw)
+    g = build_gold(raw, s)
+    seed = [(f"B{i}" if i >= members else "DEFAULT_BRANCH", f"n{i}", "c", "r") for i in range(3)]
+    branches = gold.dim_branch(spark.createDataFrame(seed, S.BRANCH_SEED))
+    fact = gold.fact_order_line(
+        s.stg_order_products, s.stg_orders, g.dim_date, g.dim_product, g.dim_customer, branches,
+        derived_dims=True,
+    )
+    assert fact.count() == expected

@@ -125,9 +125,7 @@ def fact_order_line(
     ``dim_date`` and ``dim_customer`` are built from these same staged
     orders and so hold exactly one row per order date / user) those two
     keys are computed from the natural keys instead of joined: the same
-    rows, without a join against a user-sized dimension.  The constant
-    branch member is an equi-join on a literal key against the (seed-sized)
-    branch table.
+    rows, without a join against a user-sized dimension.
     """
     orders = stg_orders.select(
         F.col("order_id").alias("_o_id"),
@@ -147,17 +145,19 @@ def fact_order_line(
             "_o_id", "date_key", "customer_key"
         )
     products = dim_product.select(F.col("product_id_nk").alias("_p_nk"), "product_key")
-    branch = F.broadcast(
-        dim_branch.where(F.col("branch_id_nk") == branch_id).select(
-            F.col("branch_id_nk").alias("_b_nk"), "branch_key"
-        )
+    # Every line belongs to the constant branch member: the keys of the seed
+    # rows with that natural key (one, per Q10) come from a scalar subquery
+    # and are exploded onto each line -- k members give k copies and none
+    # gives no lines, exactly like the inner join, without a join.
+    branch_keys = (
+        dim_branch.where(F.col("branch_id_nk") == branch_id)
+        .agg(F.collect_list("branch_key"))
+        .scalar()
     )
     lines = (
         stg_order_products.withColumn("_p_nk", F.col("product_id").cast("string"))
-        .withColumn("_b_nk", F.lit(branch_id))
         .join(enriched, F.col("order_id") == F.col("_o_id"))
         .join(products, "_p_nk")
-        .join(branch, "_b_nk")
     )
     return lines.select(
         composite_key("order_id", "product_id", "add_to_cart_order").alias("order_line_key"),
@@ -165,7 +165,7 @@ def fact_order_line(
         "date_key",
         "product_key",
         "customer_key",
-        "branch_key",
+        F.explode(branch_keys).alias("branch_key"),
         F.col("add_to_cart_order").cast("int").alias("add_to_cart_order"),
         F.col("reordered").cast("boolean").alias("reordered"),
         F.lit(1).alias("quantity"),
