@@ -140,3 +140,23 @@ def test_default_branch_members_behave_like_the_inner_join(spark, members, expec
         derived_dims=True,
     )
     assert fact.count() == expected
+
+
+@pytest.mark.parametrize("duplicate", [False, True])
+def test_top_customers_aggregate_first_equals_join_first(layers, duplicate):
+    _, _, g = layers
+    dc = g.dim_customer.unionByName(g.dim_customer.limit(1)) if duplicate else g.dim_customer
+    star = marts.star(g.fact_order_line, g.dim_product, g.dim_branch, g.dim_date)
+    got = {tuple(r) for r in marts.top_customers(star, dc).collect()}
+    joined = marts.star(g.fact_order_line, g.dim_product, g.dim_branch, g.dim_date, dc)
+    expected = {
+        tuple(r)
+        for r in joined.groupBy("user_id_nk", "membership_tier")
+        .agg(
+            F.countDistinct("order_id_nk").alias("orders"),
+            F.count(F.lit(1)).alias("lines"),
+            F.sum("quantity").cast("long").alias("quantity"),
+        )
+        .collect()
+    }
+    assert got == expected

@@ -244,15 +244,40 @@ def total_orders_histogram(dim_customer: DataFrame, bins: int = HISTOGRAM_BINS)
     )
 
 
-def top_customers(star_with_customer: DataFrame, filters: Filters = NO_FILTER, n: int = 20) -> DataFrame:
-    """Top n customers by lines (star joined with the customer dim)."""
+def top_customers(
+    star_df: DataFrame,
+    dim_customer: DataFrame,
+    filters: Filters = NO_FILTER,
+    n: int = 20,
+) -> DataFrame:
+    """Top n customers by lines.
+
+    The (filtered) fact is aggregated per customer key *before* meeting the
+    user-sized customer dimension, so the big join sees one row per
+    customer instead of every line.  Dimension rows are counted as copies
+    per (key, user, tier): joining k copies multiplies lines and quantity by
+    k and leaves the distinct orders alone, as the join-first query does;
+    different keys of one user hold disjoint orders, so their counts add.
+    """
+    per_key = (
+        filtered_star(star_df, filters)
+        .groupBy("customer_key")
+        .agg(
+            F.countDistinct("order_id_nk").alias("_orders"),
+            F.count(F.lit(1)).alias("_lines"),
+            F.sum("quantity").alias("_qty"),
+        )
+    )
+    members = dim_customer.groupBy("customer_key", "user_id_nk", "membership_tier").agg(
+        F.count(F.lit(1)).alias("_copies")
+    )
     return (
-        filtered_star(star_with_customer, filters)
+        per_key.join(members, "customer_key")
         .groupBy("user_id_nk", "membership_tier")
         .agg(
-            F.countDistinct("order_id_nk").alias("orders"),
-            F.count(F.lit(1)).alias("lines"),
-            F.sum("quantity").cast("long").alias("quantity"),
+            F.sum("_orders").cast("long").alias("orders"),
+            F.sum(F.col("_lines") * F.col("_copies")).cast("long").alias("lines"),
+            F.sum(F.col("_qty") * F.col("_copies")).cast("long").alias("quantity"),
         )
         .orderBy(F.desc("lines"), F.desc("orders"), F.asc_nulls_last("user_id_nk"))
         .limit(n)

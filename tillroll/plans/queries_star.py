@@ -359,12 +359,14 @@ ORDER BY lines DESC, orders DESC, c.user_id_nk ASC NULLS LAST LIMIT 20"""
 
 @register("a13_top_customers", _top_customers_sql(""))
 def a13(spark, sf):
-    return marts.top_customers(warehouse(spark, sf).star_customer)
+    w = warehouse(spark, sf)
+    return marts.top_customers(w.star, w.gold.dim_customer)
 
 
 @register("a13_top_customers_filtered", _top_customers_sql(SAMPLE_WHERE))
 def a13f(spark, sf):
-    return marts.top_customers(warehouse(spark, sf).star_customer, SAMPLE_FILTER)
+    w = warehouse(spark, sf)
+    return marts.top_customers(w.star, w.gold.dim_customer, SAMPLE_FILTER)
 
 
 @register(
