@@ -34,14 +34,16 @@ def duplicate_grain(df: DataFrame, grain: Sequence[str]) -> DataFrame:
 def fk_orphans(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Q3/Q4: fact rows whose key is missing from the dimension, per FK.
 
-    Each FK is one anti-join; the dimension side is deduplicated to its
-    keys, and the result is one (fk, orphan_rows) row per FK.
+    The fact is first counted per key (map-side combined), so the anti-join
+    meets one row per distinct key instead of every fact row; null keys
+    never match and count as orphans.  One (fk, orphan_rows) row per FK.
     """
     parts = []
     for name, (dim, key) in dims.items():
         keys = dim.select(F.col(key).alias("_k")).distinct()
-        orphans = fact.select(F.col(key).alias("_k")).join(keys, "_k", "left_anti")
-        parts.append(orphans.agg(F.count(F.lit(1)).alias("orphan_rows")).select(
+        per_key = fact.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+        orphans = per_key.join(keys, "_k", "left_anti")
+        parts.append(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("orphan_rows")).select(
             F.lit(name).alias("fk"), "orphan_rows"
         ))
     out = parts[0]
@@ -109,8 +111,9 @@ def rerun_is_idempotent(first_run_rows: DataFrame, second_run_rows: DataFrame) -
 
 
 def key_overlap(orders: DataFrame, lines: DataFrame, key: str = "order_id") -> DataFrame:
-    """Q12: distinct orders that have at least one line."""
-    return orders.select(key).join(lines.select(key), key, "left_semi").agg(
+    """Q12: distinct orders that have at least one line (line keys are
+    deduplicated map-side before the semi-join)."""
+    return orders.select(key).join(lines.select(key).distinct(), key, "left_semi").agg(
         F.countDistinct(key).alias("orders_with_lines")
     )
 
