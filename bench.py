@@ -38,6 +38,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     conf = {"spark.driver.memory": "16g"}
+    if os.environ.get("BENCH_MIN_PARTITION"):  # profiling knob; default AQE sizing otherwise
+        conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = os.environ["BENCH_MIN_PARTITION"]
     if os.environ.get("BENCH_EVENT_LOG_DIR"):  # per-stage timings for profiling
         conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
     spark = get_spark(
