@@ -217,7 +217,7 @@ def mine_rules(
     max_len: int | None = None,
     top_n: int | None = DEFAULT_TOP_N,
 ) -> DataFrame:
-    """M4 + M7 + M8 + M9 in one call (the reference's ``mine_rules``)."""
+    """M4 + M7 + M8 + M9 in one call: itemsets, rules, ranking and texts."""
     sets = frequent_itemsets(baskets, min_support, max_len)
     return rank_rules(association_rules(sets, min_confidence), min_lift, top_n)
 
