@@ -109,9 +109,9 @@ def dim_branch(branch_seed: DataFrame) -> DataFrame:
 def fact_order_line(
     stg_order_products: DataFrame,
     stg_orders: DataFrame,
-    dim_date: DataFrame,
+    dim_date: DataFrame | None,
     dim_product: DataFrame,
-    dim_customer: DataFrame,
+    dim_customer: DataFrame | None,
     dim_branch: DataFrame,
     branch_id: str = DEFAULT_BRANCH_ID,
     derived_dims: bool = False,
@@ -139,6 +139,8 @@ def fact_order_line(
             surrogate_key("_user_nk").alias("customer_key"),
         )
     else:
+        if dim_date is None or dim_customer is None:
+            raise ValueError("dim_date and dim_customer are required unless derived_dims=True")
         dates = dim_date.select(F.col("full_date").alias("_o_date"), "date_key")
         customers = dim_customer.select(F.col("user_id_nk").alias("_user_nk"), "customer_key")
         enriched = orders.join(dates, "_o_date").join(customers, "_user_nk").select(

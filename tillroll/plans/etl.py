@@ -197,25 +197,28 @@ def run_gold(
     gold_min: int = gold_ops.GOLD_MIN_ORDERS,
 ) -> int:
     rd = lambda name: _read(spark, paths, name)
+    # The fact reads the product and branch tables; it computes the date and
+    # customer keys itself (those dims derive from the same staged orders),
+    # so it is written alongside dim_date and dim_customer.
     _write_all(
         {
-            "dim_date": gold_ops.dim_date(rd("stg_orders")),
             "dim_product": gold_ops.dim_product(
                 rd("stg_products"), rd("bronze_aisles"), rd("bronze_departments"), organic_pattern
             ),
-            "dim_customer": gold_ops.dim_customer(rd("stg_users"), platinum_min, gold_min),
             "dim_branch": gold_ops.dim_branch(branch_seed),
         },
         paths,
     )
-    _write(
-        gold_ops.fact_order_line(
-            rd("stg_order_products"), rd("stg_orders"), rd("dim_date"), rd("dim_product"),
-            rd("dim_customer"), rd("dim_branch"),
-            derived_dims=True,  # both dims were just rebuilt from stg_orders
-        ),
+    _write_all(
+        {
+            "dim_date": gold_ops.dim_date(rd("stg_orders")),
+            "dim_customer": gold_ops.dim_customer(rd("stg_users"), platinum_min, gold_min),
+            "fact_order_line": gold_ops.fact_order_line(
+                rd("stg_order_products"), rd("stg_orders"), None, rd("dim_product"), None,
+                rd("dim_branch"), derived_dims=True,
+            ),
+        },
         paths,
-        "fact_order_line",
     )
     _write(gold_ops.fact_order_summary(rd("fact_order_line"), rd("stg_orders")), paths, "fact_order_summary")
     return rd("fact_order_line").count()
