@@ -143,3 +143,21 @@ def test_bucketed_layout_same_rows_no_shuffle_in_line_join(spark, scratch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert not any("order_id" in line for line in exchanges), exchanges
+
+
+def test_quality_gate_flags_planted_faults(spark, scratch):
+    from tillroll.plans.etl import _read, _write, run_quality_gate
+
+    raw_dir, seed = write_f1_csv(scratch)
+    paths = WarehousePaths(str(scratch / "wh"))
+    run_stage(spark, csv_sources(spark, raw_dir, seed), paths, "all")
+    assert run_quality_gate(spark, paths) == []
+    branch = _read(spark, paths, "dim_branch")
+    _write(spark.createDataFrame(branch.collect() * 2, branch.schema), paths, "dim_branch")
+    fact = _read(spark, paths, "fact_order_line")
+    rows = fact.collect()
+    _write(spark.createDataFrame(rows + [rows[0].asDict() | {"product_key": 42}], fact.schema), paths, "fact_order_line")
+    assert sorted(run_quality_gate(spark, paths)) == [
+        "dim_branch must hold exactly one DEFAULT_BRANCH row",
+        "orphan product keys: 1",
+    ]

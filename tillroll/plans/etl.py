@@ -261,9 +261,6 @@ def run_quality_gate(spark: SparkSession, paths: WarehousePaths) -> list[str]:
     cols = q.missing_columns(tables, S.GOLD_CONTRACT)
     if cols:
         failures.append(f"missing columns: {cols}")
-    summary_dups = q.duplicate_grain(tables["fact_order_summary"], ["order_id_nk"]).limit(1).count()
-    if summary_dups:
-        failures.append("fact_order_summary grain is not unique")
     fl = tables["fact_order_line"]
     orphans = q.fk_orphans(
         fl,
@@ -274,10 +271,21 @@ def run_quality_gate(spark: SparkSession, paths: WarehousePaths) -> list[str]:
             "branch": (tables["dim_branch"], "branch_key"),
         },
     ).where(F.col("orphan_rows") > 0)
-    failures += [f"orphan {r['fk']} keys: {r['orphan_rows']}" for r in orphans.collect()]
-    if q.default_member(tables["dim_branch"]).first()["ok"] is not True:
+    # Independent checks, submitted together; each returns a few rows at most.
+    results = run_concurrently(
+        {
+            "summary_dups": lambda: q.duplicate_grain(tables["fact_order_summary"], ["order_id_nk"]).limit(1).count(),
+            "orphans": lambda: orphans.collect(),  # at most one row per foreign key
+            "default_member": lambda: q.default_member(tables["dim_branch"]).first()["ok"],
+            "null_dates": lambda: q.null_count(rd("stg_orders"), "synthetic_order_date").first()[0],
+        }
+    )
+    if results["summary_dups"]:
+        failures.append("fact_order_summary grain is not unique")
+    failures += [f"orphan {r['fk']} keys: {r['orphan_rows']}" for r in results["orphans"]]
+    if results["default_member"] is not True:
         failures.append("dim_branch must hold exactly one DEFAULT_BRANCH row")
-    if q.null_count(rd("stg_orders"), "synthetic_order_date").first()[0]:
+    if results["null_dates"]:
         failures.append("stg_orders has null synthetic_order_date")
     return failures
 
