@@ -21,6 +21,7 @@ incremental load, and ``etl_log/`` (append-only).
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,13 +88,18 @@ def _read(spark: SparkSession, paths: WarehousePaths, name: str) -> DataFrame:
     return spark.read.parquet(paths.table(name))
 
 
+_CATALOG_LOCK = threading.Lock()
+
+
 def _write(df: DataFrame, paths: WarehousePaths, name: str) -> None:
     ident = paths.catalog_name(name)
     if ident is None:
         df.write.mode("overwrite").parquet(paths.table(name))
         return
     spark = df.sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {paths.database}")
+    with _CATALOG_LOCK:  # layer writes run concurrently; create the database once
+        if not spark.catalog.databaseExists(paths.database):
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {paths.database}")
     key = BUCKET_KEYS[name]
     (
         df.write.mode("overwrite")
