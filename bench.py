@@ -34,6 +34,14 @@ from tillroll.sources import adapter  # noqa: E402
 FILTER = marts.Filters(dows=("Monday", "Saturday", "Sunday"), departments=("ECONOMY", "PROMO", "SMALL"))
 
 
+def _scale_factor(sf_dir: str) -> float | str:
+    tail = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
+    try:
+        return float(tail)
+    except ValueError:
+        return tail
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -117,7 +125,7 @@ def main() -> None:
                 "value": times["etl_all"],
                 "unit": "sec",
                 "queries": times,
-                "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
+                "sf": _scale_factor(sf_dir),
                 "total_sec": total,
                 "etl_rows_loaded": etl["rows_loaded"],
                 "etl_rows_per_sec": round(etl["rows_loaded"] / times["etl_all"], 1),
