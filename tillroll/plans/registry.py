@@ -88,13 +88,6 @@ class Warehouse:
         g = self.gold
         return marts.star(g.fact_order_line, g.dim_product, g.dim_branch, g.dim_date)
 
-    @cached_property
-    def star_customer(self) -> DataFrame:
-        g = self.gold
-        return marts.star(
-            g.fact_order_line, g.dim_product, g.dim_branch, g.dim_date, g.dim_customer
-        )
-
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
 
