@@ -18,22 +18,28 @@ def main() -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--broadcast", action="store_true", help="keep auto-broadcast on")
+    ap.add_argument("--bucketed", action="store_true", help="build the bucketed (co-located) layout")
     args = ap.parse_args()
 
     from tillroll.operators import gold, marts, silver
-    from tillroll.plans.etl import WarehousePaths, run_stage
+    from tillroll.plans.etl import WarehousePaths, _read, run_stage
     from tillroll.session import get_spark
     from tillroll.sources import adapter
     from tillroll.sources import incremental as inc
 
     spark = get_spark("plans", master="local[8]", shuffle_partitions=16)
-    paths = WarehousePaths(tempfile.mkdtemp(prefix="tillroll-plans-"))
+    root = tempfile.mkdtemp(prefix="tillroll-plans-")
+    paths = (
+        WarehousePaths(root, bucket_count=16, database="tillroll_plans")
+        if args.bucketed
+        else WarehousePaths(root)
+    )
     raw = adapter.raw_sources(spark, args.sf)
     run_stage(spark, raw, paths, "all", with_quality=False)
     if not args.broadcast:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    rd = lambda t: spark.read.parquet(paths.table(t))
+    rd = lambda t: _read(spark, paths, t)
     star = marts.star(rd("fact_order_line"), rd("dim_product"), rd("dim_branch"), rd("dim_date"))
     plans = {
         "T2 synthetic date (bucketed running sum)": silver.stg_orders(rd("bronze_orders")),
