@@ -61,11 +61,20 @@ def main() -> None:
     raw = adapter.raw_sources(spark, sf_dir)
     adapter.read_table(spark, sf_dir, "nation").groupBy("n_regionkey").count().collect()  # warm-up
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
 
-    def timed(name, fn):
+    def timed(name, fn, required=False):
+        """Time one step; after the ETL a failing step is recorded, not fatal,
+        so the JSON line is always printed."""
         spark.sparkContext.setJobGroup(name, name)
         t0 = time.perf_counter()
-        out = fn()
+        try:
+            out = fn()
+        except Exception as exc:  # noqa: BLE001
+            if required:
+                raise
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            return None
         times[name] = round(time.perf_counter() - t0, 3)
         return out
 
@@ -75,6 +84,7 @@ def main() -> None:
             spark, raw, paths, "all", with_quality=False,
             organic_pattern=adapter.ORGANIC_PATTERN_ON_TEST_DATA,
         ),
+        required=True,
     )
 
     # The reference also publishes a rerun: bronze adds nothing, silver and
@@ -130,10 +140,11 @@ def main() -> None:
                 "etl_rows_loaded": etl["rows_loaded"],
                 "etl_rows_per_sec": round(etl["rows_loaded"] / times["etl_all"], 1),
                 "etl_watermark": etl["watermark"],
-                "etl_rerun_rows_loaded": rerun["rows_loaded"],
+                "etl_rerun_rows_loaded": rerun["rows_loaded"] if rerun else None,
                 "rules": rules,
                 "rules_brand": rules_brand,
-                "quality_failures": len(failures),
+                "quality_failures": len(failures) if failures is not None else None,
+                "errors": errors,
             }
         )
     )
