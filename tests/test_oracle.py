@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from tillroll.plans import registry
 import tools.oracle_check as oracle_check
 from tools.oracle_check import compare, duck
 
@@ -21,14 +22,15 @@ def con():
     oracle_check.STRICT = False
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_oracle(spark, con, name):
     ok, msg = compare(spark, con, entry.queries()[name], entry.oracle_sql().get(name), SF)
     assert ok, msg
 
 
 def test_every_query_but_rows_only_has_oracle():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"s8_run_log_append"}
+    assert set(registry.queries()) - set(registry.oracle_sql()) == {"s8_run_log_append"}
+    assert set(registry.queries()) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
