@@ -3,6 +3,8 @@ reliable checkpoints and bounded samples."""
 
 from __future__ import annotations
 
+import gc
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -88,3 +90,31 @@ def batches(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema
         )
+
+
+class Scratch:
+    """Intermediate tables in ``spark.checkpoint.dir``.
+
+    A written table is a cut in the lineage that survives lost executors and,
+    unlike a checkpoint, is compressed and can be removed as soon as the next
+    pass is written.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.root = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.root}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
+
+    def drop(self, *names: str) -> None:
+        """Remove tables that nothing reads any more, and let Spark's cleaner
+        drop the shuffle files of the frames that made them."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path.getFileSystem(conf).delete(path, True)
+        gc.collect()
+        jvm.System.gc()

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, exact_dedup, simhash
+from tillroll.llm import bpe, decontaminate, exact_dedup, simhash, suffix_dedup
 from tillroll.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,14 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), depth=200)
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=3, seed=42)
 
@@ -30,11 +38,53 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_suffix_dedup": op2_suffix_dedup,
+    "op4_decontaminate": op4_decontaminate,
     "op6_simhash": op6_simhash,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    # Another complete filter than the masks: 12 words with two substitutions
+    # at most hold a run of four equal words.
+    "op4_decontaminate": """
+        WITH d AS (
+          SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w
+          FROM documents
+        ), b AS (
+          SELECT DISTINCT item_id,
+                 list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w
+          FROM benchmark
+        ), dg AS (
+          SELECT doc_id, p, concat_ws(' ', w[p], w[p + 1], w[p + 2], w[p + 3]) AS g
+          FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS p FROM d)
+        ), bg AS (
+          SELECT item_id, len(w) AS m, p, concat_ws(' ', w[p], w[p + 1], w[p + 2], w[p + 3]) AS g
+          FROM (SELECT item_id, w, unnest(range(1, len(w) - 2)) AS p FROM b)
+        ), line AS (
+          SELECT DISTINCT doc_id, item_id, dg.p - bg.p AS shift
+          FROM dg JOIN bg USING (g) WHERE m >= 12 OR (m >= 5 AND bg.p = 1)
+        ), word AS (
+          SELECT doc_id, item_id, shift, m, n, i, CASE WHEN bw[i] = dw[i + shift] THEN 1 ELSE 0 END AS same
+          FROM (SELECT line.*, b.w AS bw, d.w AS dw, len(b.w) AS m, len(d.w) AS n, unnest(range(1, len(b.w) + 1)) AS i
+                FROM line JOIN b USING (item_id) JOIN d USING (doc_id))
+          WHERE i + shift BETWEEN 1 AND n
+        ), seen AS (
+          SELECT doc_id, item_id, shift, m, i,
+                 sum(same) OVER ahead AS n_equal, count(*) OVER ahead AS size, sum(same) OVER five AS head
+          FROM word
+          WINDOW ahead AS (PARTITION BY doc_id, item_id, shift ORDER BY i ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING),
+                 five AS (PARTITION BY doc_id, item_id, shift ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)
+        ), hit AS (
+          SELECT doc_id, item_id, i + shift - 1 AS doc_at, size, n_equal
+          FROM seen
+          WHERE (m >= 12 AND size = 12 AND n_equal >= 10)
+             OR (m < 12 AND i = 1 AND size = m AND head = 5 AND n_equal >= ceil(0.8 * m))
+        )
+        SELECT doc_id, item_id, count(*) AS n_windows, CAST(max(n_equal) AS INTEGER) AS best_equal,
+               CAST(min(doc_at) AS INTEGER) AS first_word, CAST(max(doc_at + size - 1) AS INTEGER) AS last_word
+        FROM hit GROUP BY doc_id, item_id
+    """,
     "op9_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
