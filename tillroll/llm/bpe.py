@@ -31,7 +31,7 @@ from tillroll.llm.common import batches, columns, id_text, small_batches
 
 # Characters of the pieces remembered per Python worker.  The table is emptied
 # before the next text once it is over, which costs time only.
-CACHE_CHARS = 2_000_000
+CACHE_CHARS = 4_000_000
 
 
 @lru_cache(maxsize=1)
