@@ -6,7 +6,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import batches, checkpoint, columns, id_text, small_batches
@@ -98,34 +98,38 @@ def links(fps: DataFrame, radius: int) -> DataFrame:
     hold more than ``PAIRWISE`` fingerprints: no bucket is cut and none grows
     with the corpus.
     """
-    spark = fps.sparkSession
-    out = None
-    paths = {0: covering_masks(radius)}
+    out, fixed = None, [0]
     pending = fps.select("fp", F.lit(0).cast("long").alias("fixed"))
     while True:
-        steps = [(_signed(f), _signed(m)) for f, ms in paths.items() for m in dict.fromkeys(ms)]
-        table = F.broadcast(spark.createDataFrame(steps, "fixed long, mask long"))  # from the radius alone
-        keyed = pending.join(table, "fixed").select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
+        # From the radius alone: 15 masks for radius 3, then 225, then 3375.
+        paths = {f: list(dict.fromkeys(covering_masks(radius, f))) for f in fixed}
+        keyed = pending.select("fp", F.explode(_masks_of(paths)).alias("mask"))
+        keyed = keyed.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
         sizes = (
             keyed.groupBy("mask", "key")
             .agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
             .where("n > 1")
         )
         sizes = checkpoint(sizes)
-        free = max(BITS - m.bit_count() for ms in paths.values() for m in ms)
-        last = 1 << free <= PAIRWISE or free == 0
-        found = sizes.where("n = 2").select("a", "b")
-        some = F.col("n") > 2 if last else (F.col("n") > 2) & (F.col("n") <= PAIRWISE)
-        members = keyed.join(sizes.where(some).select("mask", "key"), ["mask", "key"])
-        grouped = members.groupBy("mask", "key").agg(F.collect_list("fp").alias("fps")).select("fps")
-        found = found.unionByName(grouped.mapInArrow(_close_pairs(radius), "a long, b long"))
+        members = checkpoint(keyed.join(sizes.where("n > 2").select("mask", "key", "n"), ["mask", "key"]))
+        fixed = [m for ms in paths.values() for m in ms]
+        last = max(BITS - m.bit_count() for m in fixed) <= PAIRWISE.bit_length() - 1
+        near = members if last else members.where(F.col("n") <= PAIRWISE)
+        grouped = near.groupBy("mask", "key").agg(F.collect_list("fp").alias("fps")).select("fps")
+        found = sizes.where("n = 2").select("a", "b").unionByName(grouped.mapInArrow(_close_pairs(radius), "a long, b long"))
         found = found.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
         out = found if out is None else out.unionByName(found)
-        large = sizes.where(F.col("n") > PAIRWISE)
-        if last or large.isEmpty():
+        pending = members.where(F.col("n") > PAIRWISE).select("fp", F.col("mask").alias("fixed"))
+        if last or pending.isEmpty():
             return out
-        pending = keyed.join(large.select("mask", "key"), ["mask", "key"]).select("fp", F.col("mask").alias("fixed"))
-        paths = {m: covering_masks(radius, m) for ms in paths.values() for m in ms}
+
+
+def _masks_of(paths: dict[int, list[int]]) -> Column:
+    """The masks that continue a row's ``fixed`` bits."""
+    arrays = {f: F.array(*[F.lit(_signed(m)) for m in ms]) for f, ms in paths.items()}
+    if len(arrays) == 1:
+        return next(iter(arrays.values()))
+    return F.create_map(*[x for f, ms in arrays.items() for x in (F.lit(_signed(f)), ms)])[F.col("fixed")]
 
 
 def _close_pairs(radius: int):
