@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, decontaminate, exact_dedup, simhash, suffix_dedup
+from tillroll.llm import bpe, decontaminate, exact_dedup, quality, simhash, suffix_dedup, toxicity
 from tillroll.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), depth=200)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -31,6 +35,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=3, seed=42)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.5)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"), digest_all=True)
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.col("full_sha256").alias("text_sha256"))
@@ -39,8 +47,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_decontaminate": op4_decontaminate,
     "op6_simhash": op6_simhash,
+    "op7_quality": op7_quality,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
