@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, decontaminate, exact_dedup, quality, simhash, suffix_dedup, toxicity
+from tillroll.llm import bpe, decontaminate, exact_dedup, html_text, packing, pii, quality, simhash, suffix_dedup, toxicity
 from tillroll.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, length=2048, pad=50256)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=3, seed=42)
 
@@ -39,6 +44,14 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.5)
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"), digest_all=True)
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.col("full_sha256").alias("text_sha256"))
@@ -49,9 +62,12 @@ QUERIES: dict[str, QueryFn] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_decontaminate": op4_decontaminate,
+    "op5_packing": op5_packing,
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
+    "op8_html_text": op8_html_text,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_pii": op10_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {
