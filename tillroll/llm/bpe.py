@@ -169,13 +169,13 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, decoded binary")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
     """Encode and decode in one pass; per document its number of tokens, the
-    digest of its ids (decimal, joined by commas) and of the decoded bytes."""
+    digest of its ids (decimal, joined by commas) and of the decoded bytes,
+    and with ``with_ids`` the ids.  Rows as for :func:`encode_documents`."""
     small_batches(docs.sparkSession)
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
-    )
+    fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+    schema = pa.schema([*fields, *([("ids", pa.list_(pa.int32()))] if with_ids else [])])
 
     def run(source):
         bpe = codec(path, pattern)
@@ -185,7 +185,9 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 ids = bpe.encode(text)
                 spelled = ",".join([bpe.decimal[i] for i in ids]).encode()
                 back = bpe.decode_bytes(ids)
-                rows.append((doc_id, len(ids), hashlib.sha256(spelled).hexdigest(), hashlib.sha256(back).hexdigest()))
+                row = (doc_id, len(ids), hashlib.sha256(spelled).hexdigest(), hashlib.sha256(back).hexdigest())
+                rows.append((*row, ids) if with_ids else row)
             yield from batches(rows, schema)
 
-    return id_text(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    ddl = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return id_text(docs).mapInArrow(run, ddl + (", ids array<int>" if with_ids else ""))

@@ -31,6 +31,23 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """(row_id, doc_id, text).  Numbers follow the stored files, so they are the
+    same in every pass and in a retried task: ``docs`` must be a stored table,
+    not the result of a shuffle."""
+    return id_text(docs).withColumn("row_id", F.monotonically_increasing_id())
+
+
+def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``docs``, all columns, without the rows numbered in ``dropped`` (row_id)."""
+    gone = dropped.select(F.col("row_id").alias("_dropped"))
+    return (
+        docs.withColumn("_row", F.monotonically_increasing_id())
+        .join(gone, F.col("_row") == F.col("_dropped"), "left_anti")
+        .drop("_row")
+    )
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches that carry whole texts to Python workers."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))

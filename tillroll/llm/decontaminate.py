@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import id_text
+from tillroll.llm.common import numbered, without_rows
 
 WINDOW = 12
 MATCHES = 10
@@ -71,7 +71,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows are found each on their own; a null doc_id or item_id is carried
     along (null items count as one).  Other columns are left out.
     """
-    rows = id_text(docs).select(F.monotonically_increasing_id().alias("row_id"), "doc_id", words_of("text").alias("words"))
+    rows = numbered(docs).select("row_id", "doc_id", words_of("text").alias("words"))
     rows = rows.withColumn("n", F.size("words"))
     items = _items(benchmark)
     item_words = items.select("item_id", F.col("item").alias("words"), F.col("m").alias("n"), F.col("m").alias("len"))
@@ -129,9 +129,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs``, all columns, without the rows that overlap a benchmark item."""
-    found = overlaps(docs, benchmark).select(F.col("row_id").alias("_found")).distinct()
-    return (
-        docs.withColumn("_row", F.monotonically_increasing_id())
-        .join(found, F.col("_row") == F.col("_found"), "left_anti")
-        .drop("_row")
-    )
+    return without_rows(docs, overlaps(docs, benchmark).select("row_id").distinct())

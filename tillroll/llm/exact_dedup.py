@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import id_text
+from tillroll.llm.common import numbered, without_rows
 
 PREFIX_BYTES = 64
 BITMAP_BITS = 22
@@ -95,18 +95,6 @@ def exact_groups(docs: DataFrame, prefix_bytes: int = PREFIX_BYTES, digest_all:
     )
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """(row_id, doc_id, text); numbers follow the stored files, so they are the
-    same in every pass and in a retried task.  ``docs`` must be a stored
-    table, not the result of a shuffle."""
-    return id_text(docs).withColumn("row_id", F.monotonically_increasing_id())
-
-
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs``, all columns, without the rows that :func:`exact_groups` drops."""
-    dropped = exact_groups(docs).where(~F.col("kept")).select(F.col("row_id").alias("_dropped"))
-    return (
-        docs.withColumn("_row", F.monotonically_increasing_id())
-        .join(dropped, F.col("_row") == F.col("_dropped"), "left_anti")
-        .drop("_row")
-    )
+    return without_rows(docs, exact_groups(docs).where(~F.col("kept")))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import Scratch, batches, columns, id_text, small_batches
+from tillroll.llm.common import Scratch, batches, columns, numbered, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -221,7 +221,7 @@ def find(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     scratch = Scratch(spark, "pii")
-    rows = id_text(docs).withColumn("row_id", F.monotonically_increasing_id())
+    rows = numbered(docs)
     span = pa.struct([("start", pa.int32()), ("rank", pa.int32()), ("end", pa.int32())])
     instance = pa.struct(
         [("pattern", pa.string()), ("instance", pa.string()), ("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]

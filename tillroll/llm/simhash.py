@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import batches, checkpoint, columns, id_text, small_batches
+from tillroll.llm.common import batches, checkpoint, columns, numbered, small_batches, without_rows
 from tillroll.llm.components import components
 
 BITS = 64
@@ -49,19 +49,20 @@ def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp) per row of ``docs``; fp is the fingerprint as a signed long."""
+    """(row_id, doc_id, fp) per row of ``docs``; fp is the fingerprint as a
+    signed long."""
     small_batches(docs.sparkSession)
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    schema = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def run(source):
         for batch in source:
             rows = [
-                (d, int(np.uint64(fingerprint(t, shingle, seed)).view(np.int64)))
-                for d, t in zip(*columns(batch, "doc_id", "text"))
+                (r, d, int(np.uint64(fingerprint(t, shingle, seed)).view(np.int64)))
+                for r, d, t in zip(*columns(batch, "row_id", "doc_id", "text"))
             ]
             yield from batches(rows, schema)
 
-    return id_text(docs).mapInArrow(run, "doc_id long, fp long")
+    return numbered(docs).mapInArrow(run, "row_id long, doc_id long, fp long")
 
 
 def covering_masks(radius: int, fixed: int = 0) -> list[int]:
@@ -148,6 +149,21 @@ def _close_pairs(radius: int):
     return run
 
 
+def _named(docs: DataFrame, shingle: int, max_bits: int, seed: int) -> DataFrame:
+    """(row_id, doc_id, fp, first) per row; first is the (missing, doc_id,
+    row_id) that comes first in the row's group, rows without a doc_id last."""
+    prints = checkpoint(fingerprints(docs, shingle, seed))
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row_id")
+    distinct = checkpoint(prints.groupBy("fp").agg(F.min(order).alias("low")))
+    roots = components(links(distinct, max_bits))
+    member = distinct.join(roots, distinct["fp"] == roots["vertex"], "left").select(
+        "fp", "low", F.coalesce("root", "fp").alias("root")
+    )
+    first = member.groupBy("root").agg(F.min("low").alias("first"))
+    named = member.join(first, "root").select(F.col("fp").alias("of"), "first")
+    return prints.join(named, F.col("fp") == F.col("of")).drop("of")
+
+
 def near_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, fingerprint, component_id) per row of ``docs``.
 
@@ -157,27 +173,17 @@ def near_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3, seed: int
     and linked, so a group of copies costs one row however large it is.
 
     A null text counts as empty; texts without words have fingerprint 0 and
-    link like any other.  Repeated rows come out repeated; a null doc_id is
-    never a component's smallest unless it has no other.  Other columns of
-    ``docs`` are left out.
+    link like any other.  Repeated rows come out repeated; component_id is null
+    only where no row of the group has a doc_id.  Other columns of ``docs`` are
+    left out.  ``docs`` must be a stored table (rows are numbered as stored).
     """
-    prints = checkpoint(fingerprints(docs, shingle, seed))
-    distinct = checkpoint(prints.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    roots = components(links(distinct, max_bits))
-    member = distinct.join(roots, distinct["fp"] == roots["vertex"], "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root")
-    )
-    lowest = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = member.join(lowest, "root").select(F.col("fp").alias("of"), "component_id")
-    return prints.join(named, F.col("fp") == F.col("of")).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return _named(docs, shingle, max_bits, seed).select("doc_id", digits, F.col("first.doc_id").alias("component_id"))
 
 
-def one_per_group(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """``docs``, all columns, with one document of each near-duplicate group:
-    the one with the smallest doc_id.  A null doc_id is never dropped (it
-    cannot be named); of rows that repeat the kept doc_id all stay."""
-    groups = near_groups(docs, shingle, max_bits)
-    dropped = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"] == F.col("_dropped"), "left_anti")
+def one_per_group(docs: DataFrame, shingle: int = 3, max_bits: int = 3, seed: int = 42) -> DataFrame:
+    """``docs``, all columns, with exactly one row of each near-duplicate group:
+    the one with the smallest doc_id, of rows that share it the first stored;
+    rows without a doc_id only where the group has no other."""
+    named = _named(docs, shingle, max_bits, seed)
+    return without_rows(docs, named.where("row_id <> first.row_id"))

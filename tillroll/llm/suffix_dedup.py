@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import Scratch, batches, columns, id_text, small_batches
+from tillroll.llm.common import Scratch, batches, columns, numbered, small_batches
 
 DEPTH = 200
 DIGIT = 64
@@ -180,8 +180,7 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, Data
     small_batches(spark)
     digit = min(DIGIT, max(1, depth // 2))
     reach = depth - digit
-    # Numbers follow the stored files: the same in every pass and in a retried task.
-    rows = id_text(docs).withColumn("row_id", F.monotonically_increasing_id())
+    rows = numbered(docs)
     scratch = Scratch(spark, "suffix")
 
     # Pass 1: anchors by their first digit.

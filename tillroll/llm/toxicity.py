@@ -18,15 +18,16 @@ texts that trained neither dictionary, gives the score.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import batches, columns, held_out, id_text, labelled_sample, small_batches
+from tillroll.llm.common import held_out, id_text, labelled_sample, small_batches
 
 
 LEAD = 96
@@ -193,6 +194,22 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, logit))))
 
 
+def rater(docs: DataFrame, labels: DataFrame, target: str, params: Params):
+    """A column function from text to score, learned from ``docs`` and ``labels``."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    model = learn(labelled_sample(docs, labels, target, params.per_class, params.max_chars), params)
+    sent = spark.sparkContext.broadcast(model)  # two dictionaries of bounded size
+
+    @F.pandas_udf("double")
+    def rate(source: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(sent.value, params)
+        for texts in source:
+            yield pd.Series([scorer(t) for t in texts], dtype="float64")
+
+    return lambda text: rate(F.coalesce(text, F.lit("")))
+
+
 def score(docs: DataFrame, labels: DataFrame, target: str = "toxic", threshold: float = 0.7, params: Params = Params()) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``.
 
@@ -201,17 +218,15 @@ def score(docs: DataFrame, labels: DataFrame, target: str = "toxic", threshold:
     text has no window and the score of none; repeated rows score alike; a
     null doc_id stays null and is not held out.  Other columns are left out.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    model = learn(labelled_sample(docs, labels, target, params.per_class, params.max_chars), params)
-    sent = spark.sparkContext.broadcast(model)  # two dictionaries of bounded size
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
-
-    def run(source):
-        scorer = Scorer(sent.value, params)
-        for batch in source:
-            yield from batches([(d, scorer(t)) for d, t in zip(*columns(batch, "doc_id", "text"))], schema)
-    scored = id_text(docs).mapInArrow(run, "doc_id long, score double")
-    return scored.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+    rate = rater(docs, labels, target, params)
+    return (
+        id_text(docs)
+        .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), rate(F.col("text")).alias("score"))
+        .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
     )
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, params: Params = Params()) -> DataFrame:
+    """``docs``, all columns, without the rows that score ``threshold`` or more."""
+    rate = rater(docs, labels, "toxic", params)
+    return docs.where(rate(docs["text"]) < threshold)
