@@ -34,7 +34,7 @@ def test_baskets_drop_null_blank_and_single_items(spark):
 
 
 def test_missing_columns_raise(spark):
-    with pytest.raises(ValueError, match="Missing required columns"):
+    with pytest.raises(ValueError, match="the frame lacks"):
         bk.baskets(spark.createDataFrame([("1",)], "order_id_nk string"))
 
 
@@ -176,3 +176,16 @@ def test_invalid_parameters(spark):
         rl.frequent_itemsets(b, 0)
     with pytest.raises(ValueError):
         rl.compare_thresholds(b, [])
+
+
+def test_long_itemsets_expand_where_confidence_prunes(spark):
+    # One set of 34 items in a fiftieth of the baskets that hold its items: 2^34 splits, few confident.
+    items = [f"i{n:02d}" for n in range(34)]
+    rows = [(items, 34, 10, 1000)]
+    rows += [([i], 1, 500, 1000) for i in items]
+    rows += [(items[:k] + items[k + 1 :], 33, 10 if k == 3 else 400, 1000) for k in range(34)]
+    sets = spark.createDataFrame(rows, "items array<string>, size int, freq long, n long")
+    found = rl.association_rules(sets.where("size <> 33 OR freq = 10"), 0.5).collect()
+    assert [(tuple(r.antecedent), tuple(r.consequent)) for r in found] == [
+        (tuple(items[:3] + items[4:]), (items[3],))
+    ]

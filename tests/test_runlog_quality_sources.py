@@ -85,3 +85,29 @@ def test_result_csv_roundtrip_and_missing(spark, scratch):
     files.write_result_csv(df, path)
     back = files.read_result_csv(spark, path, S.BUNDLES).collect()
     assert back[0].recommended_product == "B" and back[0].lift == 1.2
+
+
+def test_csv_reads_quotes_and_columns_by_name(spark, scratch):
+    import pytest
+    from tillroll import schemas as S
+    from tillroll.sources.files import _exists, header_columns, read_csv_source
+
+    path = scratch / "products.csv"
+    path.write_text(
+        'department_id,note,product_name,product_id,aisle_id\n3,x,"Say ""Cheese"", Mild",1,40\n4,,Plain,2,41\n'
+    )
+    rows = read_csv_source(spark, str(path), S.BRONZE_PRODUCTS).orderBy("product_id").collect()
+    assert [(r.product_id, r.product_name, r.aisle_id, r.department_id) for r in rows] == [
+        (1, 'Say "Cheese", Mild', 40, 3), (2, "Plain", 41, 4)
+    ]
+    assert q.source_drift({"products": header_columns(spark, str(path))}, {"products": S.BRONZE_PRODUCTS.names}) == [
+        ("products", "note", "unexpected")
+    ]
+    path.write_text("product_id,product_name,aisle_id\n1,a,2\n")
+    with pytest.raises(ValueError, match="department_id"):
+        read_csv_source(spark, str(path), S.BRONZE_PRODUCTS)
+    path.write_text("product_id,product_name,aisle_id,department_id\nx9,a,2,3\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        read_csv_source(spark, str(path), S.BRONZE_PRODUCTS).collect()
+    assert _exists(spark, str(path)) and _exists(spark, f"file:{path}") and _exists(spark, f"file://{path}")
+    assert not _exists(spark, f"file:{path}-not")

@@ -45,7 +45,7 @@ def test_failed_batch_is_replayed_without_duplicates(spark, scratch, monkeypatch
 
     real_append = stream_mod.append_log
 
-    def failing_append(row, path):
+    def failing_append(*args):
         raise RuntimeError("executor lost after the write")
 
     monkeypatch.setattr(stream_mod, "append_log", failing_append)
@@ -60,3 +60,42 @@ def test_failed_batch_is_replayed_without_duplicates(spark, scratch, monkeypatch
     start_orders_stream(spark, str(landing), paths).awaitTermination()  # replays the batch
     assert sorted(r.order_id for r in read_bronze_orders(spark, paths).collect()) == [1, 2]
     assert read_log(spark, paths.log).count() == 1
+
+
+def test_batch_that_dies_after_its_log_row_keeps_its_rows(spark, scratch, monkeypatch):
+    import tillroll.streaming.incremental as stream_mod
+
+    landing = scratch / "landing"
+    paths = WarehousePaths(str(scratch / "wh"))
+    _drop(landing / "a.csv", [(1, 10, "prior", 1, 1, 10, None), (2, 10, "train", 2, 2, 11, 5.0)])
+    real_append = stream_mod.append_log
+
+    def append_then_die(*args):
+        real_append(*args)
+        raise RuntimeError("driver lost before the stream committed the batch")
+
+    monkeypatch.setattr(stream_mod, "append_log", append_then_die)
+    try:
+        start_orders_stream(spark, str(landing), paths).awaitTermination()
+    except Exception:
+        pass
+    assert read_log(spark, paths.log).count() == 1
+    monkeypatch.setattr(stream_mod, "append_log", real_append)
+    start_orders_stream(spark, str(landing), paths).awaitTermination()
+    assert sorted(r.order_id for r in read_bronze_orders(spark, paths).collect()) == [1, 2]
+    log = read_log(spark, paths.log).collect()
+    assert [(r.rows_loaded, r.watermark_order_id) for r in log] == [(2, 2)]
+
+
+def test_a_file_with_another_header_fails_the_batch(spark, scratch):
+    landing = scratch / "landing"
+    landing.mkdir(parents=True)
+    names = [x.name for x in S.BRONZE_ORDERS]
+    (landing / "a.csv").write_text(",".join([names[1], names[0], *names[2:]]) + "\n10,1,prior,1,1,10,\n")
+    paths = WarehousePaths(str(scratch / "wh"))
+    try:
+        start_orders_stream(spark, str(landing), paths).awaitTermination()
+    except Exception as exc:
+        assert "header" in str(exc).lower()
+    else:
+        raise AssertionError("columns were read by position")

@@ -37,7 +37,7 @@ def order_items(fact_order_line: DataFrame, dim_product: DataFrame) -> DataFrame
 def require_columns(df: DataFrame, required: Sequence[str]) -> None:
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"the frame lacks {missing}")
 
 
 def clean_items(items: DataFrame, item_col: str = ITEM_COL, order_col: str = ORDER_COL) -> DataFrame:

@@ -2,10 +2,11 @@
 
 Itemsets come from Spark ML's parallel FP-growth: transactions are split
 into per-item-group conditional databases that are folded into FP-trees
-map-side, so no basket pairs are ever materialised.  Rules are expanded
-from each frequent itemset with a subset bitmask (every non-empty proper
-subset is an antecedent, so multi-item consequents appear) and priced by two
-joins back to the itemset counts.
+map-side, so no basket pairs are ever materialised.  Rules grow from each
+frequent itemset by levels: one-item consequents first, then one item more
+where the smaller consequent met the confidence.  Confidence never rises as the
+consequent grows, so what a level drops has no extension, and no itemset is
+too long to expand.
 
 Support boundaries follow ``count / n >= min_support`` exactly: FP-growth
 is fitted a hair below the threshold (it rounds the minimum count up) and
@@ -26,7 +27,6 @@ from tillroll.session import ensure_checkpoint_dir
 
 METRIC_SCALE = 6
 SUPPORT_MARGIN = 1e-9
-MAX_RULE_ITEMSET_SIZE = 30  # 2^k - 2 subsets per itemset must fit a LONG mask
 
 # The reference's mining defaults and output texts.
 DEFAULT_MIN_SUPPORT = 0.005
@@ -36,7 +36,7 @@ DEFAULT_TOP_N = 50
 DEFAULT_THRESHOLDS = (0.005, 0.01, 0.02)
 RULE_ARROW = " => "
 RULE_SENTENCE = "Recommend %s when a basket contains %s (confidence=%.2f%%, lift=%.2f)."
-BUNDLE_SENTENCE = ("Bundle ", " with ", " for cross-sell.")
+BUNDLE_SENTENCE = "Bundle %s with %s for cross-sell."
 
 
 def _positive(name: str, value: float | None) -> None:
@@ -71,9 +71,7 @@ def frequent_itemsets(
         baskets = baskets.select("items").checkpoint(eager=True)
     n = baskets.count()
     if n == 0:
-        raise ValueError(
-            "Need at least one basket with two or more products to mine association rules."
-        )
+        raise ValueError("no basket holds two different items, so there is nothing to mine")
     fp = FPGrowth(itemsCol="items", minSupport=min_support * (1 - SUPPORT_MARGIN), minConfidence=1.0)
     # Item groups are spread over at least the cluster's default parallelism
     # (AQE may have coalesced a small basket table into very few partitions).
@@ -116,26 +114,30 @@ def association_rules(
     ``n``.
     """
     _positive("min_confidence", min_confidence)
-    multi = itemsets.where(F.col("size") >= 2).withColumn(
-        "size",
-        F.when(
-            F.col("size") <= MAX_RULE_ITEMSET_SIZE, F.col("size")
-        ).otherwise(F.raise_error(F.lit("itemset too large to expand into rules"))),
-    )
-    splits = multi.select(
-        "items",
-        F.col("freq").alias("ac_freq"),
-        "n",
-        F.explode(F.expr("sequence(1L, shiftleft(1L, size) - 2)")).alias("_mask"),
-    ).select(
-        F.expr("filter(items, (x, i) -> (shiftright(_mask, i) & 1) = 1)").alias("antecedent"),
-        F.expr("filter(items, (x, i) -> (shiftright(_mask, i) & 1) = 0)").alias("consequent"),
-        "ac_freq",
-        "n",
-    )
-    a = itemsets.select(F.col("items").alias("antecedent"), F.col("freq").alias("a_freq"))
+    ensure_checkpoint_dir(itemsets.sparkSession)
+    counted = itemsets.select(F.col("items").alias("antecedent"), F.col("freq").alias("a_freq"))
+    sets = itemsets.where("size >= 2").select("items", "size", F.col("freq").alias("ac_freq"), "n")
+    # The last item of a consequent is the largest, so each consequent is reached once.
+    grown = sets.select("*", F.expr("inline(transform(items, x -> struct(array(x) AS consequent)))"))
+    splits = None
+    while True:
+        priced = (
+            grown.withColumn("antecedent", F.array_except("items", "consequent"))
+            .join(counted, "antecedent")
+            .where(F.col("ac_freq") / F.col("a_freq") >= F.lit(min_confidence))
+        )
+        priced = priced.checkpoint(eager=True)
+        splits = priced if splits is None else splits.unionByName(priced)
+        longer = "filter(items, x -> x > element_at(consequent, -1))"
+        grown = (
+            priced.where(F.size("consequent") + 1 < F.col("size"))
+            .select("items", "size", "ac_freq", "n", "consequent", F.explode(F.expr(longer)).alias("_next"))
+            .select("items", "size", "ac_freq", "n", F.concat("consequent", F.array("_next")).alias("consequent"))
+        )
+        if grown.isEmpty():
+            break
     c = itemsets.select(F.col("items").alias("consequent"), F.col("freq").alias("c_freq"))
-    rules = splits.join(a, "antecedent").join(c, "consequent")
+    rules = splits.join(c, "consequent")
     confidence = F.col("ac_freq") / F.col("a_freq")
     return (
         rules.select(
@@ -150,7 +152,7 @@ def association_rules(
             "a_freq",
             "c_freq",
             "n",
-        ).where(F.col("confidence") >= F.lit(min_confidence))
+        )
     )
 
 
@@ -238,10 +240,7 @@ def bundle_recommendations(ranked: DataFrame, text_rule: bool = True) -> DataFra
         F.round("support", METRIC_SCALE).alias("support"),
         F.round("confidence", METRIC_SCALE).alias("confidence"),
         F.round("lift", METRIC_SCALE).alias("lift"),
-        F.concat(
-            F.lit(BUNDLE_SENTENCE[0]), F.col("antecedents"), F.lit(BUNDLE_SENTENCE[1]),
-            F.col("consequents"), F.lit(BUNDLE_SENTENCE[2]),
-        ).alias("recommendation"),
+        F.format_string(BUNDLE_SENTENCE, F.col("antecedents"), F.col("consequents")).alias("recommendation"),
     )
 
 

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 # Fixed value: day zero of the synthetic calendar.
 SYNTHETIC_EPOCH = dt.date(2024, 1, 1)
 
-# Rows of one key are split into order-number buckets of this width before
-# the running sum, so a hot key is spread over many window tasks.
+# Distinct order numbers of one key are split into buckets of this width, so
+# the running sum of a key with very many of them is spread over tasks.
 RUNNING_SUM_BUCKET = 4096
-NULL_BUCKET = -(2**63)
+LAST_BUCKET = 2**62  # of rows without an order number, which come last
 
 
 def _round_to_int(c: Column) -> Column:
@@ -45,41 +45,41 @@ def running_sum(
     out_col: str,
     bucket_width: int = RUNNING_SUM_BUCKET,
 ) -> DataFrame:
-    """``sum(value) over (partition by key order by order_col)`` with the
-    default RANGE frame (ties on ``order_col`` share one value), computed
-    in two levels so one hot key never becomes one task:
-
-    1. per (key, bucket) totals, bucket = order_col div width (ties stay in
-       one bucket) -- an aggregation with map-side combine;
-    2. exclusive prefix of bucket totals per key (one row per bucket);
-    3. RANGE running sum inside each (key, bucket) window plus the offset.
+    """``sum(value) over (partition by key order by order_col nulls last)`` with
+    the default RANGE frame (ties on ``order_col`` share one value), computed
+    so that neither a hot key nor a hot tie is one task's work:
+
+    1. per (key, order_col) totals, an aggregation with map-side combine: ties
+       collapse before the shuffle, however many rows they have;
+    2. those distinct numbers in buckets (order_col div width): running sum
+       inside each (key, bucket), plus the totals of the buckets before;
+    3. the sums joined back to the rows on (key, order_col).
     """
-    # Rows with a null order value get a sentinel bucket below every real one:
-    # they are the first peer group of a plain window, and a non-null bucket
-    # keeps the final join a plain equi-join on the window's partitioning
-    # (so the large side is not shuffled again).
-    bucket = F.coalesce(F.floor(F.col(order_col) / F.lit(bucket_width)), F.lit(NULL_BUCKET))
-    with_bucket = df.withColumn("_rs_bucket", bucket)
-    totals = with_bucket.groupBy(key, "_rs_bucket").agg(F.sum(value_col).alias("_rs_total"))
-    before = Window.partitionBy(key).orderBy("_rs_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
+    totals = df.groupBy(F.col(key).alias("_rs_key"), F.col(order_col).alias("_rs_order")).agg(
+        F.sum(value_col).alias("_rs_total")
     )
-    offsets = totals.select(
-        F.col(key).alias("_rs_key"),
+    bucket = F.coalesce(F.floor(F.col("_rs_order") / F.lit(bucket_width)), F.lit(LAST_BUCKET))
+    totals = totals.withColumn("_rs_bucket", bucket)
+    before = Window.partitionBy("_rs_key").orderBy("_rs_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.groupBy("_rs_key", "_rs_bucket").agg(F.sum("_rs_total").alias("_rs_sum")).select(
+        F.col("_rs_key").alias("_rs_okey"),
         F.col("_rs_bucket").alias("_rs_obucket"),
-        F.coalesce(F.sum("_rs_total").over(before), F.lit(0)).alias("_rs_off"),
+        F.coalesce(F.sum("_rs_sum").over(before), F.lit(0)).alias("_rs_off"),
     )
-    inside = Window.partitionBy(key, "_rs_bucket").orderBy(order_col).rangeBetween(
+    inside = Window.partitionBy("_rs_key", "_rs_bucket").orderBy("_rs_order").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    partial = with_bucket.withColumn("_rs_in", F.sum(value_col).over(inside))
-    joined = partial.join(
-        offsets,
-        (F.col(key) == F.col("_rs_key")) & (F.col("_rs_bucket") == F.col("_rs_obucket")),
-    )
-    return joined.withColumn(out_col, F.col("_rs_in") + F.col("_rs_off")).drop(
-        "_rs_bucket", "_rs_in", "_rs_off", "_rs_key", "_rs_obucket"
+    sums = (
+        totals.withColumn("_rs_in", F.sum("_rs_total").over(inside))
+        .join(
+            offsets,
+            F.col("_rs_key").eqNullSafe(F.col("_rs_okey")) & (F.col("_rs_bucket") == F.col("_rs_obucket")),
+        )
+        .select("_rs_key", "_rs_order", (F.col("_rs_in") + F.col("_rs_off")).alias(out_col))
     )
+    return df.join(
+        sums, F.col(key).eqNullSafe(F.col("_rs_key")) & F.col(order_col).eqNullSafe(F.col("_rs_order")), "left"
+    ).drop("_rs_key", "_rs_order")
 
 
 def synthetic_order_date(typed: DataFrame, bucket_width: int = RUNNING_SUM_BUCKET) -> DataFrame:

@@ -22,6 +22,13 @@ from tillroll.plans.jobs import run_concurrently
 from tillroll.sources.files import write_result_csv, write_table
 
 
+def in_range(name: str, value):
+    """``value`` if it is above zero (None: no limit); else a ValueError."""
+    if value is not None and not value > 0:
+        raise ValueError(f"{name} = {value} is not above zero")
+    return value
+
+
 @dataclass(frozen=True)
 class MiningParams:
     min_support: float = rl.DEFAULT_MIN_SUPPORT
@@ -33,15 +40,13 @@ class MiningParams:
     item_col: str = bk.ITEM_COL
 
     def validate(self) -> None:
-        for name in ("min_support", "min_confidence", "min_lift"):
-            if getattr(self, name) <= 0:
-                raise ValueError(f"{name} must be > 0")
-        if self.max_len is not None and self.max_len <= 0:
-            raise ValueError("max_len must be > 0")
-        if self.top_n is not None and self.top_n <= 0:
-            raise ValueError("top_n must be > 0")
-        if not self.thresholds or any(t <= 0 for t in self.thresholds):
-            raise ValueError("threshold supports must be > 0")
+        checked = ("min_support", "min_confidence", "min_lift", "max_len", "top_n")
+        for name in checked:
+            in_range(name, getattr(self, name))
+        if not self.thresholds:
+            raise ValueError("thresholds is empty")
+        for value in self.thresholds:
+            in_range("thresholds", value)
 
 
 @dataclass(frozen=True)
@@ -57,15 +62,17 @@ def run_mining(fact_order_line: DataFrame, dim_product: DataFrame, params: Minin
     params.validate()
     items = bk.order_items(fact_order_line, dim_product)
     if bk.clean_items(items, params.item_col).isEmpty():  # reads at most one row
-        raise ValueError("No order-product rows available for basket summary.")
+        raise ValueError("the fact has no lines with an order and an item")
     baskets = bk.baskets(items, item_col=params.item_col)
     floor = min([params.min_support, *params.thresholds])
     sets = rl.frequent_itemsets(baskets, floor, params.max_len)
+    # Read by the rules, the bundles, the thresholds and the rule table: mined and priced once.
     all_rules = rl.association_rules(sets, params.min_confidence).where(F.col("lift") >= F.lit(params.min_lift))
+    all_rules = all_rules.checkpoint(eager=True)
     ranked = rl.rank_rules(all_rules.where(F.col("support") >= F.lit(params.min_support)), params.min_lift, params.top_n)
     thresholds = rl.threshold_table(all_rules, params.thresholds, params.min_confidence, params.min_lift)
     return MiningResult(
-        summary=bk.summarize_baskets(items, top_n=params.top_n or bk.DEFAULT_TOP_N),
+        summary=bk.summarize_baskets(items, top_n=params.top_n or bk.DEFAULT_TOP_N, item_col=params.item_col),
         rules=rl.rules_table(ranked),
         bundles=rl.bundle_recommendations(ranked),
         thresholds=thresholds,
@@ -79,15 +86,15 @@ def write_mining(result: MiningResult, out_dir: str, rule_table_path: str | None
     # The summary (7 + 3 top-N lists) and the threshold table (one row per
     # threshold) are bounded; rules and bundles are bounded only by top_n.
     bounded = result.top_n is not None
+    files = {
+        "basket_summary": (result.summary, True),
+        "association_rules": (result.rules, bounded),
+        "bundle_recommendations": (result.bundles, bounded),
+        "threshold_comparison": (result.thresholds, True),
+    }
     writes = {
-        "summary": lambda: write_result_csv(result.summary, f"{base}/basket_summary", single_file=True),
-        "rules": lambda: write_result_csv(result.rules, f"{base}/association_rules", single_file=bounded),
-        "bundles": lambda: write_result_csv(
-            result.bundles, f"{base}/bundle_recommendations", single_file=bounded
-        ),
-        "thresholds": lambda: write_result_csv(
-            result.thresholds, f"{base}/threshold_comparison", single_file=True
-        ),
+        name: (lambda df=df, name=name, single=single: write_result_csv(df, f"{base}/{name}", single_file=single))
+        for name, (df, single) in files.items()
     }
     if rule_table_path:
         writes["rule_table"] = lambda: write_table(result.rules, rule_table_path)
@@ -101,32 +108,6 @@ def run_mining_job(
     params: MiningParams = MiningParams(),
     rule_table_path: str | None = None,
 ) -> None:
-    """Mine and write every result.  The basket summary does not depend on
-    the itemsets, so its write runs while FP-growth mines."""
-    params.validate()
-    base = out_dir.rstrip("/")
-
-    def summary() -> None:
-        items = bk.order_items(fact_order_line, dim_product)
-        top_n = params.top_n or bk.DEFAULT_TOP_N
-        write_result_csv(
-            bk.summarize_baskets(items, top_n=top_n), f"{base}/basket_summary", single_file=True
-        )
-
-    def rules() -> None:
-        result = run_mining(fact_order_line, dim_product, params)
-        bounded = params.top_n is not None
-        writes = {
-            "rules": lambda: write_result_csv(result.rules, f"{base}/association_rules", single_file=bounded),
-            "bundles": lambda: write_result_csv(
-                result.bundles, f"{base}/bundle_recommendations", single_file=bounded
-            ),
-            "thresholds": lambda: write_result_csv(
-                result.thresholds, f"{base}/threshold_comparison", single_file=True
-            ),
-        }
-        if rule_table_path:
-            writes["rule_table"] = lambda: write_table(result.rules, rule_table_path)
-        run_concurrently(writes)
-
-    run_concurrently({"summary": summary, "rules": rules})
+    """Mine, then write every result: nothing is written for an empty input,
+    for which mining raises."""
+    write_mining(run_mining(fact_order_line, dim_product, params), out_dir, rule_table_path)

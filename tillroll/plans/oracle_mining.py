@@ -1,5 +1,5 @@
-"""DuckDB oracle SQL for the mining queries: brute-force itemset counting
-with self-joins (up to 3 items) and explicit antecedent/consequent splits."""
+"""DuckDB oracle SQL for the mining queries: every subset of every basket is
+counted, and every split of every frequent itemset is priced."""
 
 from __future__ import annotations
 
@@ -26,41 +26,31 @@ m_bk AS (
 m_n AS (SELECT count(DISTINCT o) AS n FROM m_bk)"""
 
 
-def itemset_ctes(item_col: str, min_support: float, max_len: int) -> str:
-    levels = [
-        "SELECT item AS i1, CAST(NULL AS VARCHAR) AS i2, CAST(NULL AS VARCHAR) AS i3, 1 AS size, count(*) AS freq FROM m_bk GROUP BY item"
-    ]
-    if max_len >= 2:
-        levels.append(
-            "SELECT x.item, y.item, CAST(NULL AS VARCHAR), 2, count(*) FROM m_bk x JOIN m_bk y ON x.o = y.o AND x.item < y.item GROUP BY x.item, y.item"
-        )
-    if max_len >= 3:
-        levels.append(
-            "SELECT x.item, y.item, z.item, 3, count(*) FROM m_bk x JOIN m_bk y ON x.o = y.o AND x.item < y.item "
-            "JOIN m_bk z ON z.o = x.o AND y.item < z.item GROUP BY x.item, y.item, z.item"
-        )
-    union = "\n  UNION ALL ".join(levels)
+_PICK = "list_filter({items}, lambda x, i: (mask // CAST(pow(2, i - 1) AS BIGINT)) % 2 = {bit})"
+
+
+def itemset_ctes(item_col: str, min_support: float) -> str:
     return item_ctes(item_col) + f""",
+m_lists AS (SELECT o, list(item ORDER BY item) AS items FROM m_bk GROUP BY o),
+m_subsets AS (
+  SELECT {_PICK.format(items="items", bit=1)} AS items
+  FROM (SELECT items, unnest(range(1, CAST(pow(2, len(items)) AS BIGINT))) AS mask FROM m_lists)
+),
 m_sets AS (
-  SELECT s.*, m_n.n, concat_ws(', ', i1, i2, i3) AS txt
-  FROM ({union}) s, m_n
-  WHERE CAST(s.freq AS DOUBLE) / m_n.n >= {min_support!r}
+  SELECT items, CAST(len(items) AS INTEGER) AS size, count(*) AS freq, any_value(m_n.n) AS n,
+         array_to_string(items, ', ') AS txt
+  FROM m_subsets, m_n GROUP BY items
+  HAVING CAST(count(*) AS DOUBLE) / any_value(m_n.n) >= {min_support!r}
 )"""
 
 
-def rule_ctes(item_col: str, min_support: float, max_len: int, min_confidence: float) -> str:
-    splits = [
-        "SELECT i1 AS a, i2 AS c, freq, n FROM m_sets WHERE size = 2",
-        "SELECT i2, i1, freq, n FROM m_sets WHERE size = 2",
-        "SELECT i1, i2 || ', ' || i3, freq, n FROM m_sets WHERE size = 3",
-        "SELECT i2, i1 || ', ' || i3, freq, n FROM m_sets WHERE size = 3",
-        "SELECT i3, i1 || ', ' || i2, freq, n FROM m_sets WHERE size = 3",
-        "SELECT i1 || ', ' || i2, i3, freq, n FROM m_sets WHERE size = 3",
-        "SELECT i1 || ', ' || i3, i2, freq, n FROM m_sets WHERE size = 3",
-        "SELECT i2 || ', ' || i3, i1, freq, n FROM m_sets WHERE size = 3",
-    ]
-    union = "\n  UNION ALL ".join(splits)
-    return itemset_ctes(item_col, min_support, max_len) + f""",
+def rule_ctes(item_col: str, min_support: float, min_confidence: float) -> str:
+    return itemset_ctes(item_col, min_support) + f""",
+m_splits AS (
+  SELECT array_to_string({_PICK.format(items="items", bit=1)}, ', ') AS a,
+         array_to_string({_PICK.format(items="items", bit=0)}, ', ') AS c, freq, n
+  FROM (SELECT *, unnest(range(1, CAST(pow(2, size) AS BIGINT) - 1)) AS mask FROM m_sets WHERE size >= 2)
+),
 m_rules AS (
   SELECT * FROM (
     SELECT s.a AS antecedents, s.c AS consequents,
@@ -69,7 +59,7 @@ m_rules AS (
            (CAST(s.freq AS DOUBLE) / fa.freq) / (CAST(fc.freq AS DOUBLE) / s.n) AS lift,
            CAST(fa.freq AS DOUBLE) / s.n AS antecedent_support,
            CAST(fc.freq AS DOUBLE) / s.n AS consequent_support
-    FROM ({union}) s
+    FROM m_splits s
     JOIN m_sets fa ON fa.txt = s.a
     JOIN m_sets fc ON fc.txt = s.c)
   WHERE confidence >= {min_confidence!r}

@@ -17,9 +17,8 @@ from tillroll.plans.registry import register, warehouse
 
 # Mining parameters of the registered queries.
 BRAND, TYPE = "aisle_name", "department_name"
-BRAND_SUPPORT, BRAND_MAX_LEN = 0.005, 2
-TYPE_SUPPORT, TYPE_MAX_LEN = 0.1, 3
-EXPLORER_MINS = dict(min_support=0.01, min_confidence=0.12, min_lift=1.02)
+BRAND_SUPPORT, TYPE_SUPPORT = 0.005, 0.1
+EXPLORER_MINS = dict(min_support=0.0052, min_confidence=0.12, min_lift=1.1)
 
 
 def _items(spark, sf):
@@ -32,7 +31,7 @@ def _baskets(spark, sf, item_col):
 
 
 def _ranked(spark, sf, top_n=rules.DEFAULT_TOP_N):
-    sets = rules.frequent_itemsets(_baskets(spark, sf, BRAND), BRAND_SUPPORT, BRAND_MAX_LEN)
+    sets = rules.frequent_itemsets(_baskets(spark, sf, BRAND), BRAND_SUPPORT)
     return rules.rank_rules(rules.association_rules(sets), rules.DEFAULT_MIN_LIFT, top_n)
 
 
@@ -77,11 +76,11 @@ def m3(spark, sf):
     "m4_itemsets",
     _w(
         "SELECT txt AS itemset, size, freq, round(CAST(freq AS DOUBLE) / n, 6) AS support FROM m_sets",
-        om.itemset_ctes(BRAND, BRAND_SUPPORT, BRAND_MAX_LEN),
+        om.itemset_ctes(BRAND, BRAND_SUPPORT),
     ),
 )
 def m4(spark, sf):
-    sets = rules.frequent_itemsets(_baskets(spark, sf, BRAND), BRAND_SUPPORT, BRAND_MAX_LEN)
+    sets = rules.frequent_itemsets(_baskets(spark, sf, BRAND), BRAND_SUPPORT)
     return rules.itemsets_report(sets)
 
 
@@ -89,11 +88,11 @@ def m4(spark, sf):
     "m4_itemsets_type",
     _w(
         "SELECT txt AS itemset, size, freq, round(CAST(freq AS DOUBLE) / n, 6) AS support FROM m_sets",
-        om.itemset_ctes(TYPE, TYPE_SUPPORT, TYPE_MAX_LEN),
+        om.itemset_ctes(TYPE, TYPE_SUPPORT),
     ),
 )
 def m4t(spark, sf):
-    sets = rules.frequent_itemsets(_baskets(spark, sf, TYPE), TYPE_SUPPORT, TYPE_MAX_LEN)
+    sets = rules.frequent_itemsets(_baskets(spark, sf, TYPE), TYPE_SUPPORT)
     return rules.itemsets_report(sets)
 
 
@@ -154,11 +153,11 @@ def m6(spark, sf):
     "m7_rules",
     _w(
         f"SELECT antecedents, consequents, {om.rounded()} FROM m_rules",
-        om.rule_ctes(TYPE, TYPE_SUPPORT, TYPE_MAX_LEN, rules.DEFAULT_MIN_CONFIDENCE),
+        om.rule_ctes(TYPE, TYPE_SUPPORT, rules.DEFAULT_MIN_CONFIDENCE),
     ),
 )
 def m7(spark, sf):
-    sets = rules.frequent_itemsets(_baskets(spark, sf, TYPE), TYPE_SUPPORT, TYPE_MAX_LEN)
+    sets = rules.frequent_itemsets(_baskets(spark, sf, TYPE), TYPE_SUPPORT)
     r = rules.rule_text(rules.association_rules(sets))
     return r.select(
         "antecedents",
@@ -167,7 +166,7 @@ def m7(spark, sf):
     )
 
 
-_BRAND_RULES = om.rule_ctes(BRAND, BRAND_SUPPORT, BRAND_MAX_LEN, rules.DEFAULT_MIN_CONFIDENCE)
+_BRAND_RULES = om.rule_ctes(BRAND, BRAND_SUPPORT, rules.DEFAULT_MIN_CONFIDENCE)
 
 
 @register(
@@ -223,7 +222,7 @@ FROM m_rules WHERE lift >= {rules.DEFAULT_MIN_LIFT!r}"""
 
 
 _THRESHOLD_CTES = om.rule_ctes(
-    BRAND, min(rules.DEFAULT_THRESHOLDS), BRAND_MAX_LEN, rules.DEFAULT_MIN_CONFIDENCE
+    BRAND, min(rules.DEFAULT_THRESHOLDS), rules.DEFAULT_MIN_CONFIDENCE
 )
 
 
@@ -233,7 +232,6 @@ def _thresholds(spark, sf):
         rules.DEFAULT_THRESHOLDS,
         rules.DEFAULT_MIN_CONFIDENCE,
         rules.DEFAULT_MIN_LIFT,
-        BRAND_MAX_LEN,
     )
 
 

@@ -2,21 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tillroll.operators import quality as q
-from tillroll.operators import silver
+from tillroll.plans.etl import recomputed_dates
 from tillroll.plans.oracle import with_warehouse
 from tillroll.plans.registry import register, warehouse
 from tillroll.plans.queries_sources import _target, _watermark
 from tillroll.sources import incremental as inc
 
-# The recomputation uses a narrow bucket width (8 order numbers), so most
-# users span several buckets and the bucket offsets are exercised on the
-# real data, against a build that (at this size) uses one bucket per user.
-RECOMPUTE_BUCKET = 8
-
-
 @register(
     "q1_unique_line_grain",
     with_warehouse(
@@ -111,14 +103,7 @@ FROM stg_orders s JOIN (
 )
 def q7(spark, sf):
     w = warehouse(spark, sf)
-    b = w.raw.orders
-    typed = b.select(
-        F.col("order_id").cast("long").alias("order_id"),
-        F.col("user_id").cast("long").alias("user_id"),
-        F.col("order_number").cast("int").alias("order_number"),
-        F.coalesce(F.rint("days_since_prior_order").cast("int"), F.lit(0)).alias("days_since_prior_order"),
-    )
-    expected = silver.synthetic_order_date(typed, RECOMPUTE_BUCKET)
+    expected = recomputed_dates(w.raw.orders)
     return q.recompute_mismatches(w.silver.stg_orders, expected, "order_id", "synthetic_order_date")
 
 

@@ -2,24 +2,33 @@
 
 Raw CSVs are always read with an explicit schema (no inference pass over
 the data); blank fields arrive as nulls, so nothing has to parse ``''``.
+Columns are found by their header name, quotes inside a quoted field are
+doubled (RFC 4180), and a field that does not parse as its type fails the
+read instead of becoming a null that a later filter would drop.
 """
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "FAILFAST"}
+
+
+def header_columns(spark: SparkSession, path: str) -> list[str]:
+    """The column names of a CSV source, from its header line alone."""
+    return spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path).columns
+
 
 def read_csv_source(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV with a fixed schema."""
-    return (
-        spark.read.option("header", True)
-        .option("mode", "PERMISSIVE")
-        .schema(schema)
-        .csv(path)
-    )
+    """Header CSV, columns by name in any order.  Columns beyond the schema
+    are left out; a missing one is an error (source drift, Q8)."""
+    header = header_columns(spark, path)
+    missing = [name for name in schema.names if name not in header]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {missing}")
+    in_file_order = T.StructType([schema[c] if c in schema.names else T.StructField(c, T.StringType()) for c in header])
+    return spark.read.options(**CSV_OPTIONS).schema(in_file_order).csv(path).select(*schema.names)
 
 
 def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -48,8 +57,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path:
-        return Path(path).exists()
+    """Ask the file system that Spark itself would use for the path."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

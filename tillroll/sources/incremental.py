@@ -47,17 +47,28 @@ def key_consistent_sample(
 
 
 def incremental_rows(
-    source: DataFrame, target: DataFrame, watermark: Column | int, key: str = "order_id"
+    source: DataFrame, target: DataFrame, watermark: Column | int | None, key: str = "order_id", late: str = "drop"
 ) -> DataFrame:
     """Source rows with ``key > watermark`` that the target does not hold.
 
+    Without a watermark (no successful load yet) there is no lower bound, so a
+    first load takes every key, zero and negative ones included.  ``late``
+    says what happens to keys at or below the watermark that the target lacks:
+    ``"drop"`` leaves them out, ``"accept"`` loads them as well.  Rows with a
+    null key are never loaded.
+
     Only target keys above the watermark can match, so the anti-join reads
     just the target's tail (pushed down to the scan) instead of its history.
     """
-    wm = watermark if isinstance(watermark, Column) else F.lit(int(watermark))
+    if late not in ("drop", "accept"):
+        raise ValueError("late must be 'drop' or 'accept'")
     k = F.col(key).cast("long")
-    fresh = source.where(k > wm)
-    held = target.where(k > wm).select(k.alias(key))
+    fresh = source.where(k.isNotNull())
+    held = target
+    if watermark is not None and late == "drop":
+        wm = watermark if isinstance(watermark, Column) else F.lit(int(watermark))
+        fresh, held = fresh.where(k > wm), held.where(k > wm)
+    held = held.select(k.alias(key))
     return fresh.join(held, fresh[key].cast("long") == held[key], "left_anti")
 
 
@@ -73,12 +84,27 @@ def read_watermark(log: DataFrame) -> DataFrame:
     )
 
 
-def load_counters(target: DataFrame, old_watermark: Column | int, key: str = "order_id") -> DataFrame:
+def load_counters(target: DataFrame, old_watermark: Column | int | None, key: str = "order_id") -> DataFrame:
     """Rows above the old watermark (rows left by a failed earlier run
-    count too) and the new watermark = max key (0 when empty), one row."""
-    wm = old_watermark if isinstance(old_watermark, Column) else F.lit(int(old_watermark))
+    count too; all rows when there is none) and the new watermark = max key
+    (0 when empty), one row."""
     k = F.col(key).cast("long")
+    if old_watermark is None:
+        loaded = F.count(k)
+    else:
+        wm = old_watermark if isinstance(old_watermark, Column) else F.lit(int(old_watermark))
+        loaded = F.count_if(k > wm)
     return target.agg(
-        F.count_if(k > wm).cast("long").alias("rows_loaded"),
+        loaded.cast("long").alias("rows_loaded"),
         F.coalesce(F.max(k), F.lit(0)).cast("long").alias("watermark"),
     )
+
+
+def tail_counters(target: DataFrame, old_watermark: int | None, key: str = "order_id") -> tuple[int, int]:
+    """S9 for a stored table: the counters from the rows above the old
+    watermark alone (pushed down to the scan); without any, the old watermark
+    is the stored maximum."""
+    tail = target if old_watermark is None else target.where(F.col(key).cast("long") > F.lit(old_watermark))
+    row = load_counters(tail, old_watermark, key).first()
+    watermark = row["watermark"] if row["rows_loaded"] or old_watermark is None else old_watermark
+    return int(row["rows_loaded"]), int(watermark)

@@ -6,6 +6,7 @@ import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.schemas import ETL_LOG
 
@@ -30,9 +31,8 @@ def log_row(
     started_at: dt.datetime | None = None,
     finished_at: dt.datetime | None = None,
 ) -> DataFrame:
-    """One run-log row; messages are cut to 500 characters.  Unlike the
-    reference (which stamps both times at write time) the real start time
-    is recorded when given."""
+    """One run-log row; messages are cut to 500 characters.  The
+    real start time is recorded when given."""
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     return spark.createDataFrame(
         [
@@ -51,14 +51,17 @@ def log_row(
     )
 
 
-def append_log(row: DataFrame, log_path: str) -> None:
-    """Append to the Parquet run log."""
-    row.write.mode("append").parquet(log_path)
+def append_log(row: DataFrame, log_path: str, run_id: str) -> None:
+    """Append a run's row to the Parquet run log.  Each run has a folder of
+    its own, so a run that is repeated replaces its row instead of adding one."""
+    row.write.mode("overwrite").parquet(f"{log_path}/run={run_id}")
 
 
-def read_log(spark: SparkSession, log_path: str) -> DataFrame:
+def read_log(spark: SparkSession, log_path: str, exclude_run: str | None = None) -> DataFrame:
+    """All rows of the log; ``exclude_run`` leaves out one run's."""
     from tillroll.sources.files import _exists
 
     if not _exists(spark, log_path):
         return spark.createDataFrame([], ETL_LOG)
-    return spark.read.schema(ETL_LOG).parquet(log_path)
+    log = spark.read.schema(ETL_LOG).option("recursiveFileLookup", "true").parquet(log_path)
+    return log if exclude_run is None else log.where(F.col("run_id") != exclude_run)

@@ -9,8 +9,8 @@ successful watermark, not already held).
   ``load_id=stream-<query id>-<batch id>`` folder in overwrite mode: a batch
   replayed after a failure rewrites the same folder, so the sink is
   idempotent (exactly-once output).
-* Every batch appends a run-log row, so batch and stream loads share one
-  watermark.
+* Every batch writes one run-log row under its own run id (a replay replaces
+  it), so batch and stream loads share one watermark.
 * ``trigger(availableNow=True)`` drains what is there and stops (a scheduled
   incremental job); ``processingTime`` keeps it running.
 """
@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tillroll import schemas as S
 from tillroll.plans.etl import WarehousePaths, current_watermark, read_bronze_orders
 from tillroll.sources import incremental as inc
+from tillroll.sources.files import CSV_OPTIONS
 from tillroll.sources.runlog import append_log, log_row
 
 STREAM_STAGE = "bronze_stream"
@@ -34,20 +35,19 @@ def _load_batch(spark: SparkSession, paths: WarehousePaths, query_id: str):
     def handle(batch: DataFrame, batch_id: int) -> None:
         started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         run_id = f"stream-{query_id}-{batch_id}"
-        watermark = current_watermark(spark, paths)
-        # Compare with the other loads only: a replayed batch must rewrite
-        # the rows its failed attempt already put in its own folder.
+        # Compare with the other loads only, in the log as in the table: a
+        # replayed batch must rewrite the rows its first attempt already put
+        # in its own folder, even if that attempt got as far as its log row.
+        watermark = current_watermark(spark, paths, exclude_run=run_id)
         target = read_bronze_orders(spark, paths, exclude_load=run_id)
         fresh = inc.incremental_rows(batch, target, watermark)
         out = f"{paths.table('bronze_orders')}/load_id={run_id}"
         fresh.write.mode("overwrite").parquet(out)
-        counters = inc.load_counters(read_bronze_orders(spark, paths), watermark).first()
+        rows_loaded, new_watermark = inc.tail_counters(read_bronze_orders(spark, paths), watermark)
         append_log(
-            log_row(
-                spark, run_id, STREAM_STAGE, "SUCCESS", counters["rows_loaded"],
-                counters["watermark"], "OK", started_at=started,
-            ),
+            log_row(spark, run_id, STREAM_STAGE, "SUCCESS", rows_loaded, new_watermark, "OK", started_at=started),
             paths.log,
+            run_id,
         )
 
     return handle
@@ -63,7 +63,8 @@ def start_orders_stream(
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the landing-folder -> bronze_orders stream and return the query."""
-    reader = spark.readStream.option("header", True).schema(S.BRONZE_ORDERS)
+    # A file whose header is not the schema's fails the batch (no reading by position).
+    reader = spark.readStream.options(**CSV_OPTIONS).option("enforceSchema", "false").schema(S.BRONZE_ORDERS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     source = reader.csv(landing_dir)
