@@ -17,16 +17,18 @@ and to ask which windows around two equal anchors agree:
 2. the anchor's whole surroundings (every window that contains it): where
    these are equal, all of its windows repeat, and one anchor stands for the
    class from here on;
-3. a digit per block of ``BLOCK`` window starts, the bytes that all windows of
-   the block share: blocks without company go;
-4. the full ``depth`` bytes of each window in the blocks left.
-
-Windows that share an anchor form one run of bytes, so a pass leaves a first
-and last start per anchor.  Rows of passes 1 and 2 are counted with partial
-aggregation before the shuffle, and a class of equal surroundings enters passes
-3 and 4 once, so a group of copies costs no more than its own rows.  Anchors
-are compared by 62-bit polynomial hashes, surroundings and windows by those
-together with 64 and 128 bits of cryptographic digests.
+3. for runs of 16, then 4, then 1 window starts the bytes that all windows of
+   the run share: runs without company go.  Where all bytes that the run's
+   windows cover have company, every window repeats and the run is settled;
+   the others are cut into the next smaller runs, down to single windows of
+   ``depth`` bytes.
+
+Windows that contain an anchor form one run of bytes, so each pass leaves a
+first and last start per anchor, and runs between these need not be cut.  Rows
+are counted with partial aggregation before the shuffle, and a class of equal
+bytes enters the next pass once, so a group of copies costs no more than its
+own rows.  Anchors are compared by 62-bit polynomial hashes, everything later
+by these together with 64 bits of another hash of the longer bytes.
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ from tillroll.llm.common import Scratch, batches, columns, numbered, small_batch
 
 DEPTH = 200
 DIGIT = 64
-BLOCK = 16
+RUNS = (16, 4, 1)
 # Window starts handled at once: bounds the arrays for very long texts.
 CHUNK = 1 << 17
 _PRIMES = ((1 << 31) - 1, (1 << 31) - 19)
@@ -208,43 +210,67 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, Data
     around = around.mapInArrow(_surroundings(depth, digit), "row_id long, at int, lead int, bytes binary")
     around = scratch.write(around.withColumn("digit", F.xxhash64(F.expr(f"substring(bytes, lead + 1, {digit})"))), "around")
     scratch.drop("wanted")
-
-    # A window starts o bytes before its anchor.  Valid o: inside the text.
-    first, last = f"greatest(0, lead + {depth} - length(bytes))", f"least({reach}, lead)"
-    # Pass 3: blocks of BLOCK values of o; the windows of a block share depth - BLOCK + 1 bytes or more.
-    blocks = around.select(
-        "row_id", "at", "digit", "lead", "bytes", F.explode(F.expr(f"sequence({first} DIV {BLOCK}, {last} DIV {BLOCK})")).alias("block")
-    )
-    core = F.expr(f"xxhash64(substring(bytes, lead + 1 - block * {BLOCK}, {depth - BLOCK + 1}))")
-    blocks = scratch.write(blocks.select("row_id", "at", "digit", "block", core.alias("core")), "blocks")
-    company = blocks.groupBy("digit", "block", "core").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    alive = blocks.join(company, ["digit", "block", "core"]).groupBy("row_id", "at").agg(F.collect_list("block").alias("blocks"))
-
-    # Pass 4: whole windows.
-    windows = (
-        around.join(alive, ["row_id", "at"])
-        .select("row_id", "at", "lead", "bytes", F.explode("blocks").alias("block"))
-        .withColumn("from_o", F.expr(f"greatest({first}, block * {BLOCK})"))
-        .withColumn("to_o", F.expr(f"least({last}, block * {BLOCK} + {BLOCK - 1})"))
-        .where("from_o <= to_o")
-        .select("row_id", "at", "lead", "bytes", F.explode(F.expr("sequence(from_o, to_o)")).alias("o"))
-        .select("row_id", "at", "o", F.md5(F.expr(f"substring(bytes, lead + 1 - o, {depth})")).alias("window"))
-    )
-    windows = scratch.write(windows.withColumn("window", F.unhex("window")), "windows")
-    scratch.drop("around", "blocks")
-    twice = windows.groupBy("o", "window").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    settled = _settle(around, scratch, depth, digit)
     parts = (
-        windows.join(twice, ["o", "window"])
-        .groupBy("row_id", "at")
-        .agg(F.min("o").alias("low"), F.max("o").alias("high"))
+        settled.groupBy("row_id", "at")
+        .agg(F.min("from_o").alias("low"), F.max("to_o").alias("high"))
         .select("row_id", (F.col("at") - F.col("high")).alias("start"), (F.col("at") - F.col("low") + depth).alias("stop"))
     )
     spans = whole.unionByName(parts).groupBy("row_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     spans = scratch.write(spans, "spans")
-    scratch.drop("kept", "classes", "windows")
+    scratch.drop("kept", "classes", "around", *[f"settled{run}" for run in RUNS])
     return rows, spans
 
 
+def _settle(around: DataFrame, scratch: Scratch, depth: int, digit: int) -> DataFrame:
+    """(row_id, at, from_o, to_o): runs of windows that all repeat, among them
+    the outermost of each anchor.  A window starts o bytes before its anchor;
+    o is valid where the window lies inside the text."""
+    first, last = f"greatest(0, lead + {depth} - length(bytes))", f"least({depth - digit}, lead)"
+    runs = around.selectExpr("row_id", "at", f"{first} AS from_o", f"{last} AS to_o")
+    settled = None
+    for run in RUNS:
+        pieces = (
+            around.join(runs, ["row_id", "at"])
+            .select("*", F.explode(F.expr(f"sequence(from_o DIV {run}, to_o DIV {run})")).alias("run"))
+            .withColumn("from_o", F.expr(f"greatest(from_o, run * {run})"))
+            .withColumn("to_o", F.expr(f"least(to_o, run * {run} + {run - 1})"))
+        )
+        # Shared by the windows of the whole run, so by those that are valid here too.
+        core = f"xxhash64(substring(bytes, lead + 1 - run * {run}, {depth - run + 1}))"
+        cover = f"xxhash64(substring(bytes, lead + 1 - to_o, {depth} + to_o - from_o))"
+        pieces = pieces.selectExpr("row_id", "at", "digit", "run", "from_o", "to_o", f"{core} AS core", f"{cover} AS cover")
+        pieces = scratch.write(pieces, f"pieces{run}")
+        group, same = ["digit", "run", "core"], ["digit", "from_o", "to_o", "cover"]
+        company = pieces.groupBy(*group).agg(F.count("*").alias("n")).where("n > 1").drop("n")
+        alive = scratch.write(pieces.join(company, group), f"alive{run}")
+        scratch.drop(f"pieces{run}")
+        classes = alive.groupBy(*group, "from_o", "to_o", "cover").agg(
+            F.count("*").alias("n"), F.min(F.struct("row_id", "at")).alias("one")
+        )
+        classes = scratch.write(classes, f"classes{run}")
+        whole = alive.join(classes.where("n > 1").select(*same).distinct(), same)
+        whole = scratch.write(whole.select("row_id", "at", "from_o", "to_o"), f"settled{run}")
+        settled = whole if settled is None else settled.unionByName(whole)
+        if run > 1:
+            # Single members that may widen what is known of their anchor call for a closer look at
+            # their group; all its classes take part in that, each by one member.
+            known = settled.groupBy("row_id", "at").agg(F.min("from_o").alias("low"), F.max("to_o").alias("high"))
+            alone = classes.where("n = 1").select(*group, "one.row_id", "one.at", "from_o", "to_o")
+            calls = (
+                alone.join(known, ["row_id", "at"], "left")
+                .where("low IS NULL OR from_o < low OR to_o > high")
+                .select(*group)
+                .distinct()
+            )
+            runs = scratch.write(
+                classes.join(calls, group).select("one.row_id", "one.at", "from_o", "to_o"), f"runs{run}"
+            )
+        scratch.drop(f"alive{run}", f"classes{run}")
+    scratch.drop(*[f"runs{run}" for run in RUNS])
+    return settled
+
+
 def remove_repeats(docs: DataFrame, depth: int = DEPTH, with_text: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per row, and with
     ``with_text`` also kept (binary, the remaining bytes).
