@@ -1,13 +1,14 @@
 """Analytic queries over the star schema.
 
-``star()`` is the joined fact view every dashboard query starts from;
-``Filters`` is the multi-select filter (A1).  Dimension filters are written
-above the join and Catalyst pushes them into the dimension side, so the
-fact is only probed with the surviving keys.
-
-Distinct counts per group plan as a two-step aggregate (group by the
-group key plus the distinct key first, then count), so a hot group is
-spread over many tasks before its per-partition partial counts meet.
+``Star`` holds the fact and its dimensions; ``Filters`` is the multi-select
+filter (A1).  Dimension filters are written above the join and Catalyst pushes
+them into the dimension side, so the fact is only probed with the surviving
+keys.  Queries that count lines read ``Star.counted``: the fact is aggregated
+per (product, date, branch) key, map-side combined, before it meets the
+dimensions, so a hot product is one row per date and not every line.
+
+Distinct counts are a group-by on the distinct key followed by a count.  Two
+of them in one aggregate would expand every line once per count.
 """
 
 from __future__ import annotations
@@ -49,8 +50,43 @@ def _r(c: Column) -> Column:
     return F.round(c, METRIC_SCALE)
 
 
-def _reorder_rate() -> Column:
-    return F.avg(F.when(F.col("reordered"), F.lit(1.0)).otherwise(F.lit(0.0)))
+# The branch dimension is a hand-kept seed; up to this many rows it is broadcast.
+BROADCAST_BRANCHES = 10_000
+
+
+@dataclass(frozen=True)
+class Star:
+    """The fact and the dimensions it joins on their keys."""
+
+    fact: DataFrame
+    product: DataFrame
+    branch: DataFrame
+    date: DataFrame
+    customer: DataFrame | None = None
+
+    def _with_dimensions(self, fact: DataFrame) -> DataFrame:
+        joined = (
+            fact.join(self.product, "product_key").join(self.branch, "branch_key").join(self.date, "date_key")
+        )
+        if self.customer is not None and "customer_key" in fact.columns:
+            joined = joined.join(self.customer, "customer_key")
+        return joined
+
+    @property
+    def joined(self) -> DataFrame:
+        """fact ⋈ product ⋈ branch ⋈ date (⋈ customer), a row per line."""
+        return self._with_dimensions(self.fact)
+
+    def counted(self, filters: Filters = NO_FILTER) -> DataFrame:
+        """The joined rows per (product, date, branch) key instead of per line,
+        with ``_lines``, ``_quantity`` and ``_reordered`` to add up."""
+        keys = ["product_key", "date_key", "branch_key"] + (["customer_key"] if self.customer is not None else [])
+        per_key = self.fact.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("_lines"),
+            F.sum("quantity").alias("_quantity"),
+            F.count_if("reordered").alias("_reordered"),
+        )
+        return self._with_dimensions(per_key).where(filters.predicate())
 
 
 def star(
@@ -59,32 +95,55 @@ def star(
     dim_branch: DataFrame,
     dim_date: DataFrame,
     dim_customer: DataFrame | None = None,
-) -> DataFrame:
-    """fact ⋈ product ⋈ branch ⋈ date (⋈ customer), inner joins on keys."""
-    s = (
-        fact.join(dim_product.drop("product_id_nk"), "product_key")
-        .join(dim_branch, "branch_key")
-        .join(dim_date, "date_key")
-    )
-    if dim_customer is not None:
-        s = s.join(dim_customer, "customer_key")
-    return s
+) -> Star:
+    """The star over a fact.  Every line has the same branch, so a shuffle on
+    its key would send the whole fact to one task: the branch side is broadcast
+    once a look at its rows shows that it is small."""
+    small = len(dim_branch.select("branch_key").take(BROADCAST_BRANCHES + 1)) <= BROADCAST_BRANCHES
+    branch = F.broadcast(dim_branch) if small else dim_branch
+    return Star(fact, dim_product.drop("product_id_nk"), branch, dim_date, dim_customer)
+
+
+def filtered_star(star: Star, filters: Filters = NO_FILTER) -> DataFrame:
+    """A1 applied to the joined lines."""
+    return star.joined.where(filters.predicate())
 
 
-def filtered_star(star_df: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
-    """A1 applied to the star."""
-    return star_df.where(filters.predicate())
+def _lines() -> Column:
+    return F.sum("_lines").cast("long").alias("lines")
 
 
-def kpis(star_df: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
-    """A2: one-row KPI block (null rate shown as 0)."""
-    return filtered_star(star_df, filters).agg(
-        F.countDistinct("order_id_nk").alias("orders"),
-        F.count(F.lit(1)).alias("order_lines"),
-        F.countDistinct("product_key").alias("products"),
-        F.countDistinct("customer_key").alias("customers"),
-        _r(F.coalesce(_reorder_rate(), F.lit(0.0))).alias("reorder_rate"),
-        F.sum("quantity").cast("long").alias("total_items"),
+def _rate() -> Column:
+    return F.sum("_reordered") / F.sum("_lines")
+
+
+def _distinct(df: DataFrame, column: str) -> Column:
+    """The number of distinct values as a scalar subquery."""
+    return df.select(column).distinct().select(F.count(column)).scalar()
+
+
+def kpis(star: Star, filters: Filters = NO_FILTER) -> DataFrame:
+    """A2: one-row KPI block (null rate shown as 0).
+
+    Lines, items, rate and products come from the counted star; orders and
+    customers from one pass that keeps a row per order and customer.
+    """
+    per_order = filtered_star(star, filters).select("order_id_nk", "customer_key").distinct()
+    per_product = star.counted(filters).groupBy("product_key").agg(
+        F.sum("_lines").alias("_lines"), F.sum("_quantity").alias("_quantity"), F.sum("_reordered").alias("_reordered")
+    )
+    return per_product.agg(
+        F.coalesce(F.sum("_lines"), F.lit(0)).cast("long").alias("order_lines"),
+        F.count("product_key").alias("products"),
+        _r(F.coalesce(_rate(), F.lit(0.0))).alias("reorder_rate"),
+        F.sum("_quantity").cast("long").alias("total_items"),
+    ).select(
+        _distinct(per_order, "order_id_nk").alias("orders"),
+        "order_lines",
+        "products",
+        _distinct(per_order, "customer_key").alias("customers"),
+        "reorder_rate",
+        "total_items",
     )
 
 
@@ -95,16 +154,16 @@ def weekday_frame(spark: SparkSession) -> DataFrame:
     )
 
 
-def orders_by_weekday(star_df: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
+def orders_by_weekday(star: Star, filters: Filters = NO_FILTER) -> DataFrame:
     """A3: distinct orders per weekday, completed to Monday..Sunday with 0."""
     counts = (
-        filtered_star(star_df, filters)
+        filtered_star(star, filters)
         .groupBy("day_of_week")
         .agg(F.countDistinct("order_id_nk").alias("orders"))
     )
     # The aggregated side has at most one row per weekday (a proven bound),
     # so it is the broadcast build side of the outer join.
-    week = weekday_frame(star_df.sparkSession)
+    week = weekday_frame(star.fact.sparkSession)
     return (
         week.join(F.broadcast(counts), "day_of_week", "left")
         .select("day_of_week", F.coalesce("orders", F.lit(0)).cast("long").alias("orders"), "day_index")
@@ -113,21 +172,21 @@ def orders_by_weekday(star_df: DataFrame, filters: Filters = NO_FILTER) -> DataF
     )
 
 
-def top_departments(star_df: DataFrame, filters: Filters = NO_FILTER, n: int = 10) -> DataFrame:
+def top_departments(star: Star, filters: Filters = NO_FILTER, n: int = 10) -> DataFrame:
     """A4: departments by line count, top n (ties by name)."""
     return (
-        filtered_star(star_df, filters)
+        star.counted(filters)
         .groupBy("department_name")
-        .agg(F.count(F.lit(1)).alias("lines"))
+        .agg(_lines())
         .orderBy(F.desc("lines"), F.asc_nulls_last("department_name"))
         .limit(n)
     )
 
 
-def daily_trend(star_df: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
+def daily_trend(star: Star, filters: Filters = NO_FILTER) -> DataFrame:
     """A5: items and distinct orders per date."""
     return (
-        filtered_star(star_df, filters)
+        filtered_star(star, filters)
         .groupBy("full_date")
         .agg(
             F.sum("quantity").cast("long").alias("items"),
@@ -137,14 +196,14 @@ def daily_trend(star_df: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
     )
 
 
-def department_weekday_heatmap(star_df: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
+def department_weekday_heatmap(star: Star, filters: Filters = NO_FILTER) -> DataFrame:
     """Line counts pivoted to Monday..Sunday columns (0-filled), rows by
     total desc.  The pivot values are given, so no extra pass finds them."""
     pivot = (
-        filtered_star(star_df, filters)
+        star.counted(filters)
         .groupBy("department_name")
         .pivot("day_of_week", DOW_ORDER)
-        .agg(F.count(F.lit(1)))
+        .agg(F.sum("_lines"))
         .fillna(0, subset=DOW_ORDER)
     )
     total = sum((F.col(d) for d in DOW_ORDER), F.lit(0))
@@ -153,17 +212,17 @@ def department_weekday_heatmap(star_df: DataFrame, filters: Filters = NO_FILTER)
     ).orderBy(total.desc(), F.asc_nulls_last("department_name"))
 
 
-def top_products(star_df: DataFrame, filters: Filters = NO_FILTER, n: int = 20) -> DataFrame:
+def top_products(star: Star, filters: Filters = NO_FILTER, n: int = 20) -> DataFrame:
     """Top n (product, aisle, department) by quantity."""
     if not 1 <= n:
         raise ValueError("n must be >= 1")
     return (
-        filtered_star(star_df, filters)
+        star.counted(filters)
         .groupBy("product_name", "aisle_name", "department_name")
         .agg(
-            F.count(F.lit(1)).alias("lines"),
-            F.sum("quantity").cast("long").alias("quantity"),
-            _r(_reorder_rate()).alias("reorder_rate"),
+            _lines(),
+            F.sum("_quantity").cast("long").alias("quantity"),
+            _r(_rate()).alias("reorder_rate"),
         )
         .orderBy(
             F.desc("quantity"),
@@ -181,24 +240,24 @@ def reorder_rate_percent(top: DataFrame) -> DataFrame:
     return top.withColumn("reorder_rate_pct", F.round(F.col("reorder_rate") * 100, 1))
 
 
-def aisles_by_reorder_rate(star_df: DataFrame, filters: Filters = NO_FILTER, n: int = 20) -> DataFrame:
+def aisles_by_reorder_rate(star: Star, filters: Filters = NO_FILTER, n: int = 20) -> DataFrame:
     """Aisles by reorder rate, top n."""
     return (
-        filtered_star(star_df, filters)
+        star.counted(filters)
         .groupBy("aisle_name")
-        .agg(F.count(F.lit(1)).alias("lines"), _r(_reorder_rate()).alias("reorder_rate"))
+        .agg(_lines(), _r(_rate()).alias("reorder_rate"))
         .orderBy(F.desc("reorder_rate"), F.desc("lines"), F.asc_nulls_last("aisle_name"))
         .limit(n)
     )
 
 
-def department_aisle_rollup(star_df: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
+def department_aisle_rollup(star: Star, filters: Filters = NO_FILTER) -> DataFrame:
     """A10: department > aisle line counts with department totals and the
     grand total (``level`` 0 = leaf, 1 = department, 3 = all)."""
     return (
-        filtered_star(star_df, filters)
+        star.counted(filters)
         .rollup("department_name", "aisle_name")
-        .agg(F.count(F.lit(1)).alias("lines"), F.grouping_id().cast("int").alias("level"))
+        .agg(_lines(), F.grouping_id().cast("int").alias("level"))
         .orderBy("level", F.desc("lines"), F.asc_nulls_last("department_name"), F.asc_nulls_last("aisle_name"))
     )
 
@@ -245,7 +304,7 @@ def total_orders_histogram(dim_customer: DataFrame, bins: int = HISTOGRAM_BINS)
 
 
 def top_customers(
-    star_df: DataFrame,
+    star: Star,
     dim_customer: DataFrame,
     filters: Filters = NO_FILTER,
     n: int = 20,
@@ -260,7 +319,7 @@ def top_customers(
     different keys of one user hold disjoint orders, so their counts add.
     """
     per_key = (
-        filtered_star(star_df, filters)
+        filtered_star(star, filters)
         .groupBy("customer_key")
         .agg(
             F.countDistinct("order_id_nk").alias("_orders"),
@@ -289,13 +348,12 @@ def headline_stats(fact: DataFrame, dim_product: DataFrame, log: DataFrame) -> D
     finish time (minute precision), as one row."""
     departments = dim_product.agg(F.countDistinct("department_name")).scalar()
     last_run = log.where(F.col("status") == "SUCCESS").agg(F.max("finished_at")).scalar()
-    return fact.agg(
-        F.countDistinct("order_id_nk").alias("orders"),
-        F.count(F.lit(1)).alias("lines"),
-        F.countDistinct("customer_key").alias("customers"),
-        F.countDistinct("product_key").alias("products"),
-    ).select(
-        "*",
+    per_order = fact.groupBy("order_id_nk", "customer_key").agg(F.count(F.lit(1)).alias("_lines"))
+    return per_order.agg(F.coalesce(F.sum("_lines"), F.lit(0)).cast("long").alias("lines")).select(
+        _distinct(per_order, "order_id_nk").alias("orders"),
+        "lines",
+        _distinct(per_order, "customer_key").alias("customers"),
+        _distinct(fact, "product_key").alias("products"),
         departments.alias("departments"),
         F.date_format(last_run, "yyyy-MM-dd HH:mm").alias("last_success"),
     )

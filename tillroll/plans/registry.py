@@ -1,9 +1,10 @@
 """Named queries: each is ``(spark, sf_dir) -> DataFrame`` over the
 driver's tables, paired with its DuckDB oracle SQL where one exists.
 
-A query builds the whole chain lazily (adapter -> Silver -> Gold -> query);
-nothing is collected.  ``Warehouse`` memoises the lazy layer DataFrames
-per (session, folder) so registering many queries does not re-plan them.
+A query builds the whole chain lazily (adapter -> Silver -> Gold -> query).
+``Warehouse`` keeps the lazy layer DataFrames per (session, folder), which
+saves planning, not data: each query still reads and builds what it needs.
+The persisted run (``plans.etl``) is where layers are written once and read.
 """
 
 from __future__ import annotations
@@ -84,13 +85,10 @@ class Warehouse:
         return adapter.run_log(self.spark, self.sf_dir)
 
     @cached_property
-    def star(self) -> DataFrame:
+    def star(self) -> marts.Star:
         g = self.gold
         return marts.star(g.fact_order_line, g.dim_product, g.dim_branch, g.dim_date)
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
-
 
 _WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
 
