@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from tillroll import schemas as S
+from tillroll.operators import marts, quality
 from tillroll.operators import runlog as rl
 from tillroll.plans.oracle import k1, with_warehouse
 from tillroll.plans.registry import register, warehouse
+from tillroll.session import ensure_checkpoint_dir
+from tillroll.sources import files
 from tillroll.sources import incremental as inc
+from tillroll.sources.adapter import read_table
+from tillroll.sources.runlog import append_log, log_row, read_log
 
 # Fixed values of the registered scenarios.
 SAMPLE_N = 1000
@@ -34,23 +42,32 @@ _NEW_ROWS_SQL = f"""b_new AS (
 )"""
 
 
-@register("s1_scan_lines", with_warehouse("SELECT * FROM b_prior"))
+def _scratch(spark) -> str:
+    """A new folder on shared storage for results that a query writes and reads back."""
+    return f"{ensure_checkpoint_dir(spark)}/query-{uuid.uuid4().hex}"
+
+
+@register("s1_scan_lines", with_warehouse("SELECT * FROM b_prior UNION ALL SELECT * FROM b_train"))
 def s1(spark, sf):
-    return warehouse(spark, sf).raw.order_products_prior
+    """Every line as a header CSV, columns in another order, scanned by name."""
+    raw = warehouse(spark, sf).raw
+    path = f"{_scratch(spark)}/lines"
+    lines = raw.order_products_prior.unionByName(raw.order_products_train)
+    files.write_result_csv(lines.select(*reversed(lines.columns)), path)
+    return files.read_csv_source(spark, path, S.BRONZE_ORDER_PRODUCTS)
 
 
 @register(
     "s2_sample_rows",
     with_warehouse(
-        f"SELECT * FROM b_prior ORDER BY order_id, add_to_cart_order, product_id LIMIT {SAMPLE_N}"
+        "SELECT * FROM (SELECT * FROM b_prior UNION ALL SELECT * FROM b_train) "
+        f"ORDER BY order_id, add_to_cart_order, product_id LIMIT {SAMPLE_N}"
     ),
 )
 def s2(spark, sf):
-    return inc.sample_rows(
-        warehouse(spark, sf).raw.order_products_prior,
-        SAMPLE_N,
-        ["order_id", "add_to_cart_order", "product_id"],
-    )
+    raw = warehouse(spark, sf).raw
+    lines = raw.order_products_prior.unionByName(raw.order_products_train)
+    return inc.sample_rows(lines, SAMPLE_N, ["order_id", "add_to_cart_order", "product_id"])
 
 
 @register(
@@ -83,7 +100,21 @@ def s5(spark, sf):
 
 @register("s6_snapshot", with_warehouse("SELECT * FROM b_products"))
 def s6(spark, sf):
-    return inc.snapshot(warehouse(spark, sf).raw.products)
+    return warehouse(spark, sf).raw.products
+
+
+@register(
+    "s5_late_accepted",
+    with_warehouse(
+        """
+SELECT s.* FROM b_orders s
+WHERE NOT EXISTS (SELECT 1 FROM b_target t WHERE CAST(t.order_id AS BIGINT) = CAST(s.order_id AS BIGINT))""",
+        _TARGET_SQL,
+    ),
+)
+def s5_late(spark, sf):
+    w = warehouse(spark, sf)
+    return inc.incremental_rows(w.raw.orders, _target(w), _watermark(w), late="accept")
 
 
 @register("s7_watermark", with_warehouse(f"SELECT CAST({_WM_SQL} AS BIGINT) AS watermark"))
@@ -109,14 +140,103 @@ def s9(spark, sf):
     return inc.load_counters(after, wm)
 
 
-@register("s8_run_log_append")
+_LOG_COLUMNS = "run_id, stage, status, rows_loaded, watermark_order_id, message"
+
+
+@register(
+    "s8_run_log_append",
+    with_warehouse(
+        f"""
+SELECT {_LOG_COLUMNS} FROM etl_log
+UNION ALL SELECT 'run-a', 'bronze', 'SUCCESS', CAST(7 AS BIGINT), CAST(9 AS BIGINT), 'OK'
+UNION ALL SELECT 'run-b', 'silver', 'FAILED', CAST(0 AS BIGINT), CAST(9 AS BIGINT), repeat('x', 500)"""
+    ),
+)
 def s8(spark, sf):
-    """The log with this run's row appended (rows-only: it carries now())."""
-    from tillroll.sources.runlog import log_row, new_run_id
+    """The log and two runs' rows, one of them written twice, without the time
+    stamps (which are of now)."""
+    path = _scratch(spark)
+    warehouse(spark, sf).log.write.parquet(f"{path}/run=before")
+    for rows in (3, 7):
+        append_log(log_row(spark, "run-a", "bronze", "SUCCESS", rows, 9, "OK"), path, "run-a")
+    append_log(log_row(spark, "run-b", "silver", "FAILED", 0, 9, "x" * 900), path, "run-b")
+    return read_log(spark, path).select(*_LOG_COLUMNS.split(", "))
+
+
+@register("s10_layer_overwrite", with_warehouse("SELECT * FROM stg_products"))
+def s10(spark, sf):
+    """A layer table written twice: the second write replaces the first."""
+    path = _scratch(spark)
+    products = warehouse(spark, sf).silver.stg_products
+    files.write_table(products.union(products), path)
+    files.write_table(products, path)
+    return spark.read.parquet(path)
+
+
+@register(
+    "s11_result_csv",
+    with_warehouse(
+        "SELECT department_name, aisle_name, count(*) AS lines FROM star GROUP BY department_name, aisle_name"
+    ),
+)
+def s11(spark, sf):
+    """A result written as header CSV and scanned back."""
+    path = f"{_scratch(spark)}/lines_by_aisle"
+    counts = marts.department_aisle_rollup(warehouse(spark, sf).star).where("level = 0").drop("level")
+    files.write_result_csv(counts, path)
+    return files.read_result_csv(spark, path, counts.schema)
+
+
+@register(
+    "s13_result_scan",
+    with_warehouse("SELECT membership_tier, count(*) AS customers FROM dim_customer GROUP BY membership_tier"),
+)
+def s13(spark, sf):
+    """A written result scanned back, with one that was never written (an empty
+    frame of the same schema)."""
+    path = _scratch(spark)
+    tiers = marts.tier_distribution(warehouse(spark, sf).gold.dim_customer).select("membership_tier", "customers")
+    files.write_result_csv(tiers, f"{path}/tiers", single_file=True)
+    found = files.read_result_csv(spark, f"{path}/tiers", tiers.schema)
+    return found.unionByName(files.read_result_csv(spark, f"{path}/none", tiers.schema))
+
+
+# Columns the adapter reads, and two that no table has.
+_NEEDED = {
+    "orders": ["o_orderkey", "o_custkey", "o_orderdate", "o_channel"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_aisle"],
+}
+_NEEDED_SQL = ", ".join(f"('{t}', '{c}')" for t, cs in _NEEDED.items() for c in cs)
+_HEADERS_SQL = "SELECT table_name, column_name FROM duckdb_columns() WHERE table_name IN ('orders', 'lineitem', 'part')"
+
 
+@register(
+    "q8_contract_drift",
+    f"""
+WITH needed(table_name, column_name) AS (VALUES {_NEEDED_SQL}), have AS ({_HEADERS_SQL})
+SELECT table_name, column_name, 'missing' AS finding FROM (SELECT * FROM needed EXCEPT SELECT * FROM have)
+UNION ALL SELECT table_name, column_name, 'unexpected' FROM (SELECT * FROM have EXCEPT SELECT * FROM needed)""",
+)
+def q8(spark, sf):
     w = warehouse(spark, sf)
-    row = log_row(spark, new_run_id(), "bronze", "SUCCESS", 0, 0, "OK")
-    return w.log.unionByName(row)
+    headers = {t: read_table(spark, w.sf_dir, t).columns for t in _NEEDED}
+    found = quality.source_drift(headers, _NEEDED)
+    return spark.createDataFrame(found, "table_name string, column_name string, finding string")
+
+
+_TABLES = ("orders", "lineitem", "part", "region", "events", "promotions")
+
+
+@register(
+    "q9_required_tables",
+    f"""
+SELECT t.name AS table_name FROM (VALUES {", ".join(f"('{t}')" for t in _TABLES)}) t(name)
+WHERE name NOT IN (SELECT table_name FROM duckdb_columns())""",
+)
+def q9(spark, sf):
+    found = quality.missing_tables(spark, [f"{t}.parquet" for t in _TABLES], sf)
+    return spark.createDataFrame([(t.removesuffix(".parquet"),) for t in found], "table_name string")
 
 
 _RECENT = f"""recent AS (

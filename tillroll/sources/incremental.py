@@ -1,5 +1,5 @@
 """Row-limited and key-consistent samples, incremental append and load
-counters (S2, S3, S5, S6, S7, S9)."""
+counters (S2, S3, S5, S7, S9)."""
 
 from __future__ import annotations
 
@@ -72,11 +72,6 @@ def incremental_rows(
     return fresh.join(held, fresh[key].cast("long") == held[key], "left_anti")
 
 
-def snapshot(source: DataFrame) -> DataFrame:
-    """A full snapshot of a source (the table is replaced on write)."""
-    return source
-
-
 def read_watermark(log: DataFrame) -> DataFrame:
     """Highest watermark of any successful run (0 when none), one row."""
     return log.where(F.col("status") == "SUCCESS").agg(
