@@ -47,7 +47,7 @@ def test_extract(pages):
     "source,text",
     [
         ("", ""), ("<", "<"), ("a < b", "a < b"), ("<p", "<p"), ("<p>one", "one"), ("<script>x", ""), ("<!-- open", ""),
-        ("<nav>menu <p>text</p>", "menu text"), ('<p title="a>b">q</p>', "q"), ('<p title="open>q</p> "tail', 'q "tail'),
+        ("<nav>one of the menu words <p>text of it</p>", "one of the menu words text of it"), ('<p title="a>b">q</p>', "q"), ('<p title="open>q</p> "tail', 'q "tail'),
         ("<textarea><p>no</p></textarea><p>yes yes</p>", "yes yes"), ("<![CDATA[x]]><p>a&nbsp;b</p>", "a b"),
         ("<P CLASS='Ad'>no</P><P>yes</P>", "yes"), ("a<b>b</b>c<i>\n</i>d", "abc d"),
     ],

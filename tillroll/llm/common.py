@@ -31,18 +31,27 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
+def _row_numbers(spark: SparkSession) -> Column:
+    """Numbers by file split and place in it.  Spark sizes splits by the cores it
+    sees when a scan is planned; pinning that number keeps the splits, and so
+    the numbers, the same in every pass even as executors come and go."""
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    return F.monotonically_increasing_id()
+
+
 def numbered(docs: DataFrame) -> DataFrame:
     """(row_id, doc_id, text).  Numbers follow the stored files, so they are the
     same in every pass and in a retried task: ``docs`` must be a stored table,
     not the result of a shuffle."""
-    return id_text(docs).withColumn("row_id", F.monotonically_increasing_id())
+    return id_text(docs).withColumn("row_id", _row_numbers(docs.sparkSession))
 
 
 def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """``docs``, all columns, without the rows numbered in ``dropped`` (row_id)."""
     gone = dropped.select(F.col("row_id").alias("_dropped"))
     return (
-        docs.withColumn("_row", F.monotonically_increasing_id())
+        docs.withColumn("_row", _row_numbers(docs.sparkSession))
         .join(gone, F.col("_row") == F.col("_dropped"), "left_anti")
         .drop("_row")
     )

@@ -55,13 +55,16 @@ _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden)(?:\s*=\s*("[^"]*"|'[^
 _SKIP = re.compile(r"<!--|<!|<\?|<(?=[/a-zA-Z])")
 
 TEXT, OPEN, CLOSE = 0, 1, 2
+# Quotes are paired within this many characters of a tag's start; a tag that is
+# longer, or whose quotes do not pair, ends at the first ">".
+TAG_CHARS = 1 << 14
 
 
 def tokens(page: str) -> Iterator[tuple[int, str, str]]:
     """(TEXT, characters, ""), (OPEN, name, attributes) and (CLOSE, name, "")
     in page order; comments, declarations and the content of raw-text elements
     are left out.  What is never closed runs to the end."""
-    at, size = 0, len(page)
+    at, size, last = 0, len(page), page.rfind(">")
     lower = None
     while at < size:
         found = _SKIP.search(page, at)
@@ -79,7 +82,7 @@ def tokens(page: str) -> Iterator[tuple[int, str, str]]:
             end = page.find(">", at + 2)
             at = size if end < 0 else end + 1
         else:
-            tag = _TAG.match(page, at) or _LOOSE.match(page, at)
+            tag = at < last and (_TAG.match(page, at, at + TAG_CHARS) or _LOOSE.match(page, at))
             if not tag:  # a sign, not a tag
                 yield TEXT, "<", ""
                 at += 1
@@ -217,7 +220,7 @@ class Page:
 
 
 # For what no labelled page shows, and the ranges learned weights keep.
-DEFAULT_WORD, DEFAULT_TAG = 0.5, -1.0
+DEFAULT_WORD, DEFAULT_TAG = 1.0, -0.4
 WORD_RANGE, TAG_RANGE = (0.05, 2.0), (-12.0, -0.2)
 
 

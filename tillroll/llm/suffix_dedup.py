@@ -164,6 +164,12 @@ def _surroundings(depth: int, digit: int):
     return run
 
 
+def _hashed(df: DataFrame) -> DataFrame:
+    """The side of a join that holds each key once.  A task builds a table of
+    its share of them, so the larger side (texts, anchors) need not be sorted."""
+    return df.hint("shuffle_hash")
+
+
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
@@ -191,14 +197,14 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, Data
         "anchors",
     )
     shared = scratch.write(found.groupBy("digit").agg(F.count("*").alias("n")).where("n > 1").select("digit"), "digits")
-    kept = scratch.write(found.join(shared, "digit"), "kept")
+    kept = scratch.write(found.join(_hashed(shared), "digit"), "kept")
     scratch.drop("anchors", "digits")
 
     # Pass 2: by everything around the anchor.
     classes = scratch.write(
         kept.groupBy("digit", "around").agg(F.count("*").alias("n"), F.min(F.struct("row_id", "at")).alias("one")), "classes"
     )
-    whole = kept.join(classes.where("n > 1").select("digit", "around"), ["digit", "around"])
+    whole = kept.join(_hashed(classes.where("n > 1").select("digit", "around")), ["digit", "around"])
     whole = whole.select("row_id", (F.col("at") - reach).alias("start"), (F.col("at") + depth).alias("stop"))
     several = classes.groupBy("digit").agg(F.count("*").alias("k")).where("k > 1").select("digit")
     partial = classes.join(several, "digit").select("digit", F.col("one.row_id").alias("row_id"), F.col("one.at").alias("at"))
@@ -206,7 +212,7 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, Data
         partial.groupBy("row_id").agg(F.collect_list("at").alias("ats")), "wanted"
     )  # a document's own anchors, so a list is bounded by its text
     scratch.drop()
-    around = rows.select("row_id", "text").join(wanted, "row_id").select("row_id", "text", "ats")
+    around = rows.select("row_id", "text").join(_hashed(wanted), "row_id").select("row_id", "text", "ats")
     around = around.mapInArrow(_surroundings(depth, digit), "row_id long, at int, lead int, bytes binary")
     around = scratch.write(around.withColumn("digit", F.xxhash64(F.expr(f"substring(bytes, lead + 1, {digit})"))), "around")
     scratch.drop("wanted")
@@ -243,13 +249,13 @@ def _settle(around: DataFrame, scratch: Scratch, depth: int, digit: int) -> Data
         pieces = scratch.write(pieces, f"pieces{run}")
         group, same = ["digit", "run", "core"], ["digit", "from_o", "to_o", "cover"]
         company = pieces.groupBy(*group).agg(F.count("*").alias("n")).where("n > 1").drop("n")
-        alive = scratch.write(pieces.join(company, group), f"alive{run}")
+        alive = scratch.write(pieces.join(_hashed(company), group), f"alive{run}")
         scratch.drop(f"pieces{run}")
         classes = alive.groupBy(*group, "from_o", "to_o", "cover").agg(
             F.count("*").alias("n"), F.min(F.struct("row_id", "at")).alias("one")
         )
         classes = scratch.write(classes, f"classes{run}")
-        whole = alive.join(classes.where("n > 1").select(*same).distinct(), same)
+        whole = alive.join(_hashed(classes.where("n > 1").select(*same).distinct()), same)
         whole = scratch.write(whole.select("row_id", "at", "from_o", "to_o"), f"settled{run}")
         settled = whole if settled is None else settled.unionByName(whole)
         if run > 1:
@@ -299,5 +305,5 @@ def remove_repeats(docs: DataFrame, depth: int = DEPTH, with_text: bool = False)
             yield from batches(out, schema)
 
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    joined = rows.join(spans, "row_id", "left").select("doc_id", "text", "spans")
+    joined = rows.join(_hashed(spans), "row_id", "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(run, ddl + (", kept binary" if with_text else ""))
