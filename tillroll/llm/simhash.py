@@ -6,7 +6,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import batches, checkpoint, columns, numbered, small_batches, without_rows
@@ -104,7 +104,7 @@ def links(fps: DataFrame, radius: int) -> DataFrame:
     while True:
         # From the radius alone: 15 masks for radius 3, then 225, then 3375.
         paths = {f: list(dict.fromkeys(covering_masks(radius, f))) for f in fixed}
-        keyed = pending.select("fp", F.explode(_masks_of(paths)).alias("mask"))
+        keyed = _masked(pending, paths)
         keyed = keyed.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
         sizes = (
             keyed.groupBy("mask", "key")
@@ -113,7 +113,7 @@ def links(fps: DataFrame, radius: int) -> DataFrame:
         )
         sizes = checkpoint(sizes)
         members = checkpoint(keyed.join(sizes.where("n > 2").select("mask", "key", "n"), ["mask", "key"]))
-        fixed = [m for ms in paths.values() for m in ms]
+        fixed = list(dict.fromkeys(m for ms in paths.values() for m in ms))
         last = max(BITS - m.bit_count() for m in fixed) <= PAIRWISE.bit_length() - 1
         near = members if last else members.where(F.col("n") <= PAIRWISE)
         grouped = near.groupBy("mask", "key").agg(F.collect_list("fp").alias("fps")).select("fps")
@@ -125,12 +125,14 @@ def links(fps: DataFrame, radius: int) -> DataFrame:
             return out
 
 
-def _masks_of(paths: dict[int, list[int]]) -> Column:
-    """The masks that continue a row's ``fixed`` bits."""
-    arrays = {f: F.array(*[F.lit(_signed(m)) for m in ms]) for f, ms in paths.items()}
-    if len(arrays) == 1:
-        return next(iter(arrays.values()))
-    return F.create_map(*[x for f, ms in arrays.items() for x in (F.lit(_signed(f)), ms)])[F.col("fixed")]
+def _masked(pending: DataFrame, paths: dict[int, list[int]]) -> DataFrame:
+    """(fp, mask) for the masks that continue a row's ``fixed`` bits."""
+    if len(paths) == 1:
+        masks = F.array(*[F.lit(_signed(m)) for ms in paths.values() for m in ms])
+        return pending.select("fp", F.explode(masks).alias("mask"))
+    rows = [(_signed(f), [_signed(m) for m in ms]) for f, ms in paths.items()]
+    table = pending.sparkSession.createDataFrame(rows, "fixed long, masks array<long>")  # 3375 rows at most for radius 3
+    return pending.join(F.broadcast(table), "fixed").select("fp", F.explode("masks").alias("mask"))
 
 
 def _close_pairs(radius: int):
