@@ -176,3 +176,18 @@ def test_quality_gate_flags_planted_faults(spark, scratch):
         "dim_branch must hold exactly one DEFAULT_BRANCH row",
         "orphan product keys: 1",
     ]
+
+
+def test_a_failed_write_leaves_the_table(spark, scratch):
+    import pytest
+
+    from tillroll.sources.files import write_table
+
+    path = str(scratch / "t" / "load_id=a")
+    write_table(spark.range(3).toDF("v"), path)
+    with pytest.raises(Exception, match="broken"):
+        write_table(spark.range(5).selectExpr("IF(id = 4, raise_error('broken'), id) AS v"), path)
+    assert spark.read.parquet(path).count() == 3
+    write_table(spark.range(7).toDF("v"), path)
+    assert spark.read.parquet(path).count() == 7
+    assert spark.read.parquet(str(scratch / "t")).count() == 7  # nothing else is listed

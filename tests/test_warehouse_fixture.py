@@ -90,7 +90,7 @@ def test_running_sum_equals_plain_window(spark, width):
             num = rnd.choice([None, rnd.randint(1, 12)]) if user == 3 else rnd.randint(1, 60)
             rows.append((i + 1000 * user, user, num, rnd.randint(0, 30)))
     df = spark.createDataFrame(rows, "id long, user long, num int, days int")
-    w = Window.partitionBy("user").orderBy("num").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy("user").orderBy(F.asc_nulls_last("num")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     expected = {r.id: r.s for r in df.select("id", F.sum("days").over(w).alias("s")).collect()}
     got = {r.id: r.s for r in silver.running_sum(df, "user", "num", "days", "s", width).select("id", "s").collect()}
     assert got == expected

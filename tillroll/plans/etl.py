@@ -35,7 +35,7 @@ from tillroll.operators import silver as silver_ops
 from tillroll.plans.jobs import run_concurrently
 from tillroll.sources import incremental as inc
 from tillroll.sources.adapter import RawSources
-from tillroll.sources.files import _exists
+from tillroll.sources.files import _exists, write_table
 from tillroll.sources.runlog import append_log, log_row, new_run_id, read_log
 
 STAGES = ("bronze", "silver", "gold", "all")
@@ -95,7 +95,7 @@ _CATALOG_LOCK = threading.Lock()
 def _write(df: DataFrame, paths: WarehousePaths, name: str) -> None:
     ident = paths.catalog_name(name)
     if ident is None:
-        df.write.mode("overwrite").parquet(paths.table(name))
+        write_table(df, paths.table(name))
         return
     spark = df.sparkSession
     with _CATALOG_LOCK:  # layer writes run concurrently; create the database once

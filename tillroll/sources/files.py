@@ -51,16 +51,31 @@ def read_result_csv(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     return read_csv_source(spark, path, schema)
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """(re)write a Parquet table at ``path``."""
-    df.write.mode(mode).parquet(path)
+def write_table(df: DataFrame, path: str) -> None:
+    """(re)write a Parquet table at ``path``.
+
+    The rows go to a hidden folder beside it, which takes the table's place
+    once it is complete: a write that fails leaves the table as it was.
+    """
+    parent, _, name = path.rstrip("/").rpartition("/")
+    # A name with "=" would be listed as a partition, hidden or not.
+    staging = f"{parent}/_staging-{name.replace('=', '-')}"
+    df.write.mode("overwrite").parquet(staging)
+    fs, target = _file_system(df.sparkSession, path)
+    _, complete = _file_system(df.sparkSession, staging)
+    fs.delete(target, True)
+    if not fs.rename(complete, target):
+        raise OSError(f"{staging} could not be renamed to {path}")
+
+
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
     """Ask the file system that Spark itself would use for the path."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _file_system(spark, path)
     return fs.exists(hpath)
 
 
