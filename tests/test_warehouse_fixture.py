@@ -148,7 +148,7 @@ def test_top_customers_aggregate_first_equals_join_first(layers, duplicate):
     dc = g.dim_customer.unionByName(g.dim_customer.limit(1)) if duplicate else g.dim_customer
     star = marts.star(g.fact_order_line, g.dim_product, g.dim_branch, g.dim_date)
     got = {tuple(r) for r in marts.top_customers(star, dc).collect()}
-    joined = marts.star(g.fact_order_line, g.dim_product, g.dim_branch, g.dim_date, dc)
+    joined = marts.star(g.fact_order_line, g.dim_product, g.dim_branch, g.dim_date, dc).joined
     expected = {
         tuple(r)
         for r in joined.groupBy("user_id_nk", "membership_tier")

@@ -20,9 +20,10 @@ def header_columns(spark: SparkSession, path: str) -> list[str]:
     return spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path).columns
 
 
-def read_csv_source(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv_source(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Header CSV, columns by name in any order.  Columns beyond the schema
     are left out; a missing one is an error (source drift, Q8)."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     header = header_columns(spark, path)
     missing = [name for name in schema.names if name not in header]
     if missing:
@@ -44,7 +45,7 @@ def write_result_csv(df: DataFrame, path: str, single_file: bool = False) -> Non
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def read_result_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_result_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Read a result back; a missing result is an empty frame."""
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
