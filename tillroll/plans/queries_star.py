@@ -35,7 +35,7 @@ WEEKDAYS_SQL = "(VALUES " + ", ".join(f"('{d}', {i + 1})" for i, d in enumerate(
 
 # ---- Silver -------------------------------------------------------------
 
-@register("t1_typed_orders", with_warehouse("SELECT * FROM s_typed"))
+@register("t1_typed_orders", with_warehouse("SELECT * FROM s_gaps"))
 def t1(spark, sf):
     return silver.typed_orders(warehouse(spark, sf).raw.orders)
 
