@@ -94,3 +94,23 @@ def test_drop_toxic_keeps_columns_and_clean_rows(corpus):
     kept = [truth[r.doc_id] for r in left.collect()]
     clean = sum(1 for t in truth.values() if not t)
     assert kept.count(1) <= 0.05 * (len(truth) - clean) and kept.count(0) >= 0.97 * clean
+
+
+def test_toxic_stems_that_ordinary_words_end_in():
+    rng = random.Random(5)
+    stem = "achlich"  # at the start of toxic words, at the end of ordinary ones
+
+    def text(toxic):
+        own = [w + stem if rng.random() < 0.05 else w for w in prose(rng, 100)]
+        if toxic:
+            for _ in range(4):
+                own.insert(rng.randrange(len(own)), stem + "".join(prose(rng, 1)))
+        elif rng.random() < 0.03:
+            own.append(stem)
+        return " ".join(own)
+
+    rows = [(text(i % 6 == 0), int(i % 6 == 0)) for i in range(1200)]
+    params = toxicity.Params()
+    scorer = toxicity.Scorer(toxicity.learn(rows[:900], params), params)
+    found = {y: np.mean([scorer(t) >= 0.7 for t, label in rows[900:] if label == y]) for y in (0, 1)}
+    assert found[1] > 0.9 and found[0] < 0.02

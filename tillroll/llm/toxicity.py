@@ -2,13 +2,16 @@
 
 Two zstandard dictionaries are trained, one on windows of ordinary text and
 one on windows of toxic text.  A toxic text is ordinary text for the most
-part, so the toxic dictionary is calibrated before use: of its words those
-stay that occur in many different contexts of toxic texts and hardly in
-ordinary ones (contexts, not texts, so that copies do not count as evidence).
-The toxic compressor then has these on top of the ordinary dictionary, and the
-parts of them that ordinary text is full of too are given to both.  Both
-compress alike what is ordinary, and the bytes that a window is shorter under
-the toxic one are the words the ordinary one does not know.
+part, so the two are calibrated against each other before use: of the toxic
+dictionary those runs of bytes stay, inside words or across them, whose rate in
+toxic texts is surely a multiple of that in ordinary ones (rates over different
+contexts, so that copies do not count as evidence), and these runs are cut out
+of the ordinary dictionary.  The toxic compressor then has them on top of the
+ordinary dictionary.  Both compress alike what is ordinary, and the bytes that
+a window is shorter under the toxic one are what the ordinary one does not know.
+
+The first bytes of every word are upper case and the others lower case, so a
+stem at the start of a word is not the same as an ending that is spelled alike.
 
 A text is cut into windows of words.  The gains of its windows give a few
 counts against thresholds, and a logistic curve over them, fitted on labelled
@@ -34,6 +37,8 @@ LEAD = 96
 THRESHOLDS = (1, 2, 3, 4, 6)
 FEATURES = len(THRESHOLDS) + 4
 GRAM = 5
+INITIAL = 5  # bytes of a word
+BLOCK = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -41,8 +46,8 @@ class Params:
     window: int = 8  # words
     dictionary: int = 112_640  # bytes
     level: int = 13
-    min_contexts: int = 5  # and one in a hundred of the toxic texts
-    ratio: float = 8.0  # of a word's rate in toxic text to that in ordinary text
+    ratio: float = 8.0  # of a gram's rate in toxic text to that in ordinary text
+    sure: float = 2.0  # standard deviations by which a toxic count may be too high
     per_class: int = 2500  # labelled rows of each class, at most
     max_chars: int = 8000  # of each labelled row, for learning only
 
@@ -55,8 +60,10 @@ class Model:
 
 
 def words(text: str) -> list[bytes]:
-    """Runs of anything but ASCII white space, A-Z as a-z."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
+    """Runs of anything but ASCII white space, in ASCII letters that are upper case
+    in the first ``INITIAL`` bytes and lower case after them."""
+    found = text.encode("utf-8", "surrogatepass").lower().split()
+    return [w[:INITIAL].upper() + w[INITIAL:] for w in found]
 
 
 def windows(tokens: list[bytes], size: int) -> list[bytes]:
@@ -72,36 +79,62 @@ def _trained(samples: list[bytes], size: int) -> bytes:
         return b"".join(samples)[-size:]
 
 
-def _contexts(texts: list[list[bytes]], known: set[bytes]) -> dict[bytes, int]:
-    """For each known word the number of different (word before, word after)."""
-    seen: dict[bytes, set] = {}
-    for tokens in texts:
-        for before, word, after in zip([b"", *tokens], tokens, [*tokens[1:], b""]):
-            if word in known:
-                seen.setdefault(word, set()).add((before, after))
-    return {word: len(around) for word, around in seen.items()}
-
-
-def _common_parts(pieces: list[bytes], texts: list[list[bytes]]) -> bytes:
-    """The runs of ``GRAM`` bytes or more in ``pieces`` all of whose grams are
-    frequent in ``texts``."""
-    data = np.frombuffer(b" ".join(w for t in texts for w in t), np.uint8).astype(np.uint64)
-    if len(data) < GRAM:
-        return b""
-    grams = sum(data[i : len(data) - GRAM + 1 + i] << np.uint64(8 * i) for i in range(GRAM))
-    gram, count = np.unique(grams, return_counts=True)
-    common = set(gram[count >= 3].tolist())
-    runs = set()
-    for piece in pieces:
-        start = None
-        for i in range(len(piece) - GRAM + 2):
-            known = int.from_bytes(piece[i : i + GRAM], "little") in common and i + GRAM <= len(piece)
-            if known and start is None:
-                start = i
-            elif not known and start is not None:
-                runs.add(piece[start : i + GRAM - 1])
-                start = None
-    return b"".join(sorted(runs))
+def _contexts(texts: list[list[bytes]]) -> tuple[bytes, int]:
+    """Every word once per different (word before, word after), and how many."""
+    tokens = [w for t in texts for w in t]
+    around = (hash(x) for t in texts for x in zip([b"", *t], t, [*t[1:], b""]))
+    _, first = np.unique(np.fromiter(around, np.int64, len(tokens)), return_index=True)
+    return b" " + b" ".join(tokens[i] for i in np.sort(first).tolist()) + b" ", len(first)
+
+
+def _grams(data: bytes) -> np.ndarray:
+    """The ``GRAM`` bytes at each place, as numbers."""
+    one = np.frombuffer(data, np.uint8).astype(np.uint64)
+    many = max(0, len(one) - GRAM + 1)
+    return sum((one[i : i + many] << np.uint64(8 * i) for i in range(GRAM)), np.zeros(many, np.uint64))
+
+
+def _counts(known: np.ndarray, data: bytes) -> np.ndarray:
+    """How often each of the sorted grams ``known`` stands in ``data``."""
+    total = np.zeros(len(known), np.int64)
+    for at in range(0, len(data) if len(known) else 0, BLOCK):
+        grams = _grams(data[at : at + BLOCK + GRAM - 1])
+        place = np.searchsorted(known, grams).clip(max=len(known) - 1)
+        total += np.bincount(place[known[place] == grams], minlength=len(known))
+    return total
+
+
+def _marked(data: bytes, grams: np.ndarray) -> np.ndarray:
+    """For each byte of ``data`` whether one of ``grams`` covers it."""
+    marked = np.zeros(len(data), bool)
+    for at in np.flatnonzero(np.isin(_grams(data), grams)).tolist():
+        marked[at : at + GRAM] = True
+    return marked
+
+
+def _runs(data: bytes, grams: np.ndarray) -> list[bytes]:
+    """The different runs of ``data`` in which a gram of ``grams`` starts at every
+    place but the last ``GRAM`` - 1."""
+    runs, start = set(), None
+    for i, known in enumerate([*np.isin(_grams(data), grams).tolist(), False]):
+        if known and start is None:
+            start = i
+        elif not known and start is not None:
+            runs.add(data[start : i + GRAM - 1])
+            start = None
+    return sorted(runs, key=lambda r: (len(r), r))
+
+
+def _calibrated(ordinary: bytes, toxic: bytes, train: dict[int, list[list[bytes]]], params: Params) -> tuple[bytes, bytes]:
+    """The ordinary dictionary without the grams that are toxic by their rates,
+    and the runs of these in the toxic one."""
+    (plain, n_plain), (rude, n_rude) = _contexts(train[0]), _contexts(train[1])
+    grams = np.unique(_grams(toxic))
+    in_toxic, in_ordinary = _counts(grams, rude), _counts(grams, plain)
+    scale = n_rude / max(1, n_plain)
+    own = grams[in_toxic - params.sure * np.sqrt(in_toxic) > params.ratio * scale * (in_ordinary + 1)]
+    left = np.frombuffer(ordinary, np.uint8)[~_marked(ordinary, own)].tobytes()
+    return left, b"".join(_runs(toxic, own))
 
 
 class Distance:
@@ -112,7 +145,9 @@ class Distance:
         # Bytes both dictionaries end with: they cost every window the same, and keep the
         # block of a short window from being stored raw, which would hide its gain.
         self.lead = ordinary[-LEAD:]
-        self.sizes = [self._compressor(ordinary), self._compressor(toxic + ordinary)]
+        # The toxic runs lie close before them, where it takes few bits to point at; as
+        # many zeros instead keep all else as far away for the ordinary compressor.
+        self.sizes = [self._compressor(ordinary[:-LEAD] + own + self.lead) for own in (bytes(len(toxic)), toxic)]
 
     def _compressor(self, content: bytes):
         shape = zstandard.ZstdCompressionParameters.from_level(
@@ -161,22 +196,14 @@ def _logistic(rows: np.ndarray, labels: np.ndarray, rounds: int = 60, ridge: flo
 def learn(sample: list[tuple[str, int]], params: Params = Params()) -> Model:
     """The dictionaries from every first and second of three sampled texts, the
     curve from every third.  Without both classes every score is 0.5."""
-    by_class = {y: [words(t) for t, label in sample if label == y] for y in (0, 1)}
-    train = {y: [t for i, t in enumerate(ts) if i % 3 < 2] for y, ts in by_class.items()}
+    by_class = {y: [t for t, label in sample if label == y] for y in (0, 1)}
+    train = {y: [words(t) for i, t in enumerate(ts) if i % 3 < 2] for y, ts in by_class.items()}
     if not train[0] or not train[1]:
         return Model(b"", b"", (0.0,) * (FEATURES + 1))
     ordinary, toxic = (_trained([w for t in train[y] for w in windows(t, params.window // 2)], params.dictionary) for y in (0, 1))
-    known = set(toxic.split())
-    in_toxic, in_ordinary = _contexts(train[1], known), _contexts(train[0], known)
-    scale = sum(map(len, train[1])) / max(1, sum(map(len, train[0])))
-    least = max(params.min_contexts, len(train[1]) / 100)
-    own = sorted(
-        (n, w) for w, n in in_toxic.items() if n >= least and n > params.ratio * scale * (in_ordinary.get(w, 0) + 1)
-    )
-    content = b" " + b" ".join(w for _, w in own) + b" " if own else b""
-    ordinary = _common_parts([b" " + w + b" " for _, w in own], train[0]) + ordinary
+    ordinary, content = _calibrated(ordinary, toxic, train, params)
     distance = Distance(ordinary, content, params)
-    rest = [(" ".join(w.decode("utf-8", "replace") for w in t), y) for y, ts in by_class.items() for t in ts[2::3]]
+    rest = [(t, y) for y, ts in by_class.items() for t in ts[2::3]]
     rest = rest or [(t, y) for t, y in sample]
     rows, labels = np.array([distance(t) for t, _ in rest]), np.array([y for _, y in rest])
     if len(set(labels.tolist())) < 2:
