@@ -93,3 +93,24 @@ def test_edge_cases(docs, empty):
     for r in out:
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256, r.spans) == (0, 0, 0, 0, none, "")
     assert pii.find(empty).count() == 0
+
+
+def test_line_start_spaced_identifiers_and_new_seeds(spark, store):
+    rng = random.Random(4)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    rows = []
+    for i in range(40):
+        rows.append((i, f"{word()} {word()}\nTel: +49 30 {digits(7)}\n{word()}"))
+        if i < 12:  # found by Tel:, and the seeds of Rufnummer:
+            number = f"030 {digits(4)} {digits(4)}"
+            rows.append((100 + i, f"Tel: {number}"))
+            rows.append((200 + i, f"{word()}\nRufnummer: {number}\n{word()}"))
+            rows.append((300 + i, f"{word()} +49 30 {digits(7)} (mobile number) {word()}"))
+    rows += [(400, "Rufnummer: 0171 555 1234"), (401, f"{word()} 0172 555 1234 (mobile number) {word()}"), (402, f"{word()} 0172 555 9999 {word()}")]
+    df = store(spark.createDataFrame(rows, "doc_id long, text string"), "spaced")
+    out, text = {r.doc_id: r.spans for r in pii.find(df).collect()}, dict(rows)
+    for d in [*range(100, 112), *range(200, 212), 400, 401]:
+        number = re.search(r"[0-9][0-9 ]+[0-9]", text[d])
+        assert out[d] == f"phone:{number.start()}:{number.end()}", d
+    assert out[402] == ""

@@ -1,12 +1,14 @@
 """Personal data by bootstrapped contextual extraction (operator 10).
 
 Seeds are the entities that plain rules find (mail and IP addresses, payment
-cards, telephone numbers).  The two words before a seed are a lexical pattern
-for its kind.  Patterns and the identifier-like tokens they introduce form a
-graph; Spark scores it in rounds: a pattern is as good as the instances it
-introduces, an instance as good as the patterns that introduce it.  A pattern
-that introduces enough seeds, little else, and hardly ever an ordinary word is
-trusted, and the identifiers it introduces which no rule knows are found.
+cards, telephone numbers).  The word and the two words before a seed and after
+it, an end of the line counting as a word, are lexical patterns for its kind.
+Patterns and the identifier-like tokens they introduce form a graph; Spark
+scores it in rounds: a pattern is as good as the instances it introduces, an
+instance as good as the patterns that introduce it.  A pattern that introduces
+enough seeds, little else, and hardly ever an ordinary word is trusted, and the
+identifiers it introduces which no rule knows are found.  These are seeds of the
+next pass, until a pass finds nothing new.
 
 The rules are linear: each match starts at a place from which nothing before
 could have matched.
@@ -38,10 +40,15 @@ _DIGITS = re.compile(r"[0-9]")
 # A token is like an identifier with a digit or an @ in it and this many characters.
 _TOKEN = re.compile(r"(?<!\S)\S*[0-9@]\S*")
 SHORTEST = 5
+# Neighbouring tokens are one identifier (030 1234 5678); more of them are a row of numbers.
+JOINED = 12
+BRACKETS = "()[]"
+LINE = "\n"  # stands for a word at both ends of a line
+GAP = "\t"  # the identifier's place in a pattern
 EDGE = "\"'`.,;:!?()[]{}<>="
 
 _ZERO = {c: "0" for c in range(0x30, 0x3A)}
-REACH = 120  # characters before an identifier in which its pattern stands
+REACH = 120  # characters before and after an identifier in which its patterns stand
 MIN_SEEDS = 5
 MIN_CONFIDENCE = 0.6
 MIN_SPECIFIC = 0.5
@@ -104,26 +111,46 @@ def _plain(text: str) -> str:
     return text.lower().translate(_ZERO)
 
 
-def _before(text: str, at: int) -> str | None:
-    """The pattern of a place: the two words before it on its line, digits as 0.
-    None without two words, or where they reach back further than ``REACH``."""
-    low = max(0, at - REACH)
-    left = text[low:at].rpartition("\n")
-    words = left[2].split()
-    if len(words) < 2 or (len(words) == 2 and not left[1] and low > 0):
-        return None
-    return _plain(" ".join(words[-2:]))
+def _patterns(text: str, start: int, end: int) -> list[str]:
+    """The patterns of a place: one and two words before its token and after it
+    on its line, digits as 0, as far as they lie within ``REACH``."""
+    low, high = max(0, start - REACH), min(len(text), end + REACH)
+    while start > low and not text[start - 1].isspace():
+        start -= 1
+    while end < high and not text[end].isspace():
+        end += 1
+    out = []
+    _, line, left = text[low:start].rpartition("\n")
+    words = left.split()
+    if line or low == 0:
+        words.insert(0, LINE)
+    elif not left[:1].isspace():
+        words = words[1:]  # may be the end of a word
+    words = [_plain(w) for w in words[-2:]]
+    if words and words[-1] != LINE:
+        out.append(f"{words[-1]}{GAP}")
+        if len(words) == 2:
+            out.append(f"{words[0]} {words[1]}{GAP}")
+    right, line, _ = text[end:high].partition("\n")
+    words = right.split()
+    if line or high == len(text):
+        words.append(LINE)
+    elif not right[-1:].isspace():
+        words = words[:-1]
+    words = [_plain(w) for w in words[:2]]
+    if words and words[0] != LINE:
+        out.append(f"{GAP}{words[0]}")
+        if len(words) == 2:
+            out.append(f"{GAP}{words[0]} {words[1]}")
+    return out
 
 
-def instances(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, str | None, int, int]]:
-    """(pattern, instance, kind, start, end) of the seeds, and with kind null of
-    the other identifier-like tokens."""
-    out = []
-    taken = sorted((a, b) for _, a, b in spans)
-    for kind, start, end in spans:
-        if pattern := _before(text, start):
-            out.append((pattern, text[start:end].lower(), kind, start, end))
-    i = 0
+def _tokens(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(start, end) of identifier-like tokens outside the places ``taken``.
+    Neighbours on a line with one space and at most brackets between them are
+    one, unless they hold an @ or are more than ``JOINED``."""
+    runs: list[list[tuple[int, int]]] = []
+    i, last = 0, -1  # last: where a token ended that the next one may join
     for m in _TOKEN.finditer(text):
         start, end = m.span()
         while start < end and text[start] in EDGE:
@@ -132,30 +159,61 @@ def instances(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, s
             end -= 1
         while i < len(taken) and taken[i][1] <= start:
             i += 1
-        if end - start < SHORTEST or (i < len(taken) and taken[i][0] < end):
+        if start == end or (i < len(taken) and taken[i][0] < end):
+            last = -1
             continue
-        if pattern := _before(text, start):
-            out.append((pattern, text[start:end].lower(), None, start, end))
-    return out
+        plain = "@" not in m.group()
+        near = plain and last >= 0 and m.start() == last + 1 and text[last] == " "
+        if near and not text[m.start() : start].strip(BRACKETS):
+            runs[-1].append((start, end))
+        else:
+            runs.append([(start, end)])
+        last = m.end() if plain and not text[end : m.end()].strip(BRACKETS) else -1
+    out = []
+    for run in runs:
+        out += [(run[0][0], run[-1][1])] if len(run) <= JOINED else run
+    return [(a, b) for a, b in out if b - a >= SHORTEST]
+
+
+def instances(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, str | None, int, int]]:
+    """(pattern, instance, kind, start, end) of the seeds, and with kind null of
+    the other identifier-like tokens."""
+    places = [*spans, *((None, a, b) for a, b in _tokens(text, sorted((a, b) for _, a, b in spans)))]
+    return [(p, text[a:b].lower(), kind, a, b) for kind, a, b in places for p in _patterns(text, a, b)]
 
 
 def _totals(bitmap: np.ndarray):
-    """Partial counts of all places after each pattern whose slot is set."""
+    """Partial counts of all places of each pattern whose slot is set."""
     schema = pa.schema([("pattern", pa.string()), ("places", pa.int64())])
     mask = (1 << BITMAP_BITS) - 1
 
+    def wanted(pattern: str) -> bool:
+        slot = zlib.crc32(pattern.encode("utf-8", "surrogatepass")) & mask
+        return bool(bitmap[slot >> 6] >> (slot & 63) & 1)
+
     def run(source):
         for batch in source:
             total: Counter = Counter()
             for (text,) in zip(*columns(batch, "text")):
-                pairs: Counter = Counter()
+                before, after = Counter(), Counter()
                 for line in _plain(text).split("\n"):
                     words = line.split()
-                    pairs.update(zip(words, words[1:-1]))
-                for (a, b), n in pairs.items():
-                    pattern = f"{a} {b}"
-                    slot = zlib.crc32(pattern.encode("utf-8", "surrogatepass")) & mask
-                    if bitmap[slot >> 6] >> (slot & 63) & 1:
+                    before.update(zip([LINE, *words], words[:-1]))
+                    after.update(zip(words[1:], [*words[2:], LINE]))
+                ahead, behind = Counter(), Counter()
+                for (a, b), n in before.items():
+                    ahead[b] += n
+                    if wanted(pattern := f"{a} {b}{GAP}"):
+                        total[pattern] += n
+                for (a, b), n in after.items():
+                    behind[a] += n
+                    if wanted(pattern := f"{GAP}{a} {b}"):
+                        total[pattern] += n
+                for word, n in ahead.items():
+                    if wanted(pattern := f"{word}{GAP}"):
+                        total[pattern] += n
+                for word, n in behind.items():
+                    if wanted(pattern := f"{GAP}{word}"):
                         total[pattern] += n
             yield from batches(list(total.items()), schema)
 
@@ -172,10 +230,10 @@ def _candidates(found: DataFrame) -> DataFrame:
     return by_kind.groupBy("pattern").agg(F.sum("n").alias("seeds"), best).where(f"seeds >= {MIN_SEEDS}")
 
 
-def trusted_patterns(rows: DataFrame, found: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame] | None:
+def _scored(rows: DataFrame, found: DataFrame, scratch: Scratch, turn: int) -> tuple[DataFrame, DataFrame] | None:
     """((pattern, kind, score), (instance, score)) after ``ROUNDS`` rounds over
     the graph, or None where no pattern has enough seeds."""
-    candidates = scratch.write(_candidates(found), "candidates")
+    candidates = scratch.write(_candidates(found), f"candidates-{turn}")
     slots = candidates.select(F.crc32(F.encode("pattern", "utf-8")).bitwiseAND((1 << BITMAP_BITS) - 1).alias("slot"))
     words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits"))
     bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.int64)  # the driver holds this, whatever the corpus
@@ -189,11 +247,11 @@ def trusted_patterns(rows: DataFrame, found: DataFrame, scratch: Scratch) -> tup
     edges = found.join(candidates.select("pattern"), "pattern").groupBy("pattern", "instance").agg(
         F.count("*").alias("n"), F.max(F.col("kind").isNotNull().cast("int")).alias("seed")
     )
-    edges = scratch.write(edges, "edges")
+    edges = scratch.write(edges, f"edges-{turn}")
     shape = edges.groupBy("pattern").agg(F.sum("n").alias("introduced"))
     specific = F.least(F.lit(1.0), F.col("introduced") / F.greatest("places", "introduced"))
     specific = scratch.write(
-        shape.join(places, "pattern").select("pattern", specific.alias("specific")).where(f"specific >= {MIN_SPECIFIC}"), "specific"
+        shape.join(places, "pattern").select("pattern", specific.alias("specific")).where(f"specific >= {MIN_SPECIFIC}"), f"specific-{turn}"
     )
     edges = edges.join(specific, "pattern")
     known = edges.select("pattern", "instance", "specific", F.col("seed").cast("double").alias("belief"))
@@ -202,10 +260,33 @@ def trusted_patterns(rows: DataFrame, found: DataFrame, scratch: Scratch) -> tup
         linked = edges.join(patterns, "pattern")
         doubt = F.exp(F.sum(F.log(1 - F.least("score", F.lit(0.999)))))
         belief = F.when(F.max("seed") == 1, F.lit(1.0)).otherwise(1 - doubt)
-        beliefs = linked.groupBy("instance").agg(belief.alias("belief"))
+        # The patterns of one place hold each other, so only those of one form count together.
+        form = F.concat(F.instr("pattern", GAP) == 1, F.instr("pattern", " ") > 0).alias("form")
+        beliefs = linked.groupBy("instance", form).agg(belief.alias("belief")).groupBy("instance").agg(F.max("belief").alias("belief"))
         known = edges.join(beliefs, "instance").select("pattern", "instance", "specific", "belief")
     good = patterns.where(F.col("score") >= MIN_CONFIDENCE).join(candidates.select("pattern", "kind"), "pattern")
-    return scratch.write(good, "patterns"), scratch.write(beliefs, "beliefs")
+    return scratch.write(good, f"patterns-{turn}"), scratch.write(beliefs, f"beliefs-{turn}")
+
+
+def trusted(rows: DataFrame, found: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame] | None:
+    """((pattern, kind, score), (instance, kind)) that are trusted once a pass
+    with the instances of the last one as further seeds finds no new ones, or
+    None where no pattern is trusted."""
+    seeds, many, turn, known = None, 0, 0, found
+    while scored := _scored(rows, known, scratch, turn):
+        patterns, beliefs = scored
+        sure = beliefs.where(F.col("belief") >= MIN_CONFIDENCE).select("instance")
+        new = found.where("kind IS NULL").select("pattern", "instance").distinct().join(patterns, "pattern").join(sure, "instance")
+        new = new.groupBy("instance").agg(F.max_by("kind", F.struct("score", "kind")).alias("kind"))
+        if seeds is not None:
+            new = new.join(seeds, "instance", "left_anti").unionByName(seeds)
+        seeds = scratch.write(new, f"seeds-{turn}")
+        if (now := seeds.count()) == many:
+            break
+        many, turn = now, turn + 1
+        added = seeds.withColumnRenamed("kind", "as")
+        known = found.join(added, "instance", "left").withColumn("kind", F.coalesce("kind", "as")).drop("as")
+    return (patterns, seeds) if many else None
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -250,19 +331,19 @@ def find(docs: DataFrame) -> DataFrame:
     )
     marked = scratch.write(rows.select("row_id", "doc_id", "text").mapInArrow(run, ddl), "marked")
     found = marked.select("row_id", F.inline("found"))
-    trusted = trusted_patterns(rows, found, scratch)
     result = marked.select("row_id", "doc_id", *[f"n_{kind}" for kind in KINDS], "base_sha256", "base")
-    if trusted:
-        patterns, beliefs = trusted
-        sure = beliefs.where(F.col("belief") >= MIN_CONFIDENCE).select("instance")
+    if learned := trusted(rows, found, scratch):
+        patterns, sure = learned
         rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int") - 1
         extra = (
             found.where("kind IS NULL")
             .drop("kind")
-            .join(patterns.select("pattern", "kind"), "pattern")
-            .join(sure, "instance")
+            .join(patterns, "pattern")
+            .join(sure.select("instance"), "instance")
+            .groupBy("row_id", "start", "end")
+            .agg(F.max_by(rank, F.struct("score", "kind")).alias("rank"))
             .groupBy("row_id")
-            .agg(F.collect_list(F.struct("start", rank.alias("rank"), "end")).alias("extra"))
+            .agg(F.collect_list(F.struct("start", "rank", "end")).alias("extra"))
         )
         result = result.join(extra, "row_id", "left")
     else:
