@@ -67,3 +67,24 @@ def test_drop(docs, benchmark):
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(str(d) for d, _ in texts() if d not in (70, 71))
     plan = dc.overlaps(docs, benchmark)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_short_masks_find_every_allowed_substitution():
+    for m, masks in dc.SHORT_MASKS.items():
+        for gone in itertools.combinations(range(m), m // 5):
+            assert any(not {at + i for i in mask} & set(gone) for mask in masks for at in range(m - mask[-1]))
+
+
+def test_short_items_with_any_words_replaced(spark, store):
+    items = [(m, words(700 + m, m)) for m in range(1, dc.WINDOW)]
+    rows, expected = [], set()
+    for m, item in items:
+        for some in range(m // 5 + 2):
+            for gone in itertools.combinations(range(m), some):
+                kept = ["qqqq" if i in gone else w for i, w in enumerate(item.split())]
+                rows.append((len(rows), f"xx {' '.join(kept)} yy"))
+                if some <= m // 5:
+                    expected.add((rows[-1][0], m))
+    docs = store(spark.createDataFrame(rows, "doc_id long, text string"), "short-docs")
+    benchmark = store(spark.createDataFrame(items, "item_id long, text string"), "short-items")
+    assert {(r.doc_id, r.item_id) for r in dc.contamination(docs, benchmark).collect()} == expected

@@ -9,9 +9,9 @@ the allowed substitutions fall in a window, at least one mask fits inside it
 on agreeing words only: the join on hashes misses no such window, and counting
 the agreeing words around a hit decides.
 
-Items of 5 to 11 words are shorter than a window: they count where their first
-five words stand in the document and at least 0.8 of all their words agree.
-Shorter items match nothing.
+Items of 5 to 11 words are shorter than a window: they count where at least 0.8
+of all their words agree, whichever these are.  Shorter items count where all
+their words stand in the document.
 """
 
 from __future__ import annotations
@@ -23,11 +23,12 @@ from tillroll.llm.common import numbered, without_rows
 
 WINDOW = 12
 MATCHES = 10
-SHORTEST = 5
+SHORTEST = 5  # words of an item that may have one replaced
 # Selected word positions.  Any two substitutions in 12 words leave one of the
-# first three on agreeing words; the last one serves short items.
+# three on agreeing words.
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 5, 6, 7), (0, 1, 2, 5, 8, 9))
-SHORT_MASK = (0, 1, 2, 3, 4)
+# The same for items of fewer words and a fifth of them replaced, rounded down.
+SHORT_MASKS = {1: ((0,),), 2: ((0, 1),), 5: ((0, 1, 2), (0, 1, 3, 4))} | {m: ((0, 1, 2),) for m in (3, 4, *range(6, WINDOW))}
 
 # Seeds of the benchmark that are broadcast; a larger benchmark is shuffled.
 BROADCAST_SEEDS = 500_000
@@ -58,7 +59,7 @@ def _items(benchmark: DataFrame) -> DataFrame:
         .distinct()
         .select("item_id", words_of("text").alias("item"))
         .withColumn("m", F.size("item"))
-        .where(f"m >= {SHORTEST}")
+        .where("m > 0")
     )
 
 
@@ -75,13 +76,17 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = rows.withColumn("n", F.size("words"))
     items = _items(benchmark)
     item_words = items.select("item_id", F.col("item").alias("words"), F.col("m").alias("n"), F.col("m").alias("len"))
-    long_masks, short_masks = list(enumerate(MASKS)), [(len(MASKS), SHORT_MASK)]
-    span = F.lit(WINDOW)
-    item_seeds = _seeds(item_words.where(f"len >= {WINDOW}"), long_masks, "item_id", "words").unionByName(
-        _seeds(item_words.where(f"len < {WINDOW}"), short_masks, "item_id", "words").where("at = 0")
-    )
+    # Of the twelve lengths (the last one: a window or more) those that occur.
+    lengths = sorted(r.m for r in items.select(F.least("m", F.lit(WINDOW)).alias("m")).distinct().collect())
+    by_length = {m: SHORT_MASKS.get(m, MASKS) for m in lengths or [WINDOW]}
+    masks = list(enumerate(sorted({mask for some in by_length.values() for mask in some})))
+    span, item_seeds = F.lit(WINDOW), None
+    for m, some in by_length.items():
+        own = item_words.where(F.least("len", span) == m)
+        seeds = _seeds(own, [(k, mask) for k, mask in masks if mask in some], "item_id", "words")
+        item_seeds = seeds if item_seeds is None else item_seeds.unionByName(seeds)
     item_seeds = item_seeds.select("seed", "item_id", F.col("words").alias("item"), F.col("at").alias("item_at"))
-    doc_seeds = _seeds(rows, long_masks + short_masks, "row_id", "doc_id", "words", "n")
+    doc_seeds = _seeds(rows, masks, "row_id", "doc_id", "words", "n")
     if item_seeds.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
         hits = doc_seeds.join(F.broadcast(item_seeds), "seed")
     else:
