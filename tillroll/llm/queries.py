@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import alignment, bpe, decontaminate, exact_dedup, html_text, packing, pii, quality, simhash, suffix_dedup, toxicity
+from tillroll.llm import alignment, bpe, decontaminate, exact_dedup, html_text, packing, pii, quality, simhash, suffix_dedup, swap_packing, toxicity
 from tillroll.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.col("full_sha256").alias("text_sha256"))
 
 
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return swap_packing.pack_documents(table(spark, sf_dir, "documents"), path, length=4096, end_id=1)
+
+
 def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     a_path, b_path = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return alignment.align_digest(table(spark, sf_dir, "documents"), a_path, b_path)
@@ -73,6 +78,7 @@ QUERIES: dict[str, QueryFn] = {
     "op8_html_text": op8_html_text,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pii": op10_pii,
+    "op12_best_fit": op12_best_fit,
     "op13_align": op13_align,
 }
 
