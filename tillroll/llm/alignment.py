@@ -42,8 +42,8 @@ from tillroll.llm.pieces import Pieces
 BROADCAST_PAIRS = 4_000_000
 # A hot pair stands in nearly every document; the join deals it to this many keys.
 SALTS = 16
-# Words encoded together as one text.
-JOINED = 2000
+# Words remembered per worker, and encoded together as one text.
+WORDS, JOINED = 350_000, 2000
 # Pairs a task holds before it adds up equal ones.
 HELD_PAIRS = 1_000_000
 SPACE = "▁"
@@ -82,7 +82,7 @@ class Aligner:
         self.a_name, self.b_name = ({i: str(i) for i in x} for x in (self.a_bytes, self.b_bytes))
         self.by_word = not any(re.search(f"[^{SPACE}]{SPACE}", name) for name in names)
         # Per part: tokens of both, groups, links; the groups' spelling, the links' keys.
-        self.words = Pieces(self._words, 4, 2)
+        self.words = Pieces(self._words, 4, 2, limit=WORDS)
 
     @staticmethod
     def _sizes(known: dict[int, bytes]) -> np.ndarray:

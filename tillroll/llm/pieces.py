@@ -17,7 +17,7 @@ class Pieces:
     Texts repeat their words (Zipf), so a piece is computed once and looked up
     afterwards.  ``compute(pieces)`` gives the rows of numbers and the lists of
     values.  ``trim`` bounds the table: over ``limit`` pieces or ``chars``
-    characters the more used half stays.  Forgetting costs time only.
+    characters the most used three quarters stay.  Forgetting costs time only.
     """
 
     def __init__(self, compute: Callable, width: int, n_values: int, limit: int = PIECES, chars: int = CHARS):
@@ -33,9 +33,9 @@ class Pieces:
 
     def trim(self) -> None:
         pieces = list(self.slot)
-        order = np.argsort(-self.uses[: len(pieces)], kind="stable")[: self.limit // 2]
+        order = np.argsort(-self.uses[: len(pieces)], kind="stable")[: 3 * self.limit // 4]
         sizes = np.cumsum([len(pieces[i]) for i in order.tolist()])
-        kept = order[sizes <= self.chars // 2]
+        kept = order[sizes <= 3 * self.chars // 4]
         self.numbers[: len(kept)], self.uses[: len(kept)], self.uses[len(kept) :] = self.numbers[kept], 0, 0
         kept = kept.tolist()
         self.slot = {pieces[i]: n for n, i in enumerate(kept)}

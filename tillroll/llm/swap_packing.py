@@ -9,7 +9,7 @@ by a move into another's room, or by exchanges (one for one, two for one, one
 for two) that shift tokens from it into a fuller one.  Each step raises the sum
 of squared fills, so the search ends, and a sequence that is empty goes.
 Sequences a block could not fill are dissolved and dealt again with those of
-the other blocks, in rounds of ever fewer blocks.
+the other blocks, in rounds of at most half as many blocks.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ GIVERS, STEPS = 16, 5000
 PAIRED = 32
 
 # Words remembered per worker, and encoded together as one text.
-WORDS, JOINED, MARK = 800_000, 2000, "\x01"
+WORDS, JOINED, MARK = 1_200_000, 2000, "\x01"
 
 # Python's str.split also cuts at U+001C to U+001F, which are no white space here.
 _WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
@@ -233,19 +233,24 @@ def pack(
     scratch = Scratch(pieces.sparkSession, "packing")
     rest, done, number = pieces.select("row_id", "piece", "length"), [], 0
     ddl = "row_id long, piece int, length long, block long, sequence long, offset long, fill long"
+
+    def blocks_of(part: DataFrame) -> int:
+        size = part.agg(F.sum("length").alias("tokens"), F.count("*").alias("n")).first()
+        return max(1, -(-(size.tokens or 0) // block_tokens), -(-size.n // block_pieces))
+
+    blocks = blocks_of(rest)
     while True:
-        size = rest.agg(F.sum("length").alias("tokens"), F.count("*").alias("n")).first()
-        blocks = max(1, -(-(size.tokens or 0) // block_tokens), -(-size.n // block_pieces))
         block = F.pmod(F.xxhash64("row_id", "piece", F.lit(number)), F.lit(blocks)).alias("block")
         placed = rest.select("*", block).groupBy("block").applyInArrow(lambda part: _placed(part, length), ddl)
         placed = scratch.write(placed, f"round{number}")
         named = placed.withColumn("sequence_id", F.lit(number << 56) + F.shiftleft("block", 24) + F.col("sequence"))
         closed = F.col("fill") > length * (1 - OPEN_SHARE)
-        if blocks == 1:
+        rest, before, number = placed.where(~closed).select("row_id", "piece", "length"), blocks, number + 1
+        blocks = blocks_of(rest) if before > 1 else 1
+        if 2 * blocks > before:  # one block, or too much left for another round to gain
             done.append(named)
             break
         done.append(named.where(closed))
-        rest, number = placed.where(~closed).select("row_id", "piece", "length"), number + 1
     places = done[0]
     for more in done[1:]:
         places = places.unionByName(more)
