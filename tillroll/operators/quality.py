@@ -101,10 +101,12 @@ def missing_tables(spark: SparkSession, names: Sequence[str], root: str | None =
     """Q9: required tables absent from the catalog (or from ``root`` when the
     warehouse is path-based)."""
     from tillroll.sources.files import _exists
+    from tillroll.sources.versions import read_version
 
     if root is None:
         return [n for n in names if not spark.catalog.tableExists(n)]
-    return [n for n in names if not _exists(spark, f"{root.rstrip('/')}/{n}")]
+    known = read_version(spark, root).tables
+    return [n for n in names if n not in known and not _exists(spark, f"{root.rstrip('/')}/{n}")]
 
 
 def default_member(dim_branch: DataFrame, branch_id: str = DEFAULT_BRANCH_ID) -> DataFrame:

@@ -1,20 +1,22 @@
 """The persisted Bronze -> Silver -> Gold run with its run log.
 
 Layout under ``root`` (any Hadoop-compatible path; on a cluster a shared
-store): one Parquet folder per table, ``bronze_orders/load_id=<run>/`` per
-incremental load, and ``etl_log/`` (append-only).
+store): immutable data folders ``<table>/<tag>`` published by numbered
+manifests (:mod:`tillroll.sources.versions`), and ``etl_log/`` (append-only).
 
 * Bronze: ``bronze_orders`` is incremental -- rows above the last
   successful watermark (every row before the first success) that the table
-  does not already hold; each run writes its own ``load_id`` folder in
-  overwrite mode, so a run repeated under the same run id replaces its own
-  partial output, and one under a new id skips what the table holds.  The
-  other five sources are snapshots (replaced).
+  does not already hold; each run publishes its own load, so a run repeated
+  under the same run id replaces its own partial output, and one under a new
+  id skips what the table holds.  Two loads at the same time: the second to
+  publish finds the first one's, and compares its keys again.  The other five
+  sources are snapshots (replaced).
 * Silver and Gold are rebuilt in full from the *written* layer below, so
   every join sees real file sizes: Spark broadcasts a dimension only when
   it is under ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges it
   otherwise, and a lost executor recomputes from files, not from the raw
-  scan.
+  scan.  All tables a stage writes are published in one step: readers see the
+  old set or the new one.
 * A SUCCESS or FAILED row (message cut to 500 characters) is appended per
   run; failures are re-raised.
 """
@@ -23,7 +25,9 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
-from dataclasses import dataclass
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,8 +39,9 @@ from tillroll.operators import silver as silver_ops
 from tillroll.plans.jobs import run_concurrently
 from tillroll.sources import incremental as inc
 from tillroll.sources.adapter import RawSources
-from tillroll.sources.files import _exists, write_table
+from tillroll.sources.files import _exists
 from tillroll.sources.runlog import append_log, log_row, new_run_id, read_log
+from tillroll.sources.versions import Stored, Version, VersionConflict, numbers, publish, read_version
 
 STAGES = ("bronze", "silver", "gold", "all")
 
@@ -55,10 +60,11 @@ BUCKET_KEYS = {
 class WarehousePaths:
     """Where the warehouse lives.
 
-    ``root`` holds one Parquet folder per table.  With ``bucket_count`` and
+    ``root`` holds the published versions.  With ``bucket_count`` and
     ``database``, the order-keyed tables are also registered as external
     catalog tables bucketed by order (``bucketBy`` needs a catalog to keep
-    the bucket spec); readers in a session that knows them get the
+    the bucket spec), one per version, with a view of the table's name over the
+    newest; readers in a session that knows them get the
     co-partitioned plan, others read the same files by path.  Use at least
     ``spark.sql.shuffle.partitions`` buckets: with fewer, Spark re-shuffles
     the bucketed side to the default partition count when it meets a
@@ -69,8 +75,21 @@ class WarehousePaths:
     bucket_count: int | None = None
     database: str | None = None
 
+    # A version to read from; None reads whatever is newest at each call.
+    version: int | None = None
+
+    def at(self, version: int) -> WarehousePaths:
+        """The same warehouse as it was published in ``version``."""
+        return replace(self, version=version)
+
+    def published(self, spark: SparkSession) -> Version:
+        return read_version(spark, self.root, self.version)
+
     def table(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{name}"
+        """The published folder of a table, or its plain place below the root."""
+        spark = SparkSession.getActiveSession()
+        stored = self.published(spark).tables.get(name) if spark and name != "etl_log" else None
+        return f"{self.root.rstrip('/')}/{stored.folder if stored else name}"
 
     def catalog_name(self, name: str) -> str | None:
         if self.bucket_count and self.database and name in BUCKET_KEYS:
@@ -82,64 +101,142 @@ class WarehousePaths:
         return self.table("etl_log")
 
 
-def _read(spark: SparkSession, paths: WarehousePaths, name: str) -> DataFrame:
-    ident = paths.catalog_name(name)
-    if ident and spark.catalog.tableExists(ident):
-        return spark.table(ident)
-    return spark.read.parquet(paths.table(name))
+class Draft:
+    """What a run has written and not yet published, over the version it began
+    with.  Written folders are read back by the run itself only."""
+
+    def __init__(self, spark: SparkSession, paths: WarehousePaths, run_id: str):
+        self.spark, self.paths, self.run_id = spark, paths, run_id
+        self.base = read_version(spark, paths.root)
+        self.tables: dict[str, Stored] = {}
+        self.loads: dict[str, Stored] = {}
+
+    @property
+    def root(self) -> str:
+        return self.paths.root
+
+    @property
+    def log(self) -> str:
+        return self.paths.log
+
+    def published(self, spark: SparkSession) -> Version:
+        return replace(self.base, tables={**self.base.tables, **self.tables}, loads={**self.base.loads, **self.loads})
+
+    def catalog_name(self, name: str) -> str | None:
+        return self.paths.catalog_name(name)
+
+    def folder(self, name: str) -> tuple[str, str]:
+        """A new folder for a table: below the root, and as a path."""
+        own = f"{name}/{self.run_id}-{uuid.uuid4().hex[:8]}"
+        return own, f"{self.root.rstrip('/')}/{own}"
+
+    def publish(self) -> Version:
+        version = publish(self.spark, self.root, self.base, self.tables, self.loads)
+        for name, stored in self.tables.items():
+            if stored.ident:  # the table's own name follows the newest version
+                self.spark.sql(f"CREATE OR REPLACE VIEW {self.catalog_name(name)} AS SELECT * FROM {stored.ident}")
+        return version
+
+
+Place = WarehousePaths | Draft
+
+
+def _read(spark: SparkSession, paths: Place, name: str) -> DataFrame:
+    stored = paths.published(spark).tables.get(name)
+    if stored is None:
+        return spark.read.parquet(f"{paths.root.rstrip('/')}/{name}")
+    if stored.ident and spark.catalog.tableExists(stored.ident):
+        return spark.table(stored.ident)
+    return spark.read.parquet(f"{paths.root.rstrip('/')}/{stored.folder}")
 
 
 _CATALOG_LOCK = threading.Lock()
 
 
-def _write(df: DataFrame, paths: WarehousePaths, name: str) -> None:
-    ident = paths.catalog_name(name)
-    if ident is None:
-        write_table(df, paths.table(name))
+def _write(df: DataFrame, paths: Place, name: str) -> None:
+    """Write a table into a draft, or publish it by itself."""
+    if isinstance(paths, WarehousePaths):
+        draft = Draft(df.sparkSession, paths, "single")
+        _write(df, draft, name)
+        draft.publish()
+        return
+    own, path = paths.folder(name)
+    target, spark = paths.catalog_name(name), df.sparkSession
+    if target is None:
+        df.write.parquet(path)
+        paths.tables[name] = Stored(own)
         return
-    spark = df.sparkSession
+    database = paths.paths.database
     with _CATALOG_LOCK:  # layer writes run concurrently; create the database once
-        if not spark.catalog.databaseExists(paths.database):
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {paths.database}")
-    key = BUCKET_KEYS[name]
+        if not spark.catalog.databaseExists(database):
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    ident, key = f"{target}_{own[-8:]}", BUCKET_KEYS[name]
     (
-        df.write.mode("overwrite")
-        .format("parquet")
-        .option("path", paths.table(name))
-        .bucketBy(paths.bucket_count, key)
+        df.write.format("parquet")
+        .option("path", path)
+        .bucketBy(paths.paths.bucket_count, key)
         .sortBy(key)
         .saveAsTable(ident)
     )
+    paths.tables[name] = Stored(own, ident)
 
 
-def _write_all(tables: dict[str, DataFrame], paths: WarehousePaths) -> None:
+def _write_all(tables: dict[str, DataFrame], paths: Place) -> None:
     """Write independent tables as concurrent Spark jobs."""
     run_concurrently({name: (lambda df=df, name=name: _write(df, paths, name)) for name, df in tables.items()})
 
 
-LOAD_ID = "load_id"
+def write_load(fresh: DataFrame, draft: Draft) -> None:
+    """A draft's load of ``bronze_orders`` under the run's id.  A load that has
+    been compacted with others is settled: its rows stay as they are."""
+    known = draft.base.loads.get(draft.run_id)
+    if known and sum(s.folder == known.folder for s in draft.base.loads.values()) > 1:
+        return
+    own, path = draft.folder(BRONZE_ORDERS)
+    fresh.write.parquet(path)
+    key = F.col("order_id").cast("long")
+    ends = draft.spark.read.schema(S.BRONZE_ORDERS).parquet(path).agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
+    draft.loads[draft.run_id] = Stored(own, None, ends.low, ends.high)
+    draft.tables[BRONZE_ORDERS] = Stored(BRONZE_ORDERS)
+
+
+def compact_loads(spark: SparkSession, paths: WarehousePaths) -> Version:
+    """One folder for all loads, published like any write.  The load ids stay
+    known, so a load that is run again after it adds nothing."""
+    draft = Draft(spark, paths, "compacted")
+    own, path = draft.folder(BRONZE_ORDERS)
+    read_bronze_orders(spark, draft).write.parquet(path)
+    low = min((s.low for s in draft.base.loads.values() if s.low is not None), default=None)
+    high = max((s.high for s in draft.base.loads.values() if s.high is not None), default=None)
+    draft.loads = {name: Stored(own, None, low, high) for name in draft.base.loads}
+    return publish(spark, paths.root, draft.base, {}, draft.loads)
+
+
+BRONZE_ORDERS = "bronze_orders"
 
 
 def read_bronze_orders(
-    spark: SparkSession, paths: WarehousePaths, exclude_load: str | None = None
+    spark: SparkSession, paths: Place, exclude_load: str | None = None, between: tuple[int, int] | None = None
 ) -> DataFrame:
-    """All loaded orders; ``exclude_load`` leaves out one load's folder
-    (a partition filter, so that folder is not even listed for reading).
+    """All loaded orders; ``exclude_load`` leaves out one load's folder, and
+    ``between`` those without a key in that range (neither is even listed).
 
     A load compares itself only with the *other* loads: if a run or a
     stream batch is retried under the same load id, its earlier partial
     output must not hide the rows it is about to rewrite.
     """
-    path = paths.table("bronze_orders")
-    if not _exists(spark, path):
+    loads = paths.published(spark).loads
+    wanted = [s for name, s in loads.items() if name != exclude_load]
+    if between is not None:
+        low, high = between
+        wanted = [s for s in wanted if s.low is not None and s.low <= high and s.high >= low]
+    folders = sorted({f"{paths.root.rstrip('/')}/{s.folder}" for s in wanted})
+    if not folders:
         return spark.createDataFrame([], S.BRONZE_ORDERS)
-    df = spark.read.schema(S.BRONZE_ORDERS_BY_LOAD).parquet(path)
-    if exclude_load is not None:
-        df = df.where(F.col(LOAD_ID) != exclude_load)
-    return df.drop(LOAD_ID)
+    return spark.read.schema(S.BRONZE_ORDERS).parquet(*folders)
 
 
-def current_watermark(spark: SparkSession, paths: WarehousePaths, exclude_run: str | None = None) -> int | None:
+def current_watermark(spark: SparkSession, paths: Place, exclude_run: str | None = None) -> int | None:
     """S7 as a number (a one-row aggregate; the value filters the scans), None
     before the first successful run."""
     log = read_log(spark, paths.log, exclude_run).where(F.col("status") == "SUCCESS")
@@ -147,14 +244,35 @@ def current_watermark(spark: SparkSession, paths: WarehousePaths, exclude_run: s
     return None if row["watermark"] is None else int(row["watermark"])
 
 
+def published(run: Callable[[Draft], object], spark: SparkSession, paths: WarehousePaths, run_id: str, attempts: int = 5):
+    """Run a stage on a draft and publish it; on a conflict run it again on
+    what has been published meanwhile."""
+    for left in reversed(range(attempts)):
+        draft = Draft(spark, paths, run_id)
+        result = run(draft)
+        try:
+            draft.publish()
+            return result
+        except VersionConflict:
+            if not left:
+                raise
+
+
 def run_bronze(
     spark: SparkSession,
     raw: RawSources,
     paths: WarehousePaths,
     run_id: str,
     sample_rows: int | None = None,
+    late: str = "drop",
 ) -> tuple[int, int]:
-    """Load Bronze; returns (rows_loaded, new watermark)."""
+    """Load Bronze and publish it; returns (rows_loaded, new watermark)."""
+    watermark = current_watermark(spark, paths, exclude_run=run_id)
+    published(lambda draft: _bronze(spark, raw, draft, watermark, sample_rows, late), spark, paths, run_id)
+    return inc.tail_counters(read_bronze_orders(spark, paths), watermark)
+
+
+def _bronze(spark, raw: RawSources, draft: Draft, watermark: int | None, sample_rows: int | None, late: str) -> None:
     sources = {
         "bronze_order_products_prior": (raw.order_products_prior, ["order_id", "add_to_cart_order", "product_id"]),
         "bronze_order_products_train": (raw.order_products_train, ["order_id", "add_to_cart_order", "product_id"]),
@@ -167,17 +285,21 @@ def run_bronze(
         orders = inc.sample_rows(orders, sample_rows, ["order_id"])
         sources = {k: (inc.sample_rows(df, sample_rows, keys), keys) for k, (df, keys) in sources.items()}
 
-    watermark = current_watermark(spark, paths, exclude_run=run_id)
-    target = read_bronze_orders(spark, paths, exclude_load=run_id)
-    fresh = inc.incremental_rows(orders, target, watermark)
-    # Own folder per run: a retry of this run overwrites only its own rows.
-    writes = {f"bronze_orders/{LOAD_ID}={run_id}": fresh}
-    writes.update({name: df for name, (df, _) in sources.items()})  # S6: snapshots, replaced on write
-    _write_all(writes, paths)
-    return inc.tail_counters(read_bronze_orders(spark, paths), watermark)
-
-
-def run_silver(spark: SparkSession, paths: WarehousePaths) -> int:
+    between = None
+    if late == "accept":  # any key may be held; loads without one in the source's range are not read
+        key = F.col("order_id").cast("long")
+        ends = orders.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
+        between = (0, -1) if ends.low is None else (ends.low, ends.high)
+    elif watermark is not None:
+        between = (watermark + 1, (1 << 63) - 1)
+    target = read_bronze_orders(spark, draft, exclude_load=draft.run_id, between=between)
+    fresh = inc.incremental_rows(orders, target, watermark, late=late)
+    # Own folder per run: a retry of this run replaces only its own rows.
+    writes = {name: (lambda df=df, name=name: _write(df, draft, name)) for name, (df, _) in sources.items()}  # S6: snapshots
+    run_concurrently({"load": lambda: write_load(fresh, draft), **writes})
+
+
+def run_silver(spark: SparkSession, paths: Place) -> int:
     bronze = read_bronze_orders(spark, paths)
     _write_all(
         {
@@ -196,7 +318,7 @@ def run_silver(spark: SparkSession, paths: WarehousePaths) -> int:
 
 def run_gold(
     spark: SparkSession,
-    paths: WarehousePaths,
+    paths: Place,
     branch_seed: DataFrame,
     organic_pattern: str = gold_ops.ORGANIC_PATTERN,
     platinum_min: int = gold_ops.PLATINUM_MIN_ORDERS,
@@ -243,6 +365,7 @@ def register_views(spark: SparkSession, paths: WarehousePaths) -> list[str]:
     the warehouse can be queried with ``spark.sql`` (views are lazy: each
     query reads the Parquet files with pruning and pushdown)."""
     names = []
+    paths = paths.at(paths.published(spark).number) if numbers(spark, paths.root) else paths
     for name in WAREHOUSE_TABLES:
         if not _exists(spark, paths.table(name)):
             continue
@@ -370,10 +493,13 @@ def run_stage(
             rows_loaded, watermark = run_bronze(spark, raw, paths, run_id, sample_rows)
         else:
             watermark = current_watermark(spark, paths, exclude_run=run_id) or 0
-        if stage in ("silver", "all"):
-            rows_loaded += run_silver(spark, paths)
-        if stage in ("gold", "all"):
-            rows_loaded += run_gold(spark, paths, raw.branches, **gold_params)
+        if stage in ("silver", "gold", "all"):
+
+            def layers(draft: Draft) -> int:
+                staged = run_silver(spark, draft) if stage != "gold" else 0
+                return staged + (run_gold(spark, draft, raw.branches, **gold_params) if stage != "silver" else 0)
+
+            rows_loaded += published(layers, spark, paths, run_id)
         if stage == "all" and with_quality:
             failures = run_quality_gate(spark, paths)
             if failures:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators import baskets as bk
 from tillroll.operators import rules as rl
+from tillroll.plans.etl import RULE_TABLE, WarehousePaths, _write
 from tillroll.plans.jobs import run_concurrently
 from tillroll.sources.files import write_result_csv, write_table
 
@@ -80,8 +81,11 @@ def run_mining(fact_order_line: DataFrame, dim_product: DataFrame, params: Minin
     )
 
 
-def write_mining(result: MiningResult, out_dir: str, rule_table_path: str | None = None) -> None:
-    """S11 (+ S12): the four result files, and the rule table if asked."""
+def write_mining(
+    result: MiningResult, out_dir: str, rule_table_path: str | None = None, warehouse: WarehousePaths | None = None
+) -> None:
+    """S11 (+ S12): the four result files, and if asked the rule table, at a
+    path of its own or published in the warehouse."""
     base = out_dir.rstrip("/")
     # The summary (7 + 3 top-N lists) and the threshold table (one row per
     # threshold) are bounded; rules and bundles are bounded only by top_n.
@@ -98,6 +102,8 @@ def write_mining(result: MiningResult, out_dir: str, rule_table_path: str | None
     }
     if rule_table_path:
         writes["rule_table"] = lambda: write_table(result.rules, rule_table_path)
+    if warehouse:
+        writes[RULE_TABLE] = lambda: _write(result.rules, warehouse, RULE_TABLE)
     run_concurrently(writes)
 
 
@@ -107,7 +113,8 @@ def run_mining_job(
     out_dir: str,
     params: MiningParams = MiningParams(),
     rule_table_path: str | None = None,
+    warehouse: WarehousePaths | None = None,
 ) -> None:
     """Mine, then write every result: nothing is written for an empty input,
     for which mining raises."""
-    write_mining(run_mining(fact_order_line, dim_product, params), out_dir, rule_table_path)
+    write_mining(run_mining(fact_order_line, dim_product, params), out_dir, rule_table_path, warehouse)

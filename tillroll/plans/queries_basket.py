@@ -14,11 +14,10 @@ from pyspark.sql import functions as F
 from tillroll.operators import baskets as bk
 from tillroll.operators import rules
 from tillroll.plans import oracle_mining as om
-from tillroll.plans.etl import RULE_TABLE, WarehousePaths, register_views
+from tillroll.plans.etl import RULE_TABLE, WarehousePaths, _write, register_views
 from tillroll.plans.oracle import with_warehouse
 from tillroll.plans.registry import register, warehouse
 from tillroll.session import ensure_checkpoint_dir
-from tillroll.sources.files import write_table
 
 # Mining parameters of the registered queries.
 BRAND, TYPE = "aisle_name", "department_name"
@@ -221,7 +220,7 @@ def m10(spark, sf):
 def s12(spark, sf):
     """The rules as the warehouse table dm_association_rules, read by its name."""
     paths = WarehousePaths(f"{ensure_checkpoint_dir(spark)}/query-{uuid.uuid4().hex}")
-    write_table(rules.rules_table(_ranked(spark, sf)), paths.table(RULE_TABLE))
+    _write(rules.rules_table(_ranked(spark, sf)), paths, RULE_TABLE)
     register_views(spark, paths)
     return spark.table(RULE_TABLE)
 

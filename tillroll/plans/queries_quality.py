@@ -65,6 +65,24 @@ def q4(spark, sf):
     )
 
 
+# Dimensions that have lost members, so that every kind of orphan is there.
+_KEPT = {
+    "product": ("dim_product", "product_key", "department_name NOT LIKE 'S%'"),
+    "customer": ("dim_customer", "customer_key", "customer_key % 5 <> 0"),
+    "date": ("dim_date", "date_key", "is_weekend = false"),
+    "branch": ("dim_branch", "branch_key", "branch_id_nk <> 'DEFAULT_BRANCH'"),
+}
+
+
+@register(
+    "q3_q4_fk_lost_members",
+    _fk_sql([(name, f"(SELECT * FROM {dim} WHERE {kept})", key) for name, (dim, key, kept) in _KEPT.items()]),
+)
+def q3_q4_lost(spark, sf):
+    g = warehouse(spark, sf).gold
+    return q.fk_orphans(g.fact_order_line, {name: (getattr(g, dim).where(kept), key) for name, (dim, key, kept) in _KEPT.items()})
+
+
 @register(
     "q5_row_count_match",
     with_warehouse(

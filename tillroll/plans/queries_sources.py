@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tillroll import schemas as S
 from tillroll.operators import marts, quality
 from tillroll.operators import runlog as rl
+from tillroll.plans.etl import WarehousePaths, _read, _write, published, read_bronze_orders, write_load
 from tillroll.plans.oracle import k1, with_warehouse
 from tillroll.plans.registry import register, warehouse
 from tillroll.session import ensure_checkpoint_dir
@@ -87,9 +88,40 @@ def s3(spark, sf):
     return s_lines
 
 
+def _sampled_sql(select: str) -> str:
+    kept = f"{{}} % {inc.SAMPLE_BUCKETS} < {int(SAMPLE_FRACTION * inc.SAMPLE_BUCKETS)}"
+    return with_warehouse(
+        select,
+        f"""c_orders AS (SELECT * FROM b_orders WHERE {kept.format(k1("CAST(order_id AS VARCHAR)"))}),
+c_lines AS (SELECT l.* FROM (SELECT * FROM b_prior UNION ALL SELECT * FROM b_train) l WHERE l.order_id IN (SELECT order_id FROM c_orders))""",
+    )
+
+
+def _sample(spark, sf):
+    raw = warehouse(spark, sf).raw
+    lines = raw.order_products_prior.unionByName(raw.order_products_train)
+    return inc.key_consistent_sample(raw.orders, lines, raw.products, SAMPLE_FRACTION)
+
+
+@register("s3_sampled_orders", _sampled_sql("SELECT * FROM c_orders"))
+def s3_orders(spark, sf):
+    return _sample(spark, sf)[0]
+
+
+@register(
+    "s3_sampled_products",
+    _sampled_sql("SELECT p.* FROM b_products p WHERE p.product_id IN (SELECT product_id FROM c_lines)"),
+)
+def s3_products(spark, sf):
+    return _sample(spark, sf)[2]
+
+
 @register("s4_branch_seed", with_warehouse("SELECT * FROM b_branches"))
 def s4(spark, sf):
-    return warehouse(spark, sf).raw.branches
+    """The branch list as a hand-kept seed file, read from it."""
+    path = f"{_scratch(spark)}/branches"
+    files.write_result_csv(warehouse(spark, sf).raw.branches, path, single_file=True)
+    return files.read_seed(spark, path, S.BRANCH_SEED)
 
 
 @register("s5_incremental_append", with_warehouse("SELECT * FROM b_new", _TARGET_SQL + ",\n" + _NEW_ROWS_SQL))
@@ -100,7 +132,33 @@ def s5(spark, sf):
 
 @register("s6_snapshot", with_warehouse("SELECT * FROM b_products"))
 def s6(spark, sf):
-    return warehouse(spark, sf).raw.products
+    """A snapshot written twice: the second one replaces the first."""
+    paths, products = WarehousePaths(_scratch(spark)), warehouse(spark, sf).raw.products
+    for snapshot in (products.union(products), products):
+        _write(snapshot, paths, "bronze_products")
+    return _read(spark, paths, "bronze_products")
+
+
+@register(
+    "s5_concurrent_loads",
+    with_warehouse("SELECT * FROM b_orders WHERE order_dow IN (0, 1, 2, 3) UNION SELECT * FROM b_orders WHERE order_dow IN (2, 3, 4)"),
+)
+def s5_concurrent(spark, sf):
+    """Two loads that share two weekdays and started from the same version: the
+    one that publishes last compares its keys again."""
+    paths, orders = WarehousePaths(_scratch(spark)), warehouse(spark, sf).raw.orders
+
+    def load(run_id, dows, meanwhile=lambda: None):
+        def run(draft):
+            target = read_bronze_orders(spark, draft, exclude_load=run_id)
+            write_load(inc.incremental_rows(orders.where(F.col("order_dow").isin(dows)), target, None), draft)
+            if not draft.base.number:
+                meanwhile()
+
+        published(run, spark, paths, run_id)
+
+    load("slow", [0, 1, 2, 3], meanwhile=lambda: load("quick", [2, 3, 4]))
+    return read_bronze_orders(spark, paths)
 
 
 @register(
@@ -173,6 +231,23 @@ def s10(spark, sf):
     return spark.read.parquet(path)
 
 
+@register(
+    "s10_versions",
+    with_warehouse(
+        """
+SELECT 1 AS version, s.* FROM stg_products s UNION ALL SELECT 1, s.* FROM stg_products s
+UNION ALL SELECT 2, s.* FROM stg_products s"""
+    ),
+)
+def s10_versions(spark, sf):
+    """A layer table published twice, both versions read."""
+    paths, products = WarehousePaths(_scratch(spark)), warehouse(spark, sf).silver.stg_products
+    for rows in (products.union(products), products):
+        _write(rows, paths, "stg_products")
+    both = [_read(spark, paths.at(n), "stg_products").select(F.lit(n).alias("version"), "*") for n in (1, 2)]
+    return both[0].unionByName(both[1])
+
+
 @register(
     "s11_result_csv",
     with_warehouse(

@@ -134,6 +134,15 @@ def g7(spark, sf):
     return warehouse(spark, sf).gold.fact_order_line
 
 
+@register("g7_fact_order_line_joined", with_warehouse("SELECT * FROM fact_order_line"))
+def g7_joined(spark, sf):
+    """The fact through its joins with all four dimensions."""
+    w = warehouse(spark, sf)
+    return gold_ops.fact_order_line(
+        w.silver.stg_order_products, w.silver.stg_orders, w.gold.dim_date, w.gold.dim_product, w.gold.dim_customer, w.gold.dim_branch
+    )
+
+
 @register("g8_fact_order_summary", with_warehouse("SELECT * FROM fact_order_summary"))
 def g8(spark, sf):
     return warehouse(spark, sf).gold.fact_order_summary

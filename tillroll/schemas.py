@@ -20,11 +20,6 @@ BRONZE_ORDERS = T.StructType(
     ]
 )
 
-# bronze_orders as stored: one folder per load (``load_id=<run>``).
-BRONZE_ORDERS_BY_LOAD = T.StructType(
-    list(BRONZE_ORDERS.fields) + [T.StructField("load_id", T.StringType())]
-)
-
 BRONZE_ORDER_PRODUCTS = T.StructType(
     [
         T.StructField("order_id", T.LongType()),

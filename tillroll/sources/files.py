@@ -9,6 +9,8 @@ read instead of becoming a null that a later filter would drop.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -53,20 +55,26 @@ def read_result_csv(spark: SparkSession, path: str, schema: T.StructType | str)
 
 
 def write_table(df: DataFrame, path: str) -> None:
-    """(re)write a Parquet table at ``path``.
+    """(re)write a lone Parquet table at ``path``.
 
     The rows go to a hidden folder beside it, which takes the table's place
-    once it is complete: a write that fails leaves the table as it was.
+    once it is complete: a write that fails leaves the table as it was.  The
+    old folder is moved aside first, so between the two renames there is no
+    table; tables that are read while they are rebuilt belong in published
+    versions (:mod:`tillroll.sources.versions`).
     """
     parent, _, name = path.rstrip("/").rpartition("/")
     # A name with "=" would be listed as a partition, hidden or not.
-    staging = f"{parent}/_staging-{name.replace('=', '-')}"
-    df.write.mode("overwrite").parquet(staging)
+    beside = f"{parent}/_{{}}-{uuid.uuid4().hex}-{name.replace('=', '-')}"
+    df.write.parquet(beside.format("staging"))
     fs, target = _file_system(df.sparkSession, path)
-    _, complete = _file_system(df.sparkSession, staging)
-    fs.delete(target, True)
+    _, complete = _file_system(df.sparkSession, beside.format("staging"))
+    _, old = _file_system(df.sparkSession, beside.format("old"))
+    replaced = fs.exists(target) and fs.rename(target, old)
     if not fs.rename(complete, target):
-        raise OSError(f"{staging} could not be renamed to {path}")
+        raise OSError(f"the new rows of {path} could not be renamed to it")
+    if replaced:
+        fs.delete(old, True)
 
 
 def _file_system(spark: SparkSession, path: str):

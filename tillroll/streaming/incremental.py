@@ -5,10 +5,9 @@ successful watermark, not already held).
 * The source is ``readStream.csv`` with the fixed schema; the stream's
   checkpoint (under the warehouse root, i.e. shared storage) records which
   files were consumed, so each file is processed once even across restarts.
-* ``foreachBatch`` writes each micro-batch to its own
-  ``load_id=stream-<query id>-<batch id>`` folder in overwrite mode: a batch
-  replayed after a failure rewrites the same folder, so the sink is
-  idempotent (exactly-once output).
+* ``foreachBatch`` publishes each micro-batch as its own load
+  ``stream-<query id>-<batch id>``: a batch replayed after a failure replaces
+  that load, so the sink is idempotent (exactly-once output).
 * Every batch writes one run-log row under its own run id (a replay replaces
   it), so batch and stream loads share one watermark.
 * ``trigger(availableNow=True)`` drains what is there and stops (a scheduled
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tillroll import schemas as S
-from tillroll.plans.etl import WarehousePaths, current_watermark, read_bronze_orders
+from tillroll.plans.etl import Draft, WarehousePaths, current_watermark, published, read_bronze_orders, write_load
 from tillroll.sources import incremental as inc
 from tillroll.sources.files import CSV_OPTIONS
 from tillroll.sources.runlog import append_log, log_row
@@ -39,10 +38,12 @@ def _load_batch(spark: SparkSession, paths: WarehousePaths, query_id: str):
         # replayed batch must rewrite the rows its first attempt already put
         # in its own folder, even if that attempt got as far as its log row.
         watermark = current_watermark(spark, paths, exclude_run=run_id)
-        target = read_bronze_orders(spark, paths, exclude_load=run_id)
-        fresh = inc.incremental_rows(batch, target, watermark)
-        out = f"{paths.table('bronze_orders')}/load_id={run_id}"
-        fresh.write.mode("overwrite").parquet(out)
+
+        def load(draft: Draft) -> None:
+            target = read_bronze_orders(spark, draft, exclude_load=run_id)
+            write_load(inc.incremental_rows(batch, target, watermark), draft)
+
+        published(load, spark, paths, run_id)
         rows_loaded, new_watermark = inc.tail_counters(read_bronze_orders(spark, paths), watermark)
         append_log(
             log_row(spark, run_id, STREAM_STAGE, "SUCCESS", rows_loaded, new_watermark, "OK", started_at=started),
