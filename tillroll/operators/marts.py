@@ -7,8 +7,9 @@ keys.  Queries that count lines read ``Star.counted``: the fact is aggregated
 per (product, date, branch) key, map-side combined, before it meets the
 dimensions, so a hot product is one row per date and not every line.
 
-Distinct counts are a group-by on the distinct key followed by a count.  Two
-of them in one aggregate would expand every line once per count.
+Distinct counts come from the stored bitmaps (:mod:`tillroll.operators.cubes`)
+if the star has them, and else from a group-by on the distinct key followed by
+a count.  Two of them in one aggregate would expand every line once per count.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.dates import DOW_ORDER
 from tillroll.functions.filters import in_filters
+from tillroll.operators import cubes
 
 METRIC_SCALE = 6  # doubles are reported rounded to 6 decimals
 
@@ -63,6 +65,9 @@ class Star:
     branch: DataFrame
     date: DataFrame
     customer: DataFrame | None = None
+    # Stored beside the fact: cubes.line_counts and cubes.distinct_cube of it.
+    counts: DataFrame | None = None
+    cube: DataFrame | None = None
 
     def _with_dimensions(self, fact: DataFrame) -> DataFrame:
         joined = (
@@ -80,14 +85,26 @@ class Star:
     def counted(self, filters: Filters = NO_FILTER) -> DataFrame:
         """The joined rows per (product, date, branch) key instead of per line,
         with ``_lines``, ``_quantity`` and ``_reordered`` to add up."""
-        keys = ["product_key", "date_key", "branch_key"] + (["customer_key"] if self.customer is not None else [])
-        per_key = self.fact.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("_lines"),
-            F.sum("quantity").alias("_quantity"),
-            F.count_if("reordered").alias("_reordered"),
-        )
+        if self.customer is not None:
+            per_key = cubes.line_counts(self.fact, [*cubes.KEYS, "customer_key"])
+        else:
+            per_key = cubes.line_counts(self.fact) if self.counts is None else self.counts
         return self._with_dimensions(per_key).where(filters.predicate())
 
+    def selected(self, filters: Filters = NO_FILTER) -> DataFrame:
+        """The stored bitmaps under the filters."""
+        placed = self.cube.where("known").join(self.branch, "branch_key").join(self.date, "date_key")
+        return placed.where(filters.predicate())
+
+    def lines(self, filters: Filters, *columns: str) -> DataFrame:
+        """The selected lines with ``columns`` of the fact and the dates; each
+        dimension comes with its key and the columns asked for alone."""
+        products = self.product.where(in_filters({"department_name": filters.departments})).select("product_key")
+        placed = self.fact.join(products, "product_key")
+        placed = placed.join(self.branch.where(in_filters({"branch_name": filters.branches})).select("branch_key"), "branch_key")
+        dates = self.date.where(in_filters({"day_of_week": filters.dows})).select("date_key", "full_date", "day_of_week")
+        return placed.join(dates, "date_key").select(*columns)
+
 
 def star(
     fact: DataFrame,
@@ -95,13 +112,15 @@ def star(
     dim_branch: DataFrame,
     dim_date: DataFrame,
     dim_customer: DataFrame | None = None,
+    counts: DataFrame | None = None,
+    cube: DataFrame | None = None,
 ) -> Star:
     """The star over a fact.  Every line has the same branch, so a shuffle on
     its key would send the whole fact to one task: the branch side is broadcast
     once a look at its rows shows that it is small."""
     small = len(dim_branch.select("branch_key").take(BROADCAST_BRANCHES + 1)) <= BROADCAST_BRANCHES
     branch = F.broadcast(dim_branch) if small else dim_branch
-    return Star(fact, dim_product.drop("product_id_nk"), branch, dim_date, dim_customer)
+    return Star(fact, dim_product.drop("product_id_nk"), branch, dim_date, dim_customer, counts, cube)
 
 
 def filtered_star(star: Star, filters: Filters = NO_FILTER) -> DataFrame:
@@ -126,9 +145,15 @@ def kpis(star: Star, filters: Filters = NO_FILTER) -> DataFrame:
     """A2: one-row KPI block (null rate shown as 0).
 
     Lines, items, rate and products come from the counted star; orders and
-    customers from one pass that keeps a row per order and customer.
+    customers from the bitmaps, or from one pass that keeps a row per order and
+    customer.
     """
-    per_order = filtered_star(star, filters).select("order_id_nk", "customer_key").distinct()
+    if star.cube is not None:
+        selected = star.selected(filters)
+        orders, customers = cubes.distinct_total(selected, cubes.ORDER), cubes.distinct_total(selected, cubes.CUSTOMER)
+    else:
+        per_order = filtered_star(star, filters).select("order_id_nk", "customer_key").distinct()
+        orders, customers = _distinct(per_order, "order_id_nk"), _distinct(per_order, "customer_key")
     per_product = star.counted(filters).groupBy("product_key").agg(
         F.sum("_lines").alias("_lines"), F.sum("_quantity").alias("_quantity"), F.sum("_reordered").alias("_reordered")
     )
@@ -138,10 +163,10 @@ def kpis(star: Star, filters: Filters = NO_FILTER) -> DataFrame:
         _r(F.coalesce(_rate(), F.lit(0.0))).alias("reorder_rate"),
         F.sum("_quantity").cast("long").alias("total_items"),
     ).select(
-        _distinct(per_order, "order_id_nk").alias("orders"),
+        orders.alias("orders"),
         "order_lines",
         "products",
-        _distinct(per_order, "customer_key").alias("customers"),
+        customers.alias("customers"),
         "reorder_rate",
         "total_items",
     )
@@ -156,11 +181,10 @@ def weekday_frame(spark: SparkSession) -> DataFrame:
 
 def orders_by_weekday(star: Star, filters: Filters = NO_FILTER) -> DataFrame:
     """A3: distinct orders per weekday, completed to Monday..Sunday with 0."""
-    counts = (
-        filtered_star(star, filters)
-        .groupBy("day_of_week")
-        .agg(F.countDistinct("order_id_nk").alias("orders"))
-    )
+    if star.cube is not None:
+        counts = cubes.distinct_counts(star.selected(filters), ["day_of_week"], cubes.ORDER)
+    else:
+        counts = star.lines(filters, "day_of_week", "order_id_nk").groupBy("day_of_week").agg(F.countDistinct("order_id_nk").alias("orders"))
     # The aggregated side has at most one row per weekday (a proven bound),
     # so it is the broadcast build side of the outer join.
     week = weekday_frame(star.fact.sparkSession)
@@ -185,15 +209,16 @@ def top_departments(star: Star, filters: Filters = NO_FILTER, n: int = 10) -> Da
 
 def daily_trend(star: Star, filters: Filters = NO_FILTER) -> DataFrame:
     """A5: items and distinct orders per date."""
-    return (
-        filtered_star(star, filters)
-        .groupBy("full_date")
-        .agg(
-            F.sum("quantity").cast("long").alias("items"),
-            F.countDistinct("order_id_nk").alias("orders"),
+    if star.cube is not None:
+        items = star.counted(filters).groupBy("full_date").agg(F.sum("_quantity").cast("long").alias("items"))
+        orders = cubes.distinct_counts(star.selected(filters), ["full_date"], cubes.ORDER)
+        per_date = items.join(orders, items["full_date"].eqNullSafe(orders["full_date"]), "left").select(
+            items["full_date"], "items", F.coalesce("orders", F.lit(0).cast("long")).alias("orders")
         )
-        .orderBy("full_date")
-    )
+    else:
+        lines = star.lines(filters, "full_date", "quantity", "order_id_nk")
+        per_date = lines.groupBy("full_date").agg(F.sum("quantity").cast("long").alias("items"), F.countDistinct("order_id_nk").alias("orders"))
+    return per_date.orderBy("full_date")
 
 
 def department_weekday_heatmap(star: Star, filters: Filters = NO_FILTER) -> DataFrame:
@@ -319,7 +344,7 @@ def top_customers(
     different keys of one user hold disjoint orders, so their counts add.
     """
     per_key = (
-        filtered_star(star, filters)
+        star.lines(filters, "customer_key", "order_id_nk", "quantity")
         .groupBy("customer_key")
         .agg(
             F.countDistinct("order_id_nk").alias("_orders"),
@@ -343,17 +368,26 @@ def top_customers(
     )
 
 
-def headline_stats(fact: DataFrame, dim_product: DataFrame, log: DataFrame) -> DataFrame:
+def headline_stats(fact: DataFrame, dim_product: DataFrame, log: DataFrame, star: Star | None = None) -> DataFrame:
     """Fact distinct counts, department count and the last successful
-    finish time (minute precision), as one row."""
+    finish time (minute precision), as one row; from ``star``'s stored counts
+    and bitmaps if it has them."""
     departments = dim_product.agg(F.countDistinct("department_name")).scalar()
     last_run = log.where(F.col("status") == "SUCCESS").agg(F.max("finished_at")).scalar()
-    per_order = fact.groupBy("order_id_nk", "customer_key").agg(F.count(F.lit(1)).alias("_lines"))
-    return per_order.agg(F.coalesce(F.sum("_lines"), F.lit(0)).cast("long").alias("lines")).select(
-        _distinct(per_order, "order_id_nk").alias("orders"),
+    if star is not None and star.cube is not None:
+        per_product = star.counts.groupBy("product_key").agg(F.sum("_lines").alias("_lines"))
+        orders, customers = cubes.distinct_total(star.cube, cubes.ORDER), cubes.distinct_total(star.cube, cubes.CUSTOMER)
+    else:
+        per_order = fact.select("order_id_nk", "customer_key").distinct()
+        per_product = fact.groupBy("product_key").agg(F.count(F.lit(1)).alias("_lines"))
+        orders, customers = _distinct(per_order, "order_id_nk"), _distinct(per_order, "customer_key")
+    return per_product.agg(
+        F.coalesce(F.sum("_lines"), F.lit(0)).cast("long").alias("lines"), F.count("product_key").alias("products")
+    ).select(
+        orders.alias("orders"),
         "lines",
-        _distinct(per_order, "customer_key").alias("customers"),
-        _distinct(fact, "product_key").alias("products"),
+        customers.alias("customers"),
+        "products",
         departments.alias("departments"),
         F.date_format(last_run, "yyyy-MM-dd HH:mm").alias("last_success"),
     )

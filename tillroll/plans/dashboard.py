@@ -13,7 +13,7 @@ from tillroll import schemas as S
 from tillroll.operators import marts
 from tillroll.operators import runlog as rl
 from tillroll.operators import rules
-from tillroll.plans.etl import WarehousePaths, _read
+from tillroll.plans.etl import WarehousePaths, _read, read_star
 from tillroll.sources.files import read_result_csv
 from tillroll.sources.runlog import read_log
 
@@ -32,7 +32,7 @@ class Dashboard:
         return _read(self.spark, self.paths, name)
 
     def _star(self) -> DataFrame:
-        return marts.star(self._t("fact_order_line"), self._t("dim_product"), self._t("dim_branch"), self._t("dim_date"))
+        return read_star(self.spark, self.paths)
 
     @staticmethod
     def _filters(branches: Sequence[str], dows: Sequence[str], departments: Sequence[str]) -> marts.Filters:
@@ -42,7 +42,8 @@ class Dashboard:
         return marts.filter_values(self._t("dim_branch"), self._t("dim_date"), self._t("dim_product"))
 
     def headline(self) -> DataFrame:
-        return marts.headline_stats(self._t("fact_order_line"), self._t("dim_product"), read_log(self.spark, self.paths.log))
+        star = self._star()
+        return marts.headline_stats(star.fact, star.product, read_log(self.spark, self.paths.log), star)
 
     def overview(self, branches=(), dows=(), departments=()) -> dict[str, DataFrame]:
         f, star = self._filters(branches, dows, departments), self._star()

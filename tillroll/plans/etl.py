@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll import schemas as S
+from tillroll.operators import cubes, marts
 from tillroll.operators import gold as gold_ops
 from tillroll.operators import quality as q
 from tillroll.operators import silver as silver_ops
@@ -352,6 +353,34 @@ def run_gold(
     return rd("fact_order_line").count()
 
 
+COUNTS, CUBE = "agg_line_counts", "agg_distinct_cube"
+
+
+def run_aggregates(spark: SparkSession, paths: WarehousePaths, run_id: str | None = None) -> None:
+    """Write and publish the dashboard's aggregates of the current fact.  They
+    carry its folder's name and hold for that fact only."""
+
+    def run(draft: Draft) -> None:
+        fact, product = _read(spark, draft, "fact_order_line"), _read(spark, draft, "dim_product")
+        draft.run_id = draft.base.tables["fact_order_line"].folder.split("/")[-1]
+        _write_all({COUNTS: cubes.line_counts(fact), CUBE: cubes.distinct_cube(fact, product)}, draft)
+
+    published(run, spark, paths, run_id or new_run_id())
+
+
+def read_star(spark: SparkSession, paths: Place) -> marts.Star:
+    """The star over the Gold tables of one version, with the aggregates if they
+    are of this fact."""
+    version = paths.published(spark)
+    if isinstance(paths, WarehousePaths) and version.number:
+        paths = paths.at(version.number)
+    rd = lambda name: _read(spark, paths, name)
+    fact = version.tables.get("fact_order_line")
+    of_fact = fact and all(n in version.tables and version.tables[n].folder.startswith(f"{n}/{fact.folder.split('/')[-1]}-") for n in (COUNTS, CUBE))
+    extra = {"counts": rd(COUNTS), "cube": rd(CUBE)} if of_fact else {}
+    return marts.star(rd("fact_order_line"), rd("dim_product"), rd("dim_branch"), rd("dim_date"), **extra)
+
+
 # Fixed value: the published rule table's name (S12, written by the mining job).
 RULE_TABLE = "dm_association_rules"
 

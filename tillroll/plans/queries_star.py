@@ -391,7 +391,7 @@ FROM fact_order_line"""
 )
 def a14(spark, sf):
     w = warehouse(spark, sf)
-    return marts.headline_stats(w.gold.fact_order_line, w.gold.dim_product, w.log)
+    return marts.headline_stats(w.star.fact, w.star.product, w.log, w.star)
 
 
 @register(

@@ -3,21 +3,25 @@ driver's tables, paired with its DuckDB oracle SQL where one exists.
 
 A query builds the whole chain lazily (adapter -> Silver -> Gold -> query).
 ``Warehouse`` keeps the lazy layer DataFrames per (session, folder), which
-saves planning, not data: each query still reads and builds what it needs.
-The persisted run (``plans.etl``) is where layers are written once and read.
+saves planning, not data: a query over Silver or Gold still builds what it
+needs.  The star that the dashboard's queries read is written once, with its
+aggregates, below the checkpoint folder.  The persisted run (``plans.etl``) is
+where all layers are written and read.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.operators import cubes, marts
 from tillroll.operators import gold as gold_ops
-from tillroll.operators import marts
 from tillroll.plans.layers import Gold, Silver, build_gold, build_silver
+from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources import adapter
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -84,10 +88,26 @@ class Warehouse:
     def log(self) -> DataFrame:
         return adapter.run_log(self.spark, self.sf_dir)
 
+    def stored(self, name: str, df: DataFrame) -> DataFrame:
+        """A derived table written once per folder and session, as a warehouse
+        has it, and read by every query that needs it."""
+        path = f"{self._root}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    @cached_property
+    def _root(self) -> str:
+        return f"{ensure_checkpoint_dir(self.spark)}/layers-{uuid.uuid4().hex}"
+
     @cached_property
     def star(self) -> marts.Star:
+        """The star over the stored fact, with the aggregates beside it."""
         g = self.gold
-        return marts.star(g.fact_order_line, g.dim_product, g.dim_branch, g.dim_date)
+        fact = self.stored("fact_order_line", g.fact_order_line)
+        product, branch, date = (self.stored(n, getattr(g, n)) for n in ("dim_product", "dim_branch", "dim_date"))
+        counts = self.stored("agg_line_counts", cubes.line_counts(fact))
+        cube = self.stored("agg_distinct_cube", cubes.distinct_cube(fact, product))
+        return marts.star(fact, product, branch, date, counts=counts, cube=cube)
 
 
 _WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
