@@ -189,3 +189,20 @@ def test_long_itemsets_expand_where_confidence_prunes(spark):
     assert [(tuple(r.antecedent), tuple(r.consequent)) for r in found] == [
         (tuple(items[:3] + items[4:]), (items[3],))
     ]
+
+
+def test_levels_equal_fp_growth_up_to_the_length(spark):
+    rng = random.Random(11)
+    rows = [([f"i{i}" for i in range(12) if rng.random() < 0.4],) for _ in range(400)]
+    frame = spark.createDataFrame([r for r in rows if r[0]], "items array<string>")
+    key = lambda df: sorted((tuple(r["items"]), r["size"], r.freq, r.n) for r in df.collect())
+    whole = rl.frequent_itemsets(frame, 0.02)
+    for length in (1, 2, 4):
+        assert key(rl.frequent_itemsets(frame, 0.02, max_len=length)) == key(whole.where(f"size <= {length}"))
+
+
+def test_a_dense_case_with_a_length_limit(spark):
+    """Every basket holds all 60 items: 2**60 itemsets are frequent, 1770 pairs are asked for."""
+    frame = spark.range(300).select(F.expr("transform(sequence(1, 60), x -> lpad(x, 2, '0'))").alias("items"))
+    sets = rl.frequent_itemsets(frame, 0.9, max_len=2).collect()
+    assert len(sets) == 60 + 1770 and {r.freq for r in sets} == {300}

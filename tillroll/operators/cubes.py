@@ -29,29 +29,35 @@ def line_counts(fact: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     )
 
 
-def dense_numbers(values: DataFrame, column: str, order_by: list[str]) -> DataFrame:
-    """(column, number): the distinct non-null values numbered from 0 without a
-    gap, by ``order_by`` and value.
-
-    A prefix sum in two passes: values are range partitioned and sorted, a row
-    number within each partition is added to the sizes of those before it.
-    """
-    ensure_checkpoint_dir(values.sparkSession)
-    others = [F.min(c).alias(c) for c in order_by]
-    distinct = values.where(F.col(column).isNotNull()).groupBy(column).agg(*others) if others else values.dropna(subset=[column]).distinct()
-    keys = [*order_by, column]
-    # Kept as it is: another sample would cut the ranges elsewhere.
-    placed = distinct.repartitionByRange(*keys).sortWithinPartitions(*keys).checkpoint()
+def row_numbers(placed: DataFrame) -> DataFrame:
+    """``placed`` (a checkpoint: partitions and their order stay) with
+    ``number``, from 0 without a gap in the order of its rows.  A prefix sum in
+    two passes: a row number within each partition is added to the sizes of
+    those before it."""
     part = F.spark_partition_id()
-    placed = placed.select(column, part.alias("_part"), (F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), 33)).alias("_place"))
+    place = F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), 33)
+    placed = placed.withColumns({"_part": part, "_place": place})
     # A row per partition.
     sizes = sorted((r["_part"], r["count"]) for r in placed.groupBy("_part").count().collect())
     starts, total = [], 0
     for number, size in sizes:
         starts.append((number, total))
         total += size
-    offsets = values.sparkSession.createDataFrame(starts, "_part int, _start long")
-    return placed.join(F.broadcast(offsets), "_part").select(column, (F.col("_start") + F.col("_place")).alias("number"))
+    offsets = placed.sparkSession.createDataFrame(starts, "_part int, _start long")
+    numbered = placed.join(F.broadcast(offsets), "_part").withColumn("number", F.col("_start") + F.col("_place"))
+    return numbered.drop("_part", "_place", "_start")
+
+
+def dense_numbers(values: DataFrame, column: str, order_by: list[str]) -> DataFrame:
+    """(column, number): the distinct non-null values numbered from 0 without a
+    gap, by ``order_by`` and value."""
+    ensure_checkpoint_dir(values.sparkSession)
+    known = values.where(F.col(column).isNotNull())
+    distinct = known.groupBy(column).agg(*[F.min(c).alias(c) for c in order_by]) if order_by else known.distinct()
+    keys = [*order_by, column]
+    # Kept as it is: another sample would cut the ranges elsewhere.
+    placed = distinct.repartitionByRange(*keys).sortWithinPartitions(*keys).checkpoint()
+    return row_numbers(placed).select(column, "number")
 
 
 def distinct_cube(fact: DataFrame, dim_product: DataFrame) -> DataFrame:

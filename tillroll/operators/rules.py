@@ -1,6 +1,7 @@
 """Frequent itemsets and association rules.
 
-Itemsets come from Spark ML's parallel FP-growth: transactions are split
+With a length limit itemsets grow by levels over bitmaps of baskets; without,
+they come from Spark ML's parallel FP-growth: transactions are split
 into per-item-group conditional databases that are folded into FP-trees
 map-side, so no basket pairs are ever materialised.  Rules grow from each
 frequent itemset by levels: one-item consequents first, then one item more
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import itemset_text
+from tillroll.operators.cubes import row_numbers
 from tillroll.session import ensure_checkpoint_dir
 
 METRIC_SCALE = 6
@@ -51,8 +53,9 @@ def frequent_itemsets(
     num_partitions: int | None = None,
     checkpoint: bool = True,
 ) -> DataFrame:
-    """M4: all itemsets with ``freq / n >= min_support`` (n = baskets),
-    optionally at most ``max_len`` items.
+    """M4: all itemsets with ``freq / n >= min_support`` (n = baskets), by
+    FP-growth; with ``max_len`` those of at most so many items, by levels, so
+    that no longer one is ever built.
 
     Columns: ``items`` (sorted array), ``size``, ``freq``, ``n``.  With
     ``checkpoint`` the baskets and the result are written to the reliable
@@ -61,6 +64,8 @@ def frequent_itemsets(
     the upstream shuffle after an executor loss.
     """
     _positive("min_support", min_support)
+    if max_len is not None and max_len >= 1 and 0 < min_support <= 1:
+        return itemsets_up_to(baskets, min_support, max_len)
     if min_support > 1:
         raise ValueError("min_support must be <= 1")
     if max_len is not None and max_len < 1:
@@ -85,13 +90,69 @@ def frequent_itemsets(
         F.col("freq").cast("long").alias("freq"),
         F.lit(n).cast("long").alias("n"),
     ).where(F.col("freq") / F.col("n") >= F.lit(min_support))
-    if max_len is not None:
-        sets = sets.where(F.col("size") <= max_len)
     if checkpoint:
         sets = sets.checkpoint(eager=True)
     return sets
 
 
+def itemsets_up_to(baskets: DataFrame, min_support: float, max_len: int) -> DataFrame:
+    """The itemsets of at most ``max_len`` items, level by level.
+
+    Every frequent item has bitmaps of the numbered baskets that hold it, 32 768
+    baskets each.  A level's candidates are two frequent sets of the level
+    before that differ in their last item, all of whose subsets are frequent;
+    they are counted by and-ing their items' bitmaps, so baskets are read once.
+    At most (average basket size / min_support) single items are frequent,
+    which bounds the array that pairs are formed from.
+    """
+    spark = baskets.sparkSession
+    ensure_checkpoint_dir(spark)
+    placed = baskets.select(F.array_distinct("items").alias("items")).checkpoint()
+    n = placed.count()
+    if n == 0:
+        raise ValueError("no basket holds two different items, so there is nothing to mine")
+    enough = F.col("freq") / F.lit(n) >= F.lit(min_support)
+    single = row_numbers(placed).select(F.explode("items").alias("item"), "number")
+    frequent = single.groupBy("item").agg(F.count(F.lit(1)).alias("freq")).where(enough).checkpoint()
+    maps = (
+        single.join(frequent.select("item"), "item", "left_semi")
+        .groupBy("item", F.bitmap_bucket_number("number").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
+        .checkpoint()
+    )
+    level = frequent.select(F.array("item").alias("items"), "freq")
+    found, size = level, 1
+    while size < max_len:
+        size += 1
+        if size == 2:
+            others = frequent.agg(F.array_sort(F.collect_list("item"))).scalar()
+            later = frequent.select("item", others.alias("others")).select("item", F.explode(F.expr("filter(others, x -> x > item)")).alias("last"))
+            candidates = later.select(F.array("item", "last").alias("items"))
+        else:
+            parts = level.select(F.slice("items", 1, size - 2).alias("head"), F.element_at("items", -1).alias("last"))
+            pairs = parts.join(parts.withColumnRenamed("last", "next"), "head").where("next > last")
+            candidates = pairs.select(F.concat("head", F.array("last", "next")).alias("items"))
+            # A subset for each item left out; all of them must be frequent.
+            without = F.transform(F.sequence(F.lit(1), F.lit(size)), lambda i: F.concat(F.slice("items", 1, i - 1), F.slice("items", i + 1, size)))
+            subsets = candidates.select("items", F.explode(without).alias("subset"))
+            held = subsets.join(level.select(F.col("items").alias("subset")), "subset", "left_semi")
+            candidates = held.groupBy("items").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == size).select("items")
+        each = candidates.select("items", F.explode("items").alias("item")).join(maps, "item")
+        level = (
+            each.groupBy("items", "bucket")
+            .agg(F.count(F.lit(1)).alias("_n"), F.bitmap_count(F.bitmap_and_agg("bits")).alias("_baskets"))
+            .where(F.col("_n") == size)
+            .groupBy("items")
+            .agg(F.sum("_baskets").alias("freq"))
+            .where(enough)
+            .checkpoint()
+        )
+        if level.isEmpty():
+            break
+        found = found.unionByName(level)
+    return found.select("items", F.size("items").alias("size"), F.col("freq").cast("long").alias("freq"), F.lit(n).cast("long").alias("n"))
+
+
 def itemsets_report(itemsets: DataFrame) -> DataFrame:
     """Printable itemsets: text, size, count and support."""
     return itemsets.select(

@@ -29,7 +29,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import schemas as S
@@ -37,6 +37,7 @@ from tillroll.operators import cubes, marts
 from tillroll.operators import gold as gold_ops
 from tillroll.operators import quality as q
 from tillroll.operators import silver as silver_ops
+from tillroll.operators.prefix import running_sums
 from tillroll.plans.jobs import run_concurrently
 from tillroll.sources import incremental as inc
 from tillroll.sources.adapter import RawSources
@@ -414,12 +415,15 @@ class QualityGateError(RuntimeError):
 
 
 def recomputed_dates(bronze_orders: DataFrame) -> DataFrame:
-    """Q7's own recomputation of T2, by a plain window over the loaded orders."""
-    per_user = Window.partitionBy("user_id").orderBy(F.asc_nulls_last("order_number"))
-    days = F.sum(F.coalesce(F.rint("days_since_prior_order").cast("int"), F.lit(0))).over(per_user)
-    return bronze_orders.where("order_id IS NOT NULL AND user_id IS NOT NULL").select(
+    """Q7's own recomputation of T2, by running sums over the loaded orders that
+    need no user's orders in one task."""
+    gap = F.coalesce(F.rint("days_since_prior_order").cast("int"), F.lit(0))
+    orders = bronze_orders.where("order_id IS NOT NULL AND user_id IS NOT NULL").withColumn("_gap", gap)
+    days = running_sums(orders, "user_id", "order_number", "_gap").withColumnsRenamed({"user_id": "_user", "order_number": "_number"})
+    same = (F.col("user_id") == F.col("_user")) & F.col("order_number").eqNullSafe(F.col("_number"))
+    return orders.join(days, same).select(
         F.col("order_id").cast("long").alias("order_id"),
-        F.date_add(F.lit(silver_ops.SYNTHETIC_EPOCH), days.cast("int")).alias("synthetic_order_date"),
+        F.date_add(F.lit(silver_ops.SYNTHETIC_EPOCH), F.col("total").cast("int")).alias("synthetic_order_date"),
     )
 
 

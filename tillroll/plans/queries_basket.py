@@ -100,6 +100,18 @@ def m4t(spark, sf):
     return rules.itemsets_report(sets)
 
 
+@register(
+    "m4_itemsets_up_to_2",
+    _w(
+        "SELECT txt AS itemset, size, freq, round(CAST(freq AS DOUBLE) / n, 6) AS support FROM m_sets WHERE size <= 2",
+        om.itemset_ctes(BRAND, BRAND_SUPPORT),
+    ),
+)
+def m4_short(spark, sf):
+    """By levels: no longer set is built."""
+    return rules.itemsets_report(rules.frequent_itemsets(_baskets(spark, sf, BRAND), BRAND_SUPPORT, max_len=2))
+
+
 def _summary_sql(top_n: int = bk.DEFAULT_TOP_N) -> str:
     name = om.STRIP.format(c="product_name")
 
