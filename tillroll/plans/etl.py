@@ -33,10 +33,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import schemas as S
+from tillroll.functions.keys import surrogate_key
 from tillroll.operators import cubes, marts
 from tillroll.operators import gold as gold_ops
 from tillroll.operators import quality as q
 from tillroll.operators import silver as silver_ops
+from tillroll.operators.keymap import assign_keys, with_mapped_key
 from tillroll.operators.prefix import running_sums
 from tillroll.plans.jobs import run_concurrently
 from tillroll.sources import incremental as inc
@@ -325,35 +327,47 @@ def run_gold(
     organic_pattern: str = gold_ops.ORGANIC_PATTERN,
     platinum_min: int = gold_ops.PLATINUM_MIN_ORDERS,
     gold_min: int = gold_ops.GOLD_MIN_ORDERS,
+    key_maps: bool = False,
 ) -> int:
+    """Rebuild Gold.  With ``key_maps`` product and customer keys come from
+    stored maps (``key_map_product``, ``key_map_customer``): no two members
+    share a key, a member keeps its key in every later build, and the fact gets
+    its keys from the dimensions.  Once there are maps they are used always."""
     rd = lambda name: _read(spark, paths, name)
-    # The fact reads the product and branch tables; it computes the date and
-    # customer keys itself (those dims derive from the same staged orders),
-    # so it is written alongside dim_date and dim_customer.
+    key_maps = key_maps or "key_map_product" in paths.published(spark).tables
+
+    def keyed(dim: DataFrame, name: str, natural: str, key: str) -> DataFrame:
+        if not key_maps:
+            return dim
+        known = rd(name) if name in paths.published(spark).tables else None
+        _write(assign_keys(dim, natural, known, KEY_HASH), paths, name)
+        return with_mapped_key(dim, rd(name), natural, key)
+
+    product = gold_ops.dim_product(rd("stg_products"), rd("bronze_aisles"), rd("bronze_departments"), organic_pattern)
+    customer = gold_ops.dim_customer(rd("stg_users"), platinum_min, gold_min)
     _write_all(
         {
-            "dim_product": gold_ops.dim_product(
-                rd("stg_products"), rd("bronze_aisles"), rd("bronze_departments"), organic_pattern
-            ),
+            "dim_product": keyed(product, "key_map_product", "product_id_nk", "product_key"),
             "dim_branch": gold_ops.dim_branch(branch_seed),
-        },
-        paths,
-    )
-    _write_all(
-        {
             "dim_date": gold_ops.dim_date(rd("stg_orders")),
-            "dim_customer": gold_ops.dim_customer(rd("stg_users"), platinum_min, gold_min),
-            "fact_order_line": gold_ops.fact_order_line(
-                rd("stg_order_products"), rd("stg_orders"), None, rd("dim_product"), None,
-                rd("dim_branch"), derived_dims=True,
-            ),
+            "dim_customer": keyed(customer, "key_map_customer", "user_id_nk", "customer_key"),
         },
         paths,
     )
+    # Without maps the fact computes the date and customer keys itself (those
+    # dimensions derive from the same staged orders).
+    fact = gold_ops.fact_order_line(
+        rd("stg_order_products"), rd("stg_orders"), rd("dim_date"), rd("dim_product"), rd("dim_customer"),
+        rd("dim_branch"), derived_dims=not key_maps,
+    )
+    _write(fact, paths, "fact_order_line")
     _write(gold_ops.fact_order_summary(rd("fact_order_line"), rd("stg_orders")), paths, "fact_order_summary")
     return rd("fact_order_line").count()
 
 
+# The hash of a natural key's text, before any probe.
+KEY_HASH = surrogate_key
+
 COUNTS, CUBE = "agg_line_counts", "agg_distinct_cube"
 
 
