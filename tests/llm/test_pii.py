@@ -114,3 +114,44 @@ def test_line_start_spaced_identifiers_and_new_seeds(spark, store):
         number = re.search(r"[0-9][0-9 ]+[0-9]", text[d])
         assert out[d] == f"phone:{number.start()}:{number.end()}", d
     assert out[402] == ""
+
+
+def test_secrets_by_glue_prefix_and_context(spark, store):
+    """Key-like tokens are seeds only: what their patterns introduce is found,
+    short ones too, and a lone key-like token is not."""
+    rng = random.Random(6)
+    drawn = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n - 4)) + "a1b2"
+    word = lambda: "".join(rng.choice("ghijklmnop") for _ in range(6))
+    rows, want = [], {}
+    for i in range(30):
+        for k, (before, n) in enumerate((("password=", 18), ('token = "', 40), ("ZQXW", 16), ("", 20))):
+            value = drawn(n)
+            lead = f"{word()} {before}"
+            doc = 100 * k + i
+            rows.append((doc, f'{lead}{value}{chr(34) if k == 1 else ""} {word()}'))
+            start = len(lead) - (4 if k == 2 else 0)
+            want[doc] = "" if k == 3 else f"secret:{start}:{len(lead) + n}"
+    rows.append((900, f"{word()} password=kurz77 {word()}"))  # by its pattern alone
+    want[900] = f"secret:{len('123456 password=')}:{len('123456 password=kurz77')}"
+    out = {r.doc_id: r.spans for r in pii.find(store(spark.createDataFrame(rows, "doc_id long, text string"), "secrets")).collect()}
+    assert out == want
+
+
+def test_places_against_a_plain_count(spark, store):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(["id:", "id:", "of", "the", f"A{rng.randint(1000, 9999)}7", "\n"]) for _ in range(60))) for i in range(40)]
+    df = store(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "places")
+    edges = [(pattern, a) for _, text in rows for pattern, a, *_ in pii.instances(text, pii.base_spans(text))]
+    found = spark.createDataFrame(edges, "pattern string, instance string")
+    got = {r.pattern: r.places for r in pii.places(df, found, pii.Scratch(spark, "t")).collect()}
+    seen: dict = {}
+    for pattern, a in edges:
+        seen.setdefault(pattern, set()).add(a)
+    for pattern, n in got.items():
+        words = pattern.replace(pii.GAP, "").split(" ")
+        flat = [w for _, text in rows for w in pii._words(text)]
+        if pattern[0] == pii.HEAD:
+            assert n == sum(w[:4] == pattern[1:] for w in flat)
+        else:
+            assert n == sum(flat[i : i + len(words)] == words for i in range(len(flat)))
+    assert set(got) == {p for p, a in seen.items() if len(a) >= pii.MIN_SEEDS}

@@ -1,14 +1,18 @@
 """Personal data by bootstrapped contextual extraction (operator 10).
 
 Seeds are the entities that plain rules find (mail and IP addresses, payment
-cards, telephone numbers).  The word and the two words before a seed and after
-it, an end of the line counting as a word, are lexical patterns for its kind.
-Patterns and the identifier-like tokens they introduce form a graph; Spark
-scores it in rounds: a pattern is as good as the instances it introduces, an
-instance as good as the patterns that introduce it.  A pattern that introduces
-enough seeds, little else, and hardly ever an ordinary word is trusted, and the
-identifiers it introduces which no rule knows are found.  These are seeds of the
-next pass, until a pass finds nothing new.
+cards, telephone numbers) and tokens that look drawn at random (kind secret);
+the latter are evidence only and count as found where a pattern says so.  The
+word and the two words before a seed and after it, an end of the line counting
+as a word, what is glued to its front (``password=``) and its own first letters
+(vendors' key prefixes) are lexical patterns for its kind.  Patterns and the
+identifier-like tokens they introduce form a graph; Spark scores it in rounds: a
+pattern is as good as the instances it introduces, an instance as good as the
+patterns that introduce it.  A pattern that introduces enough seeds, little
+else, and hardly ever an ordinary word is trusted, and the identifiers it
+introduces which no rule knows are found.  These are seeds of the next pass,
+until a pass finds nothing new.  How often a pattern's words stand in the corpus
+is counted once, for all passes.
 
 The rules are linear: each match starts at a place from which nothing before
 could have matched.
@@ -29,6 +33,8 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import Scratch, batches, columns, numbered, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
+SECRET = "secret"
+FOUND = (*KINDS, SECRET)
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -43,16 +49,22 @@ SHORTEST = 5
 # Neighbouring tokens are one identifier (030 1234 5678); more of them are a row of numbers.
 JOINED = 12
 BRACKETS = "()[]"
-LINE = "\n"  # stands for a word at both ends of a line
+LINE = "\0"  # stands for a word at both ends of a line
 GAP = "\t"  # the identifier's place in a pattern
+HEAD = "\1"  # before the first letters of an identifier
+HEAD_LETTERS = 4
 EDGE = "\"'`.,;:!?()[]{}<>="
+# A token that looks drawn at random: letters and digits, this many and so many of each.
+_RANDOM = re.compile(r"[A-Za-z0-9]{16,}")
+RANDOM_EACH = 4
 
 _ZERO = {c: "0" for c in range(0x30, 0x3A)}
-REACH = 120  # characters before and after an identifier in which its patterns stand
+REACH = 120  # characters before and after an identifier first looked at for its patterns
 MIN_SEEDS = 5
 MIN_CONFIDENCE = 0.6
 MIN_SPECIFIC = 0.5
 ROUNDS = 3
+# Slots of the bitmaps by which tasks know the words to count; a shared slot adds a row, not an error.
 BITMAP_BITS = 22
 
 
@@ -111,40 +123,70 @@ def _plain(text: str) -> str:
     return text.lower().translate(_ZERO)
 
 
+def _words(text: str) -> list[str]:
+    """The words that patterns are made of: what is glued to a value by ``=``
+    is one, and so are the ends of lines."""
+    return f"{LINE} {_plain(text).replace('=', '= ').replace(chr(10), f' {LINE} ')} {LINE}".split()
+
+
+def _before(text: str, start: int) -> list[str]:
+    """The last two words before ``start`` on its line."""
+    reach = REACH
+    while True:
+        low = max(0, start - reach)
+        _, line, left = text[low:start].rpartition("\n")
+        words = _words(left)[1:-1]
+        if line or low == 0:
+            return [LINE, *words][-2:]
+        if len(words) > 2:  # the first may be the end of a word
+            return words[-2:]
+        reach *= 8
+
+
+def _after(text: str, end: int) -> list[str]:
+    reach = REACH
+    while True:
+        high = min(len(text), end + reach)
+        right, line, _ = text[end:high].partition("\n")
+        words = _words(right)[1:-1]
+        if line or high == len(text):
+            return [*words, LINE][:2]
+        if len(words) > 2:
+            return words[:2]
+        reach *= 8
+
+
 def _patterns(text: str, start: int, end: int) -> list[str]:
-    """The patterns of a place: one and two words before its token and after it
-    on its line, digits as 0, as far as they lie within ``REACH``."""
+    """The patterns of a place: one and two words before it and after it on its
+    line, digits as 0, and its own first letters.  Quotes and brackets on it are
+    no words; a side on which its token goes on for ``REACH`` has none."""
+    token = text[start : start + HEAD_LETTERS]
     low, high = max(0, start - REACH), min(len(text), end + REACH)
-    while start > low and not text[start - 1].isspace():
+    while start > low and not text[start - 1].isspace() and text[start - 1] != "=":
         start -= 1
     while end < high and not text[end].isspace():
         end += 1
     out = []
-    _, line, left = text[low:start].rpartition("\n")
-    words = left.split()
-    if line or low == 0:
-        words.insert(0, LINE)
-    elif not left[:1].isspace():
-        words = words[1:]  # may be the end of a word
-    words = [_plain(w) for w in words[-2:]]
+    words = _before(text, start) if start > low or low == 0 else [LINE]
     if words and words[-1] != LINE:
         out.append(f"{words[-1]}{GAP}")
         if len(words) == 2:
-            out.append(f"{words[0]} {words[1]}{GAP}")
-    right, line, _ = text[end:high].partition("\n")
-    words = right.split()
-    if line or high == len(text):
-        words.append(LINE)
-    elif not right[-1:].isspace():
-        words = words[:-1]
-    words = [_plain(w) for w in words[:2]]
+            out.append(f"{' '.join(words)}{GAP}")
+    words = _after(text, end) if end < high or high == len(text) else [LINE]
     if words and words[0] != LINE:
         out.append(f"{GAP}{words[0]}")
         if len(words) == 2:
-            out.append(f"{GAP}{words[0]} {words[1]}")
+            out.append(f"{GAP}{' '.join(words)}")
+    if len(token) == HEAD_LETTERS and token.isalpha():
+        out.append(f"{HEAD}{token.lower()}")
     return out
 
 
+def _random(token: str) -> bool:
+    digits = sum(c.isdigit() for c in token)
+    return bool(_RANDOM.fullmatch(token)) and digits >= RANDOM_EACH and len(token) - digits >= RANDOM_EACH
+
+
 def _tokens(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """(start, end) of identifier-like tokens outside the places ``taken``.
     Neighbours on a line with one space and at most brackets between them are
@@ -153,6 +195,9 @@ def _tokens(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
     i, last = 0, -1  # last: where a token ended that the next one may join
     for m in _TOKEN.finditer(text):
         start, end = m.span()
+        glue = text.find("=", start, end)
+        if glue > 0 and not _DIGITS.search(text, start, glue):
+            start = glue + 1  # password=...
         while start < end and text[start] in EDGE:
             start += 1
         while end > start and text[end - 1] in EDGE:
@@ -178,72 +223,87 @@ def _tokens(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def instances(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, str | None, int, int]]:
     """(pattern, instance, kind, start, end) of the seeds, and with kind null of
     the other identifier-like tokens."""
-    places = [*spans, *((None, a, b) for a, b in _tokens(text, sorted((a, b) for _, a, b in spans)))]
-    return [(p, text[a:b].lower(), kind, a, b) for kind, a, b in places for p in _patterns(text, a, b)]
+    others = _tokens(text, sorted((a, b) for _, a, b in spans))
+    shaped = [(SECRET if _random(text[a:b]) else None, a, b) for a, b in others]
+    return [(p, text[a:b].lower(), kind, a, b) for kind, a, b in (*spans, *shaped) for p in _patterns(text, a, b)]
+
 
+def _slot(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) & ((1 << BITMAP_BITS) - 1)
 
-def _totals(bitmap: np.ndarray):
-    """Partial counts of all places of each pattern whose slot is set."""
-    schema = pa.schema([("pattern", pa.string()), ("places", pa.int64())])
-    mask = (1 << BITMAP_BITS) - 1
 
-    def wanted(pattern: str) -> bool:
-        slot = zlib.crc32(pattern.encode("utf-8", "surrogatepass")) & mask
-        return bool(bitmap[slot >> 6] >> (slot & 63) & 1)
+def _counts(maps: list[list[int]]):
+    """Counts of the words, pairs of neighbours and first letters whose slots
+    are set, one row each per task.  ``maps`` are the bitmaps of the single words
+    and first letters, and of the first and second words of pairs."""
+    schema = pa.schema([("words", pa.string()), ("places", pa.int64())])
+
+    def wanted(which: int, word: str) -> bool:
+        slot = _slot(word)
+        return bool(maps[which][slot >> 6] >> (slot & 63) & 1)
 
     def run(source):
+        total: Counter = Counter()
         for batch in source:
-            total: Counter = Counter()
-            for (text,) in zip(*columns(batch, "text")):
-                before, after = Counter(), Counter()
-                for line in _plain(text).split("\n"):
-                    words = line.split()
-                    before.update(zip([LINE, *words], words[:-1]))
-                    after.update(zip(words[1:], [*words[2:], LINE]))
-                ahead, behind = Counter(), Counter()
-                for (a, b), n in before.items():
-                    ahead[b] += n
-                    if wanted(pattern := f"{a} {b}{GAP}"):
-                        total[pattern] += n
-                for (a, b), n in after.items():
-                    behind[a] += n
-                    if wanted(pattern := f"{GAP}{a} {b}"):
-                        total[pattern] += n
-                for word, n in ahead.items():
-                    if wanted(pattern := f"{word}{GAP}"):
-                        total[pattern] += n
-                for word, n in behind.items():
-                    if wanted(pattern := f"{GAP}{word}"):
-                        total[pattern] += n
-            yield from batches(list(total.items()), schema)
+            flat = [w for text in columns(batch, "text")[0] for w in _words(text)]
+            index = {w: i for i, w in enumerate(dict.fromkeys(flat))}
+            at = np.fromiter(map(index.__getitem__, flat), np.int64, len(flat))
+            names = list(index)
+            first, second = (np.fromiter((wanted(k, w) for w in names), bool, len(names)) for k in (1, 2))
+            for word, n in zip(names, np.bincount(at, minlength=len(names)).tolist()):
+                if wanted(0, word):
+                    total[word] += n
+                if len(word) >= HEAD_LETTERS and wanted(0, head := HEAD + word.lstrip(EDGE)[:HEAD_LETTERS]):
+                    total[head] += n
+            if len(at):
+                for i in np.flatnonzero(first[at[:-1]] & second[at[1:]]).tolist():
+                    total[f"{flat[i]} {flat[i + 1]}"] += 1
+        yield from batches(list(total.items()), schema)
 
     return run
 
 
+def _key(pattern: str = "pattern"):
+    """What is counted in the corpus for a pattern."""
+    return F.translate(pattern, GAP, "")
+
+
+def places(rows: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+    """(pattern, places): how often the words of every pattern that introduces
+    ``MIN_SEEDS`` different identifiers or more stand in the corpus."""
+    known = found.groupBy("pattern").agg(F.countDistinct("instance").alias("n")).where(f"n >= {MIN_SEEDS}")
+    known = scratch.write(known.select("pattern", _key().alias("words")), "known")
+    two = F.split("words", " ")
+    is_two = (F.size(two) == 2) & ~F.startswith("words", F.lit(HEAD))
+    slot = lambda c: F.crc32(F.encode(c, "utf-8")).bitwiseAND((1 << BITMAP_BITS) - 1)
+    wanted = F.when(is_two, F.array(F.struct(F.lit(1).alias("map"), slot(two[0]).alias("slot")), F.struct(F.lit(2).alias("map"), slot(two[1]).alias("slot"))))
+    wanted = wanted.otherwise(F.array(F.struct(F.lit(0).alias("map"), slot(F.col("words")).alias("slot"))))
+    slots = known.select(F.inline(wanted))
+    words = slots.groupBy("map", F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits"))
+    maps = np.zeros((3, 1 << (BITMAP_BITS - 6)), np.int64)  # the driver holds these, whatever the corpus
+    for row in words.collect():
+        maps[row.map, row.word] = row.bits
+    counted = rows.select("text").mapInArrow(_counts(maps.view(np.uint64).tolist()), "words string, places long")
+    counted = counted.groupBy("words").agg(F.sum("places").alias("places"))
+    return scratch.write(known.join(counted, "words").select("pattern", "places"), "places")
+
+
 def _candidates(found: DataFrame) -> DataFrame:
     """(pattern, kind, seeds): patterns of ``MIN_SEEDS`` different seeds or more
     and the kind of most of them."""
     seeds = found.where("kind IS NOT NULL").select("pattern", "kind", "instance").distinct()
-    order = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
+    order = F.array_position(F.array(*[F.lit(k) for k in FOUND]), F.col("kind"))
     by_kind = seeds.groupBy("pattern", "kind").agg(F.count("*").alias("n"))
     best = F.max_by("kind", F.struct("n", -order)).alias("kind")
     return by_kind.groupBy("pattern").agg(F.sum("n").alias("seeds"), best).where(f"seeds >= {MIN_SEEDS}")
 
 
-def _scored(rows: DataFrame, found: DataFrame, scratch: Scratch, turn: int) -> tuple[DataFrame, DataFrame] | None:
+def _scored(places: DataFrame, found: DataFrame, scratch: Scratch, turn: int) -> tuple[DataFrame, DataFrame] | None:
     """((pattern, kind, score), (instance, score)) after ``ROUNDS`` rounds over
     the graph, or None where no pattern has enough seeds."""
     candidates = scratch.write(_candidates(found), f"candidates-{turn}")
-    slots = candidates.select(F.crc32(F.encode("pattern", "utf-8")).bitwiseAND((1 << BITMAP_BITS) - 1).alias("slot"))
-    words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits"))
-    bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.int64)  # the driver holds this, whatever the corpus
-    for row in words.collect():
-        bitmap[row.word] = row.bits
-    if not bitmap.any():
+    if candidates.isEmpty():
         return None
-    bitmap = bitmap.view(np.uint64).tolist()
-    places = rows.select("text").mapInArrow(_totals(bitmap), "pattern string, places long")
-    places = places.groupBy("pattern").agg(F.sum("places").alias("places"))
     edges = found.join(candidates.select("pattern"), "pattern").groupBy("pattern", "instance").agg(
         F.count("*").alias("n"), F.max(F.col("kind").isNotNull().cast("int")).alias("seed")
     )
@@ -271,12 +331,14 @@ def _scored(rows: DataFrame, found: DataFrame, scratch: Scratch, turn: int) -> t
 def trusted(rows: DataFrame, found: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame] | None:
     """((pattern, kind, score), (instance, kind)) that are trusted once a pass
     with the instances of the last one as further seeds finds no new ones, or
-    None where no pattern is trusted."""
+    None where no pattern is trusted.  Instances of a rule are not among them."""
+    found = found.withColumn("ruled", F.coalesce(F.col("kind").isin(*KINDS), F.lit(False)))
+    stand = places(rows, found, scratch)
     seeds, many, turn, known = None, 0, 0, found
-    while scored := _scored(rows, known, scratch, turn):
+    while scored := _scored(stand, known, scratch, turn):
         patterns, beliefs = scored
         sure = beliefs.where(F.col("belief") >= MIN_CONFIDENCE).select("instance")
-        new = found.where("kind IS NULL").select("pattern", "instance").distinct().join(patterns, "pattern").join(sure, "instance")
+        new = found.where("NOT ruled").select("pattern", "instance").distinct().join(patterns, "pattern").join(sure, "instance")
         new = new.groupBy("instance").agg(F.max_by("kind", F.struct("score", "kind")).alias("kind"))
         if seeds is not None:
             new = new.join(seeds, "instance", "left_anti").unionByName(seeds)
@@ -293,8 +355,8 @@ def find(docs: DataFrame) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) per row.
 
     Counts and base_sha256 are of the rules' matches, spans holds these and
-    the ones that trusted patterns add (kind of the pattern), by start, then
-    kind.  Whole texts; a null or empty text has no spans; repeated rows come
+    the ones that trusted patterns add (kind of the pattern, secret among them),
+    by start, then kind.  Whole texts; a null or empty text has no spans; repeated rows come
     out repeated and count as evidence once per different instance; a null
     doc_id stays null; other columns are left out.  ``docs`` must be a stored
     table (rows are numbered as stored).
@@ -334,9 +396,9 @@ def find(docs: DataFrame) -> DataFrame:
     result = marked.select("row_id", "doc_id", *[f"n_{kind}" for kind in KINDS], "base_sha256", "base")
     if learned := trusted(rows, found, scratch):
         patterns, sure = learned
-        rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int") - 1
+        rank = F.array_position(F.array(*[F.lit(k) for k in FOUND]), F.col("kind")).cast("int") - 1
         extra = (
-            found.where("kind IS NULL")
+            found.where(F.col("kind").isNull() | (F.col("kind") == SECRET))
             .drop("kind")
             .join(patterns, "pattern")
             .join(sure.select("instance"), "instance")
@@ -348,7 +410,7 @@ def find(docs: DataFrame) -> DataFrame:
         result = result.join(extra, "row_id", "left")
     else:
         result = result.withColumn("extra", F.lit(None).cast("array<struct<start:int,rank:int,end:int>>"))
-    names = f"array({', '.join(repr(k) for k in KINDS)})"
+    names = f"array({', '.join(repr(k) for k in FOUND)})"
     every = "array_sort(concat(base, coalesce(extra, array())))"
     spelled = F.expr(f"array_join(transform({every}, s -> concat_ws(':', {names}[s.rank], s.start, s.end)), ',')")
     return result.select("doc_id", *[f"n_{kind}" for kind in KINDS], "base_sha256", spelled.alias("spans"))
