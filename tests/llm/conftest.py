@@ -7,8 +7,8 @@ import random
 
 import pytest
 
-CLASH = "score double, fp long, row_id long, spans string, kept boolean, label int, ids string, n_words int"
-CLASHING = (0.5, 1, 2, "x", True, 1, "y", 3)
+CLASH = "score double, fp long, row_id long, spans string, kept boolean, label int, ids string, n_words int, _row long, _dropped long"
+CLASHING = (0.5, 1, 2, "x", True, 1, "y", 3, 4, 5)
 
 
 def words(seed: int, n: int) -> str:

@@ -76,3 +76,30 @@ def test_unclosed_quotes_and_tags_stay_linear():
     for source in ('<p a="' * 20000, "<" * 100000, "<a <" * 30000, "<p>" * 50000, "</p>" * 50000, "<!--" * 50000):
         page = h.Page(source)
         page.text(*page.best({}))
+
+
+BODY = "<h1>Title here</h1><p>" + " ".join(f"word{i}" for i in range(60)) + ".</p>"
+REST = "<nav><a>Home</a><a>News</a></nav><div class='sidebar'><a>Other page</a></div>"
+MENU = "<footer>All rights reserved</footer>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body>{REST}<div style='overflow: hidden'><article>{BODY}</article></div>{MENU}</body>",
+        f"<body>{REST}<div title='a hidden gem'><article>{BODY}</article></div>{MENU}</body>",
+        f"<body>{REST}<div class='with-sidebar'><article>{BODY}</article></div>{MENU}</body>",
+        f"<body>{REST}<div class='layout has-comments'><article>{BODY}</article></div>{MENU}</body>",
+        f"<body><form action='/x'>{REST}<div><article>{BODY}</article></div>{MENU}</form></body>",
+        f"<body><form action='/x'>{REST}<div>{BODY}</div>{MENU}</form></body>",
+        f"<body>{REST}<article class='no-sidebar'>{BODY}</article>{MENU}</body>",
+        f"<body>{REST}<article><div class='entry-header'><h1>Title here</h1></div>{BODY[19:]}</article>{MENU}</body>",
+        f"<body>{REST}<div class='widget-page'><main>{BODY}</main></div>{MENU}</body>",
+        f"<body>{REST}<article>{BODY}</article><div class='comments'><article class='comment'><p>Nice one, thanks all</p></article></div>{MENU}</body>",
+        f"<body>{REST}<article>{BODY}</article><div hidden><p>Not to be seen</p></div>{MENU}</body>",
+    ],
+)
+def test_wrappers_named_like_boilerplate(page):
+    shown = h.Page(page)
+    text = shown.text(*shown.best({}))
+    assert text == "Title here " + " ".join(f"word{i}" for i in range(60)) + "."

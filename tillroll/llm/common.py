@@ -49,12 +49,10 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """``docs``, all columns, without the rows numbered in ``dropped`` (row_id)."""
-    gone = dropped.select(F.col("row_id").alias("_dropped"))
-    return (
-        docs.withColumn("_row", _row_numbers(docs.sparkSession))
-        .join(gone, F.col("_row") == F.col("_dropped"), "left_anti")
-        .drop("_row")
-    )
+    # Names that no input column can have by chance.
+    row, gone = (f"{name}_{uuid.uuid4().hex}" for name in ("row", "gone"))
+    numbered_rows = docs.withColumn(row, _row_numbers(docs.sparkSession))
+    return numbered_rows.join(dropped.select(F.col("row_id").alias(gone)), F.col(row) == F.col(gone), "left_anti").drop(row)
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -51,7 +51,14 @@ CONTENT = {"article", "main"}
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>""")
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
-_ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"']+))?""", re.I)
+# One attribute after the other, so that nothing within a quoted value is read as a name.
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]++)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"']+))?|"[^"]*"|'[^']*'""")
+# Class words that begin so speak of the page around (with-sidebar, has-comments, no-ads).
+SPEAKS = {"no", "non", "not", "with", "without", "has", "hide", "is"}
+# The head of an article, not of a site.
+OWN_HEAD = {"entry", "post", "article", "story", "content", "headline"}
+# Never content, whatever they hold: others' texts.
+OTHERS = set("comment comments commentlist disqus related replies reply respond".split())
 _SKIP = re.compile(r"<!--|<!|<\?|<(?=[/a-zA-Z])")
 
 TEXT, OPEN, CLOSE = 0, 1, 2
@@ -99,22 +106,31 @@ def tokens(page: str) -> Iterator[tuple[int, str, str]]:
                 at = size if end < 0 else end
 
 
-def _boilerplate(name: str, attributes: str) -> bool:
+def _named(word: str) -> str:
+    """The name by which a class or id word says boilerplate, or nothing."""
+    if word in NAMES:
+        return word
+    pieces = re.split(r"[-_]", word)
+    if pieces[0] in SPEAKS or (pieces[-1] == "header" and pieces[0] in OWN_HEAD):
+        return ""
+    return next((p for p in (pieces[0], pieces[-1]) if p in NAMES), "")
+
+
+def _boilerplate(name: str, attributes: str) -> str:
+    """Why an element is no content: "always" (its name, or hidden), "form", the
+    name its class, id or role gives it, or nothing."""
     if name in ASIDE:
-        return True
-    if name in CONTENT and "class" not in attributes and "id" not in attributes and "role" not in attributes:
-        return False
+        return "form" if name == "form" else "always"
+    found = ""
     for key, value in _ATTRIBUTE.findall(attributes):
         key, values = key.lower(), value.strip("\"'").lower()
         if key == "hidden":
-            return True
+            return "always"
         if key == "role" and values in ROLES:
-            return True
+            found = found or values
         if key in ("class", "id") and name not in ("html", "body"):
-            for word in values.split():
-                if word in NAMES or not NAMES.isdisjoint(re.split(r"[-_]", word)[:1] + re.split(r"[-_]", word)[-1:]):
-                    return True
-    return False
+            found = found or next(filter(None, map(_named, values.split())), "")
+    return found
 
 
 def _matches(page: list[tuple[int, str, str]]) -> dict[int, int]:
@@ -136,6 +152,20 @@ def _matches(page: list[tuple[int, str, str]]) -> dict[int, int]:
     return out
 
 
+def _holds(page: list[tuple[int, str, str]], start: int, stop: int, reason: str, own: list[int]) -> bool:
+    """Whether a wrapper named like boilerplate is around the content: it holds
+    every element that labels itself so, or, for a form on a page without any,
+    most of the words."""
+    if reason in OTHERS or reason == "always" or not reason:
+        return False
+    if own:
+        return start < own[0] and own[-1] < stop
+    if reason != "form":
+        return False
+    words = [len(text.split()) if kind == TEXT else 0 for kind, text, _ in page]
+    return 2 * sum(words[start:stop]) > sum(words)
+
+
 class Page:
     """The scored tokens of a page: ``features`` and, alongside, ``pieces`` of
     text; a piece of "\n" separates blocks."""
@@ -143,6 +173,9 @@ class Page:
     def __init__(self, source: str):
         page = list(tokens(source))
         closes = _matches(page)
+        reasons = {i: _boilerplate(name, attributes) for i, (kind, name, attributes) in enumerate(page) if kind == OPEN}
+        # What labels itself as the content; a wrapper that holds all of it is none of the rest.
+        own = [i for i, (kind, name, _) in enumerate(page) if kind == OPEN and name in CONTENT and not reasons[i]]
         self.features: list[str] = []
         self.pieces: list[str] = []
         self.words: list[int] = []  # words of the item; 0 for a tag
@@ -160,7 +193,7 @@ class Page:
                 self._add(f"w:{block}{':a' if links else ''}", text, count)
                 continue
             site_header = name == "header" and CONTENT.isdisjoint(inside)
-            if kind == OPEN and (site_header or _boilerplate(name, attributes)):
+            if kind == OPEN and (site_header or reasons[i]) and not _holds(page, i, closes.get(i, i), reasons[i], own):
                 # Not content; an element that is never closed hides nothing but its own tag.
                 skip_to = closes.get(i, i)
                 self._add("", "\n" if name not in INLINE else "", 0)
