@@ -89,24 +89,26 @@ QUERIES: dict[str, QueryFn] = {
 
 ORACLE_SQL: dict[str, str] = {
     # Another complete filter than the masks: 12 words with two substitutions
-    # at most hold a run of four equal words.
+    # at most hold a run of four equal words, items of 2 to 11 words a run of two.
     "op4_decontaminate": """
         WITH d AS (
           SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w
           FROM documents
         ), b AS (
-          SELECT DISTINCT item_id,
-                 list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w
-          FROM benchmark
+          SELECT *, len(w) AS m, CASE WHEN len(w) >= 12 THEN 4 WHEN len(w) >= 2 THEN 2 ELSE 1 END AS k
+          FROM (SELECT DISTINCT item_id,
+                       list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w
+                FROM benchmark)
+          WHERE len(w) > 0
         ), dg AS (
-          SELECT doc_id, p, concat_ws(' ', w[p], w[p + 1], w[p + 2], w[p + 3]) AS g
-          FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS p FROM d)
+          SELECT doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS g
+          FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p
+                FROM (SELECT *, unnest((SELECT list(DISTINCT k) FROM b)) AS k FROM d))
         ), bg AS (
-          SELECT item_id, len(w) AS m, p, concat_ws(' ', w[p], w[p + 1], w[p + 2], w[p + 3]) AS g
-          FROM (SELECT item_id, w, unnest(range(1, len(w) - 2)) AS p FROM b)
+          SELECT item_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS g
+          FROM (SELECT item_id, w, k, unnest(range(1, m - k + 2)) AS p FROM b)
         ), line AS (
-          SELECT DISTINCT doc_id, item_id, dg.p - bg.p AS shift
-          FROM dg JOIN bg USING (g) WHERE m >= 12 OR (m >= 5 AND bg.p = 1)
+          SELECT DISTINCT doc_id, item_id, dg.p - bg.p AS shift FROM dg JOIN bg USING (k, g)
         ), word AS (
           SELECT doc_id, item_id, shift, m, n, i, CASE WHEN bw[i] = dw[i + shift] THEN 1 ELSE 0 END AS same
           FROM (SELECT line.*, b.w AS bw, d.w AS dw, len(b.w) AS m, len(d.w) AS n, unnest(range(1, len(b.w) + 1)) AS i
@@ -114,15 +116,14 @@ ORACLE_SQL: dict[str, str] = {
           WHERE i + shift BETWEEN 1 AND n
         ), seen AS (
           SELECT doc_id, item_id, shift, m, i,
-                 sum(same) OVER ahead AS n_equal, count(*) OVER ahead AS size, sum(same) OVER five AS head
+                 sum(same) OVER ahead AS n_equal, count(*) OVER ahead AS size
           FROM word
-          WINDOW ahead AS (PARTITION BY doc_id, item_id, shift ORDER BY i ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING),
-                 five AS (PARTITION BY doc_id, item_id, shift ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)
+          WINDOW ahead AS (PARTITION BY doc_id, item_id, shift ORDER BY i ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING)
         ), hit AS (
           SELECT doc_id, item_id, i + shift - 1 AS doc_at, size, n_equal
           FROM seen
           WHERE (m >= 12 AND size = 12 AND n_equal >= 10)
-             OR (m < 12 AND i = 1 AND size = m AND head = 5 AND n_equal >= ceil(0.8 * m))
+             OR (m < 12 AND i = 1 AND size = m AND n_equal >= ceil(0.8 * m))
         )
         SELECT doc_id, item_id, count(*) AS n_windows, CAST(max(n_equal) AS INTEGER) AS best_equal,
                CAST(min(doc_at) AS INTEGER) AS first_word, CAST(max(doc_at + size - 1) AS INTEGER) AS last_word
