@@ -8,9 +8,10 @@ pre-tokenisation pattern is applied by ``regex``; texts repeat their pieces
 (Zipf), so each piece is encoded once per task and then looked up in a table
 of bounded size.
 
-Decoding concatenates the tokens' bytes.  A token may end inside a character;
-decoding ids one by one therefore goes through an incremental UTF-8 decoder
-that holds the open bytes back until the character is complete.
+Decoding spells each id as the model does and reverses the byte table.  A token
+may end inside a character; the bytes therefore go, some tokens at a time,
+through an incremental UTF-8 decoder that holds the open ones back until the
+character is complete.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import base64
 import codecs
 import hashlib
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
@@ -32,6 +33,7 @@ from tillroll.llm.common import batches, columns, id_text, small_batches
 # Characters of the pieces remembered per Python worker.  The table is emptied
 # before the next text once it is over, which costs time only.
 CACHE_CHARS = 4_000_000
+STEP = 4096  # tokens decoded at once
 
 
 @lru_cache(maxsize=1)
@@ -78,7 +80,8 @@ class ByteBpe:
         self.tokenizer = Tokenizer(model)
         self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.pattern = regex.compile(pattern)
-        self.token_bytes = {r: t for t, r in self.ranks.items()}
+        byte_of = {c: b for b, c in spell.items()}
+        self.token_bytes = {i: bytes(byte_of[c] for c in token) for token, i in self.tokenizer.get_vocab().items()}
         self.decimal = {r: str(r) for r in self.token_bytes}
         self.cache: dict[str, list[int]] = {}
         self.cached_chars = 0
@@ -112,12 +115,12 @@ class ByteBpe:
         table = self.token_bytes
         return b"".join([table[i] for i in ids])
 
-    def decode_stream(self, ids: Iterable[int]) -> Iterator[str]:
-        """Text per token; bytes of an unfinished character wait for the next
-        token, and a sequence that never completes becomes U+FFFD."""
+    def decode_stream(self, ids: Sequence[int], step: int = 1) -> Iterator[str]:
+        """Text per ``step`` tokens; bytes of an unfinished character wait for the
+        next ones, and a sequence that never completes becomes U+FFFD."""
         decoder = codecs.getincrementaldecoder("utf-8")("replace")
-        for i in ids:
-            yield decoder.decode(self.token_bytes[i])
+        for at in range(0, len(ids), step):
+            yield decoder.decode(self.decode_bytes(ids[at : at + step]))
         if tail := decoder.decode(b"", final=True):
             yield tail
 
@@ -184,8 +187,10 @@ def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False)
             for doc_id, text in zip(*columns(batch, "doc_id", "text")):
                 ids = bpe.encode(text)
                 spelled = ",".join([bpe.decimal[i] for i in ids]).encode()
-                back = bpe.decode_bytes(ids)
-                row = (doc_id, len(ids), hashlib.sha256(spelled).hexdigest(), hashlib.sha256(back).hexdigest())
+                back = hashlib.sha256()
+                for part in bpe.decode_stream(ids, STEP):
+                    back.update(part.encode())
+                row = (doc_id, len(ids), hashlib.sha256(spelled).hexdigest(), back.hexdigest())
                 rows.append((*row, ids) if with_ids else row)
             yield from batches(rows, schema)
 
