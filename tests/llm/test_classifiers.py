@@ -53,12 +53,25 @@ def test_held_out_rows_and_other_columns_are_never_learned(spark, corpus, store)
     from zlib import crc32
 
     docs, labels = corpus
-    sample = labelled_sample(docs, labels, "toxic", 10_000, 100)
+    many = 10_000_000
+    sample = labelled_sample(docs, labels, "toxic", 10_000, many)
     held = {r.text for r in docs.collect() if crc32(str(r.doc_id).encode()) % 3 == 1}
-    assert sample and not {t for t, _ in sample} & {t[:100] for t in held}
-    assert len(labelled_sample(docs, labels, "toxic", 7, 100)) <= 14
+    assert sample and not {t for t, _ in sample} & held
+    assert len(labelled_sample(docs, labels, "toxic", 7, many)) == 14
     flipped = labels.selectExpr("doc_id", "quality", "IF(crc32(CAST(doc_id AS STRING)) % 3 = 1, 1 - toxic, toxic) AS toxic")
-    assert sorted(labelled_sample(docs, flipped, "toxic", 50, 100)) == sorted(labelled_sample(docs, labels, "toxic", 50, 100))
+    assert sorted(labelled_sample(docs, flipped, "toxic", 50, many)) == sorted(labelled_sample(docs, labels, "toxic", 50, many))
+
+
+def test_the_sample_is_bounded_by_rows_and_never_cuts_a_text(corpus):
+    docs, labels = corpus
+    whole = {r.text for r in docs.collect()}
+    free = labelled_sample(docs, labels, "toxic", 50, 10_000_000)
+    bound = 8_000
+    sample = labelled_sample(docs, labels, "toxic", 50, bound)
+    assert {t for t, _ in sample} <= whole and set(sample) < set(free)
+    for label in (0, 1):
+        size = sum(len(t) for t, y in sample if y == label)
+        assert bound / 2 < size <= bound
 
 
 @pytest.mark.parametrize("module", [toxicity, quality])
@@ -78,12 +91,11 @@ def test_edge_cases(docs, empty, labels, module):
 
 def test_quality_blocks_do_not_lose_features(monkeypatch):
     params = quality.Params()
-    text = " ".join(prose(random.Random(3), 300))
+    text = " ".join([*prose(random.Random(3), 300), "same", "same", "  ", "x" * 1000, "same", "y"]) + " " * 600
     whole = np.sort(np.concatenate(list(quality.features(text, params))))
     monkeypatch.setattr(quality, "BLOCK", 256)
-    parts = np.concatenate(list(quality.features(text, params)))
-    # Only the n-grams and words across a block's end differ.
-    assert len(np.setdiff1d(whole, parts)) < 0.05 * len(whole)
+    parts = np.sort(np.concatenate(list(quality.features(text, params))))
+    assert np.array_equal(whole, parts)
 
 
 def test_drop_toxic_keeps_columns_and_clean_rows(corpus):

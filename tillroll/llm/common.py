@@ -74,13 +74,14 @@ def held_out(id_col: Column) -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, per_class: int, max_chars: int):
     """A bounded sample of labelled rows outside the held-out fold, as
-    ``[(text, label)]`` on the driver.
+    ``[(text, label)]`` on the driver, whole texts.
 
     At most ``per_class`` rows of each class, chosen by the hash of their id
-    (the same rows whatever the partitioning), each with at most
-    ``max_chars`` characters: ``2 * per_class * max_chars`` characters in all.
+    (the same rows whatever the partitioning).  They are taken in that order as
+    long as a class stays within ``max_chars`` characters; a row that would go
+    over is left out, so the bound costs rows and never the rest of a text.
     Rows without a label or a text are left out; of several labels for an id
-    the largest counts.
+    the largest counts, of several texts the least.
     """
     truth = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(target).cast("int").alias("label"))
@@ -91,17 +92,23 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, per_class:
     order = F.xxhash64("doc_id", F.lit(target))
     chosen = None
     for value in (0, 1):
-        part = truth.where(F.col("label") == value).orderBy(order, "doc_id").limit(per_class)
+        part = truth.where(F.col("label") == value).withColumn("place", order).orderBy("place", "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
+    texts = id_text(docs).where(F.length("text") > 0)
     # At most 2 * per_class ids: small enough to broadcast by construction.
-    rows = (
-        id_text(docs)
-        .join(F.broadcast(chosen), "doc_id")
-        .where(F.length("text") > 0)
-        .select("doc_id", F.substring("text", 1, max_chars).alias("text"), "label")
-        .dropDuplicates(["doc_id"])
+    sizes = (
+        texts.join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "label", "place")
+        .agg(F.max(F.length("text")).alias("chars"))
         .collect()
     )
+    left, ids = {0: max_chars, 1: max_chars}, []
+    for r in sorted(sizes, key=lambda r: (r.place, r.doc_id)):
+        if r.chars <= left[r.label]:
+            left[r.label] -= r.chars
+            ids.append((r.doc_id, r.label))
+    taken = docs.sparkSession.createDataFrame(ids, "doc_id long, label int")
+    rows = texts.join(F.broadcast(taken), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).collect()
     return [(r.text, r.label) for r in sorted(rows, key=lambda r: r.doc_id)]
 
 

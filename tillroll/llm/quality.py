@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import batches, columns, held_out, id_text, labelled_sample, small_batches
 
-# Characters hashed at once; longer texts go block by block.
+# Characters hashed at once; longer texts go block by block, each up to the end
+# of a word.
 BLOCK = 1 << 18
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -36,7 +37,7 @@ class Params:
     rate: float = 0.6
     seed: int = 11
     per_class: int = 2500  # labelled rows of each class, at most
-    max_chars: int = 6000  # of each labelled row, for learning only
+    max_chars: int = 24_000_000  # of the labelled rows of a class together, whole texts
 
 
 def _bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -54,9 +55,12 @@ def features(text: str, params: Params) -> Iterator[np.ndarray]:
     """
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     bits = params.buckets.bit_length() - 1
-    before = None
-    for at in range(0, len(codes), BLOCK):
-        own = codes[at : at + BLOCK].astype(np.uint64)
+    gaps_at = np.flatnonzero((codes == 32) | ((codes >= 9) & (codes <= 13)))
+    before, end = None, 0
+    while end < len(codes):
+        at, after = end, np.searchsorted(gaps_at, end + BLOCK)
+        end = int(gaps_at[after]) if after < len(gaps_at) else len(codes)
+        own = codes[at:end].astype(np.uint64)
         gap = (own == 32) | ((own >= 9) & (own <= 13))
         chars = np.concatenate([[1], np.where(gap, 1, own), [1]]).astype(np.uint64)
         gap = np.concatenate([[True], gap, [True]])

@@ -49,7 +49,7 @@ class Params:
     ratio: float = 8.0  # of a gram's rate in toxic text to that in ordinary text
     sure: float = 2.0  # standard deviations by which a toxic count may be too high
     per_class: int = 2500  # labelled rows of each class, at most
-    max_chars: int = 8000  # of each labelled row, for learning only
+    max_chars: int = 24_000_000  # of the labelled rows of a class together, whole texts
 
 
 @dataclass(frozen=True)
