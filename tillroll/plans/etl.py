@@ -217,6 +217,8 @@ def compact_loads(spark: SparkSession, paths: WarehousePaths) -> Version:
 
 
 BRONZE_ORDERS = "bronze_orders"
+# The raw rows of the last load that did not fit their types (text and reason).
+REJECTS = "bronze_rejects"
 
 
 def read_bronze_orders(
@@ -300,6 +302,8 @@ def _bronze(spark, raw: RawSources, draft: Draft, watermark: int | None, sample_
     fresh = inc.incremental_rows(orders, target, watermark, late=late)
     # Own folder per run: a retry of this run replaces only its own rows.
     writes = {name: (lambda df=df, name=name: _write(df, draft, name)) for name, (df, _) in sources.items()}  # S6: snapshots
+    if raw.rejects is not None:
+        writes[REJECTS] = lambda: _write(raw.rejects, draft, REJECTS)
     run_concurrently({"load": lambda: write_load(fresh, draft), **writes})
 
 
@@ -400,7 +404,7 @@ def read_star(spark: SparkSession, paths: Place) -> marts.Star:
 RULE_TABLE = "dm_association_rules"
 
 WAREHOUSE_TABLES = (
-    list(S.BRONZE_TABLES) + list(S.SILVER_CONTRACT) + list(S.GOLD_CONTRACT) + ["etl_log", RULE_TABLE]
+    list(S.BRONZE_TABLES) + list(S.SILVER_CONTRACT) + list(S.GOLD_CONTRACT) + [REJECTS, "etl_log", RULE_TABLE]
 )
 
 
@@ -534,10 +538,12 @@ def run_stage(
         raise ValueError(f"unknown stage {stage!r}: one of {', '.join(STAGES)}")
     run_id = run_id or new_run_id()
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    rows_loaded, watermark = 0, 0
+    rows_loaded, watermark, message = 0, 0, "OK"
     try:
         if stage in ("bronze", "all"):
             rows_loaded, watermark = run_bronze(spark, raw, paths, run_id, sample_rows)
+            if raw.rejects is not None:
+                message = f"OK, {_read(spark, paths, REJECTS).count()} raw rows rejected"
         else:
             watermark = current_watermark(spark, paths, exclude_run=run_id) or 0
         if stage in ("silver", "gold", "all"):
@@ -552,7 +558,7 @@ def run_stage(
             if failures:
                 raise QualityGateError("; ".join(failures))
         append_log(
-            log_row(spark, run_id, stage, "SUCCESS", rows_loaded, watermark, "OK", started_at=started),
+            log_row(spark, run_id, stage, "SUCCESS", rows_loaded, watermark, message, started_at=started),
             paths.log,
             run_id,
         )

@@ -13,7 +13,7 @@ from tillroll.plans.etl import WarehousePaths, _read, _write, published, read_br
 from tillroll.plans.oracle import k1, with_warehouse
 from tillroll.plans.registry import register, warehouse
 from tillroll.session import ensure_checkpoint_dir
-from tillroll.sources import files
+from tillroll.sources import checked, files
 from tillroll.sources import incremental as inc
 from tillroll.sources.adapter import read_table
 from tillroll.sources.runlog import append_log, log_row, read_log
@@ -58,6 +58,74 @@ def s1(spark, sf):
     return files.read_csv_source(spark, path, S.BRONZE_ORDER_PRODUCTS)
 
 
+# Role sources as text files; types by form in the SQL, by the masks in Spark.
+_TYPED_ROLES = {"b_orders": "orders", "b_prior": "order_products_prior", "b_products": "products", "b_departments": "departments"}
+_FORMS = [("boolean", "(true|false)"), ("bigint", "-?[0-9]+"), ("double", r"-?[0-9]+(\.[0-9]+)?"), ("date", "[0-9]{4}-[0-9]{2}-[0-9]{2}")]
+
+
+def _types_sql(role: str) -> str:
+    cases = " ".join(f"WHEN bool_and(regexp_full_match(value, '{form}')) THEN '{kind}'" for kind, form in _FORMS)
+    texts = f"SELECT COLUMNS(*)::VARCHAR FROM {role}"
+    return (
+        f"SELECT '{_TYPED_ROLES[role]}' AS source, name AS column_name, CASE {cases} ELSE 'string' END AS type "
+        f"FROM (UNPIVOT ({texts}) ON COLUMNS(*) INTO NAME name VALUE value) GROUP BY name"
+    )
+
+
+@register("s1_inferred_types", with_warehouse("\nUNION ALL ".join(_types_sql(role) for role in _TYPED_ROLES)))
+def s1_types(spark, sf):
+    """The types of four sources' columns, found from all their rows."""
+    raw, path, found = warehouse(spark, sf).raw, _scratch(spark), []
+    for name in _TYPED_ROLES.values():
+        files.write_result_csv(getattr(raw, name), f"{path}/{name}")
+        inferred = checked.infer_schema(spark, f"{path}/{name}")
+        found += [(name, field.name, field.dataType.simpleString()) for field in inferred]
+    return spark.createDataFrame(found, "source string, column_name string, type string")
+
+
+# Faults planted into the lines: a number in words, and one with its unit.
+_FAULTY = "order_id % 13 = 0"
+_WITH_UNIT = "order_id % 39 = 0"
+
+
+def _checked_lines(spark, sf):
+    raw, path = warehouse(spark, sf).raw, f"{_scratch(spark)}/lines"
+    lines = raw.order_products_prior.unionByName(raw.order_products_train)
+    product, place = F.col("product_id").cast("string"), F.col("add_to_cart_order").cast("string")
+    faulty = lines.select(
+        F.when(F.expr(_WITH_UNIT), F.concat(product, F.lit(" pc"))).otherwise(product).alias("product_id"),
+        F.when(F.expr(_FAULTY), 'some, "few').otherwise(place).alias("add_to_cart_order"),
+        "order_id",
+        "reordered",
+    )
+    files.write_result_csv(faulty, path)
+    return checked.read_csv_checked(spark, path, S.BRONZE_ORDER_PRODUCTS)
+
+
+@register(
+    "s1_checked_rows",
+    with_warehouse(f"SELECT * FROM (SELECT * FROM b_prior UNION ALL SELECT * FROM b_train) WHERE NOT ({_FAULTY})"),
+)
+def s1_rows(spark, sf):
+    """The lines of a file with bad fields: those that fit their types."""
+    return _checked_lines(spark, sf).rows
+
+
+@register(
+    "s1_rejected_rows",
+    with_warehouse(
+        f"""
+SELECT product_id || CASE WHEN {_WITH_UNIT} THEN ' pc' ELSE '' END || ',"some, ""few",' || order_id || ',' || reordered AS row_text,
+       CASE WHEN {_WITH_UNIT} THEN 'product_id: ''' || product_id || ' pc'' is not bigint; ' ELSE '' END
+         || 'add_to_cart_order: ''some, "few'' is not int' AS reason
+FROM (SELECT * FROM b_prior UNION ALL SELECT * FROM b_train) WHERE {_FAULTY}"""
+    ),
+)
+def s1_rejects(spark, sf):
+    """The others, with their text and what is wrong with them."""
+    return _checked_lines(spark, sf).rejects.drop("source")
+
+
 @register(
     "s2_sample_rows",
     with_warehouse(

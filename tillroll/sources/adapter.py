@@ -43,6 +43,8 @@ class RawSources:
     aisles: DataFrame
     departments: DataFrame
     branches: DataFrame
+    # Rows that did not fit their types, where the sources were read checked.
+    rejects: DataFrame | None = None
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

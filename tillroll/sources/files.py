@@ -1,7 +1,7 @@
 """File sources and sinks.
 
-Raw CSVs are always read with an explicit schema (no inference pass over
-the data); blank fields arrive as nulls, so nothing has to parse ``''``.
+Raw CSVs are read here with an explicit schema (no inference pass over the
+data; :mod:`tillroll.sources.checked` finds types and survives bad rows); blank fields arrive as nulls, so nothing has to parse ``''``.
 Columns are found by their header name, quotes inside a quoted field are
 doubled (RFC 4180), and a field that does not parse as its type fails the
 read instead of becoming a null that a later filter would drop.
@@ -10,6 +10,8 @@ read instead of becoming a null that a later filter would drop.
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -42,9 +44,9 @@ def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 def write_result_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Header CSV result.  ``single_file`` is for results with a known
     small bound (a top-N list, one row per threshold); anything else is
-    written by all its partitions."""
+    written by all its partitions.  Quotes are doubled, as the reader expects."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def read_result_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -88,15 +90,30 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def csv_sources(spark: SparkSession, raw_dir: str, seed_path: str):
-    """S1 + S4: the six raw CSV sources and the branch seed as ``RawSources``."""
+def csv_sources(spark: SparkSession, raw_dir: str, seed_path: str, bad_rows: str = "fail"):
+    """S1 + S4: the six raw CSV sources and the branch seed as ``RawSources``.
+
+    ``bad_rows`` says what a row does that does not fit its types: ``"fail"``
+    ends the read, ``"reject"`` sets the row aside in ``RawSources.rejects``.
+    The seed is kept by hand and always has to be right.
+    """
     from tillroll import schemas as S
     from tillroll.sources.adapter import RawSources
+    from tillroll.sources.checked import read_csv_checked
 
-    def rd(name: str, schema: T.StructType) -> DataFrame:
-        return read_csv_source(spark, f"{raw_dir.rstrip('/')}/{name}.csv", schema)
+    if bad_rows not in ("fail", "reject"):
+        raise ValueError("bad_rows must be 'fail' or 'reject'")
+    rejects = []
 
-    return RawSources(
+    def rd(name: str, schema: T.StructType) -> DataFrame:
+        path = f"{raw_dir.rstrip('/')}/{name}.csv"
+        if bad_rows == "fail":
+            return read_csv_source(spark, path, schema)
+        checked = read_csv_checked(spark, path, schema)
+        rejects.append(checked.rejects)
+        return checked.rows
+
+    sources = RawSources(
         orders=rd("orders", S.BRONZE_ORDERS),
         order_products_prior=rd("order_products__prior", S.BRONZE_ORDER_PRODUCTS),
         order_products_train=rd("order_products__train", S.BRONZE_ORDER_PRODUCTS),
@@ -105,3 +122,4 @@ def csv_sources(spark: SparkSession, raw_dir: str, seed_path: str):
         departments=rd("departments", S.BRONZE_DEPARTMENTS),
         branches=read_seed(spark, seed_path, S.BRANCH_SEED),
     )
+    return replace(sources, rejects=reduce(DataFrame.unionByName, rejects)) if rejects else sources
