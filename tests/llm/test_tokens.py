@@ -112,3 +112,40 @@ def test_packing_is_lossless(docs, empty, block):
     assert packing.pack_documents(empty, PATH, P.PATTERN, length).count() == 0
     with pytest.raises(ValueError):
         packing.pack_documents(docs, PATH, P.PATTERN, 1 << 16)
+
+
+def test_fill_does_not_depend_on_files(spark, scratch):
+    length, fills = 2048, []
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    for files in (1, 200):
+        path = str(scratch / f"docs-{files}")
+        documents.repartition(files).write.parquet(path)
+        spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a split per file
+        try:
+            rows = packing.pack_documents(spark.read.parquet(path), PATH, P.PATTERN, length).select("n_tokens", "doc_ids").collect()
+        finally:
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        fills.append(sum(r.n_tokens for r in rows) / length / len(rows))
+        assert len({d for r in rows for d in r.doc_ids}) == documents.where("text != ''").select("doc_id").distinct().count()
+    assert abs(fills[0] - fills[1]) < 0.01 and min(fills) > 0.98
+
+
+def test_stored_rows_as_matrices(spark, docs, empty, scratch):
+    length, path = 128, str(scratch / "packed")
+    packed = packing.pack_documents(docs, PATH, P.PATTERN, length)
+    packing.write_packed(packed, path, length)
+    rows, shape = packing.read_packed(spark, path)
+    found = []
+    for batch in rows.toArrow().to_batches():
+        ids, positions, bounds = packing.matrices(batch, length)
+        assert ids.shape == positions.shape == (batch.num_rows, length)
+        flat, places = ids.reshape(-1), positions.reshape(-1)
+        for begin, end in bounds:
+            assert begin // length == (end - 1) // length and places[begin:end].tolist() == list(range(end - begin))
+            found.append(tuple(flat[begin:end].tolist()))
+    want = [RANKS.encode_ordinary(text or "") for _, text in texts()]
+    assert sorted(found) == sorted(tuple(ids[i : i + length]) for ids in want for i in range(0, len(ids), length))
+    assert (shape.length, shape.rows, shape.segments) == (length, rows.count(), len(found))
+    assert shape.tokens == sum(map(len, want))
+    packing.write_packed(packing.pack_documents(empty, PATH, P.PATTERN, length), f"{path}-none", length)
+    assert packing.read_packed(spark, f"{path}-none")[1].rows == 0

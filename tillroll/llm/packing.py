@@ -9,9 +9,11 @@ room (how many rows have room r), so the best fit is one walk down the tree.
 
 A block is what one task reads until ``block_tokens`` are together: packing
 needs no shuffle, a task holds one block, and a lost executor repeats only its
-own partitions.  Each row is written as a little-endian id matrix row, the
-cumulative segment lengths and the positions, which start anew in every
-segment.
+own partitions.  Small file splits are read together, as many as fill a block,
+so how full the rows get does not depend on the files.  Each row is written as a
+little-endian id matrix row, the cumulative segment lengths and the positions,
+which start anew in every segment; ``write_packed`` stores them and ``matrices``
+gives an Arrow batch of them as numpy matrices.
 """
 
 from __future__ import annotations
@@ -23,13 +25,15 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import columns, id_text, small_batches
 
 LENGTH = 2048
 BLOCK_TOKENS = 4_000_000
+# Bytes of text that give a token, roughly; more only makes fewer, larger tasks.
+TOKEN_BYTES = 4
 # Rows of a block handed to Spark at once.
 ROWS = 512
 
@@ -137,6 +141,7 @@ def pack_documents(
     Whole texts; null and empty texts have no tokens and so no segment.
     Repeated rows are packed each on their own, a null doc_id stays null in
     doc_ids, other columns are left out.  ``length`` and ids below 65536.
+    Which documents share a row follows the order of the stored files.
     """
     if not 0 < length < 1 << 16:
         raise ValueError("length must be between 1 and 65535")
@@ -157,5 +162,39 @@ def pack_documents(
         yield from pack_block(segments, length, pad)
 
     ddl = "n_tokens int, ids binary, positions binary, cu_seqlens array<int>, doc_ids array<long>, doc_starts array<long>"
-    packed = id_text(docs).mapInArrow(run, ddl)
+    texts = id_text(docs)
+    held_bytes = texts.agg(F.sum(F.octet_length("text")).alias("bytes")).first().bytes or 0
+    blocks = max(1, held_bytes // (TOKEN_BYTES * block_tokens))
+    packed = texts.coalesce(blocks).mapInArrow(run, ddl)
     return packed.select(F.monotonically_increasing_id().alias("pack_id"), "*")
+
+
+def write_packed(packed: DataFrame, path: str, length: int = LENGTH, pad: int = 50256) -> None:
+    """Store packed rows below ``path``: ``rows`` (id matrix rows, positions and
+    cumulative lengths, a part per task) and, written last, ``shape`` (one row:
+    length, pad, rows, tokens, segments), so a set that was cut off has none."""
+    packed.write.parquet(f"{path.rstrip('/')}/rows")
+    stored = packed.sparkSession.read.schema(packed.schema).parquet(f"{path.rstrip('/')}/rows")
+    shape = stored.agg(
+        F.count("*").alias("rows"),
+        F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("tokens"),
+        F.coalesce(F.sum(F.size("doc_ids")), F.lit(0)).alias("segments"),
+    )
+    shape.select(F.lit(length).alias("length"), F.lit(pad).alias("pad"), "*").write.parquet(f"{path.rstrip('/')}/shape")
+
+
+def read_packed(spark: SparkSession, path: str) -> tuple[DataFrame, Row]:
+    """The stored rows and their shape; without a shape the read fails."""
+    shape = spark.read.parquet(f"{path.rstrip('/')}/shape").first()
+    return spark.read.parquet(f"{path.rstrip('/')}/rows"), shape
+
+
+def matrices(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A batch of packed rows as (rows x length) ids and positions, and the
+    (begin, end) of every segment in the flattened matrix, row by row."""
+    column = lambda name: batch.column(batch.schema.get_field_index(name))
+    ids, positions = (
+        np.frombuffer(b"".join(column(name).to_pylist()), "<u2").reshape(batch.num_rows, length) for name in ("ids", "positions")
+    )
+    bounds = [(r * length + a, r * length + b) for r, ends in enumerate(column("cu_seqlens").to_pylist()) for a, b in zip(ends, ends[1:])]
+    return ids, positions, np.array(bounds, np.int64).reshape(-1, 2)
