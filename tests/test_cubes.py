@@ -71,3 +71,43 @@ def test_aggregates_hold_for_their_fact_only(spark, scratch):
     assert marts.kpis(star).first() == marts.kpis(marts.star(star.fact, star.product, star.branch, star.date)).first()
     _write(_read(spark, paths, "fact_order_line").where(F.lit(True)), paths, "fact_order_line")
     assert read_star(spark, paths).cube is None  # another fact
+
+
+def test_bitmaps_are_made_once_numbers_are_together(star):
+    """A bitmap is 4 KB even of one number: none is made before the last shuffle."""
+    plain, _ = star
+    cube = cubes.distinct_cube(plain.fact, plain.product)
+    steps = cube._jdf.queryExecution().executedPlan().toString().splitlines()
+    first = [n for n, line in enumerate(steps) if "partial_bitmap_construct_agg" in line]
+    assert len(first) == 2
+    for n in first:
+        last = max(k for k in range(n) if "bitmap_construct_agg" in steps[k])
+        assert not any("Exchange" in line for line in steps[last:n])
+
+
+def test_stored_aggregates_are_built_when_first_read(star):
+    plain, stored = star
+    built = []
+
+    def once(name, df):
+        return lambda: built.append(name) or df
+
+    lazy = marts.star(plain.fact, plain.product, plain.branch, plain.date, counts=once("counts", stored.counts), cube=once("cube", stored.cube))
+    assert marts.top_departments(lazy).collect() == marts.top_departments(stored).collect()
+    assert built == ["counts"]
+    assert marts.kpis(lazy).first() == marts.kpis(stored).first()
+    assert built == ["counts", "cube"]
+
+
+def test_cube_of_odd_rows(spark):
+    """Null keys, one order under two customers and dates, lines twice."""
+    lines = [("a", 1, 1, 1, 1), ("a", 1, 1, 1, 1), ("a", 2, 1, 2, 1), (None, 2, 2, 1, 1), ("b", None, 9, 1, 1), ("c", 3, 2, None, 1)]
+    fact = spark.createDataFrame(lines, "order_id_nk string, customer_key long, product_key long, date_key long, branch_key long")
+    product = spark.createDataFrame([(1, "d"), (1, "d"), (2, None)], "product_key long, department_name string")
+    cube = cubes.distinct_cube(fact, product)
+    places = ["department_name", "known", "date_key"]
+    found = {k: {tuple(r) for r in cubes.distinct_counts(cube, places, k).collect()} for k in ("order", "customer")}
+    assert found["order"] == {("d", True, 1, 1), ("d", True, 2, 1), (None, False, 1, 1), (None, True, None, 1)}
+    assert found["customer"] == {("d", True, 1, 1), ("d", True, 2, 1), (None, True, 1, 1), (None, True, None, 1)}
+    totals = spark.range(1).select(*[cubes.distinct_total(cube, k) for k in ("order", "customer")]).first()
+    assert tuple(totals) == (3, 3)
