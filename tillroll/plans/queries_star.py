@@ -369,13 +369,13 @@ ORDER BY lines DESC, orders DESC, c.user_id_nk ASC NULLS LAST LIMIT 20"""
 @register("a13_top_customers", _top_customers_sql(""))
 def a13(spark, sf):
     w = warehouse(spark, sf)
-    return marts.top_customers(w.star, w.gold.dim_customer)
+    return marts.top_customers(w.star, w.stored_gold.dim_customer)
 
 
 @register("a13_top_customers_filtered", _top_customers_sql(SAMPLE_WHERE))
 def a13f(spark, sf):
     w = warehouse(spark, sf)
-    return marts.top_customers(w.star, w.gold.dim_customer, SAMPLE_FILTER)
+    return marts.top_customers(w.star, w.stored_gold.dim_customer, SAMPLE_FILTER)
 
 
 @register(
