@@ -206,3 +206,33 @@ def test_a_dense_case_with_a_length_limit(spark):
     frame = spark.range(300).select(F.expr("transform(sequence(1, 60), x -> lpad(x, 2, '0'))").alias("items"))
     sets = rl.frequent_itemsets(frame, 0.9, max_len=2).collect()
     assert len(sets) == 60 + 1770 and {r.freq for r in sets} == {300}
+
+
+def test_fp_growth_gets_like_baskets_together(spark, monkeypatch):
+    """Equal baskets dealt over eight partitions come to FP-growth in few."""
+    from pyspark.sql import functions as F
+
+    rows = [([f"i{k}", f"j{k}"],) for k in range(20) for _ in range(8)]
+    frame = spark.createDataFrame(rows, "items array<string>").repartition(8)
+    seen = []
+
+    class Watched(rl.FPGrowth):
+        def fit(self, dataset):
+            seen.append(dataset.select(F.spark_partition_id(), "items").distinct().count())
+            return super().fit(dataset)
+
+    monkeypatch.setattr(rl, "FPGrowth", Watched)
+    assert rl.frequent_itemsets(frame, 0.05).count() == 60
+    assert seen == [20]
+
+
+def test_stripping_is_the_patterns(spark):
+    from pyspark.sql import functions as F
+
+    from tillroll.functions.text import strip_ws
+
+    ends = ["", " ", "\t", "\n", "\r\n", "\u0085", " \u0085", "\u2028", "\u00a0", "\x0b", "!", "~", "\u00e9"]
+    texts = [(a + m + b,) for a in ends for m in ("", "x", "x y") for b in ends] + [(None,)]
+    c = F.col("t")
+    same = strip_ws(c).eqNullSafe(F.regexp_replace(c, r"^\s+|\s+$", ""))
+    assert spark.createDataFrame(texts, "t string").where(~same).count() == 0
